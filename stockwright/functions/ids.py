@@ -9,28 +9,25 @@ from . import col
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
 
-def _digest(name) -> Column:
-    """First 32 hex digits of SHA-1(namespace, name) with the version and variant bits of a v5 id."""
-    raw = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), F.encode(col(name), "UTF-8")))
-    nibble = F.conv(F.substring(raw, 17, 1), 16, 10).cast("int")
-    variant = F.lower(F.hex((nibble % 4 + 8).cast("bigint")))
-    return F.concat(F.substring(raw, 1, 12), F.lit("5"), F.substring(raw, 14, 3), variant, F.substring(raw, 18, 15))
-
-
 def uuid5(name) -> Column:
-    h = _digest(name)
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts])
+    """SHA-1 of namespace and name, cut to 32 digits, with the version digit 5 and the variant digit set.
+
+    Written with few references to the digest, so that nested use stays small for the code generator.
+    """
+    raw = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), F.encode(col(name), "UTF-8")))
+    shape = F.regexp_replace(raw, r"^(.{8})(.{4}).(.{3})(.{4})(.{12}).*$", "$1-$2-5$3-$4-$5")
+    variant = F.translate(F.substring(shape, 20, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.overlay(shape, variant, 20)
 
 
 def uuid5_mod(name, modulus: int = 1_000_000) -> Column:
     """The id as a 128-bit number modulo a small number, by Horner's rule over 32-bit words."""
-    h = _digest(name)
-    acc = F.lit(0).cast("bigint")
-    for start in (1, 9, 17, 25):
-        word = F.conv(F.substring(h, start, 8), 16, 10).cast("bigint")
-        acc = (acc * F.lit((1 << 32) % modulus) + word) % F.lit(modulus)
-    return acc
+    digits = F.replace(uuid5(name), F.lit("-"), F.lit(""))
+    shift = (1 << 32) % modulus
+    word = lambda k: F.conv(F.substring(digits, k * 8 + 1, F.lit(8)), 16, 10).cast("bigint")
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(3)), F.lit(0).cast("bigint"), lambda acc, k: (acc * F.lit(shift) + word(k)) % F.lit(modulus)
+    )
 
 
 def named_id(*parts) -> Column:

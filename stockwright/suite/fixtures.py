@@ -10,6 +10,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.files import stream_files
+
 NOW = "1998-06-01 12:00:00"
 TODAY = "1998-06-01"
 VISIT_NOW = "2024-01-15 12:00:00"
@@ -209,12 +211,18 @@ class Inputs:
         """SQL over test tables; further frames are named in braces."""
         for t in tables_in(text):
             text = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", text)
-            frames[t] = self.table(t)
+            if t not in frames:
+                frames[t] = self.table(t)
         return self.spark.sql(text, **frames)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.sql(FIXTURES[name])
 
+    def stream(self, name: str, table: str, max_files: int | None = None) -> DataFrame:
+        """A fixture over a test table read as a stream."""
+        source = stream_files(self.spark, self.folder, self.table(table).schema, f"{table}.parquet", max_files)
+        return self.sql(FIXTURES[name], **{table: source})
+
     @cached_property
     def profiles(self) -> DataFrame:
         return self["inventory"].select("shelf_id", "item_weight")
