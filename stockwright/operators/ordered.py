@@ -19,24 +19,29 @@ from ..workspace import cut
 MAX_ROWS_PER_KEY = 1_000_000
 
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest key; counted before the shuffle, one number to the driver."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def largest_key(keys: Sequence[str], *frames: DataFrame) -> int:
+    """Row count of the largest key over all frames; counted before the shuffle, one number to the driver."""
+    rows = reduce(DataFrame.unionAll, [f.select(*keys) for f in frames])
+    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *,
                  sums: dict[str, str] | None = None, carry_on: dict[str, str] | None = None,
-                 look_ahead: dict[str, str] | None = None, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+                 look_ahead: dict[str, str] | None = None, max_rows: int = MAX_ROWS_PER_KEY,
+                 sliced: bool | None = None) -> DataFrame:
     """Add ordered columns per key. Keys must not be null and the order must be total.
 
+    sliced chooses the plan; by default the largest key is counted and compared with max_rows.
+
     sums:       {new: column}  sum of the column over all earlier rows, 0 for the first
     carry_on:   {new: column}  last non-null value up to and including the row
     look_ahead: {new: column}  first non-null value from the row on
     """
     sums, carry_on, look_ahead = sums or {}, carry_on or {}, look_ahead or {}
-    if largest_key(df, keys) <= max_rows:
-        return _scan(df, list(keys), order, sums, carry_on, look_ahead)
-    return _sliced_scan(df, list(keys), order, sums, carry_on, look_ahead)
+    if sliced is None:
+        sliced = largest_key(keys, df) > max_rows
+    scan = _sliced_scan if sliced else _scan
+    return scan(df, list(keys), order, sums, carry_on, look_ahead)
 
 
 def _scan(df, part, order, sums, carry_on, look_ahead):

@@ -82,17 +82,15 @@ def receipt_lines(receipts: DataFrame) -> DataFrame:
 def sold_per_lot(lines: DataFrame, lots: DataFrame, match_item: bool = True) -> DataFrame:
     """Sold quantity and last sale per (shelf, lot).
 
-    Lines are summed per (item, lot) first, so the join with the lots sees one row per pair.
-    With match_item the line's item must be the lot's shelf; without it the lot code decides
-    alone, and a lot code used on several shelves counts on each of them.
+    With match_item the line's item is the shelf; without it the lot code alone finds the shelves,
+    and a lot code used on several shelves counts on each of them. Lines are summed before they
+    meet the lots, so that join sees one row per key.
     """
-    key = ["item_id", "batch_code"] if match_item else ["batch_code"]
-    sold = lines.groupBy(*key).agg(F.sum("quantity").alias("sold"), F.max("ts").alias("event_ts"))
-    known = lots.select("shelf_id", "batch_code").distinct()
+    totals = [F.sum("quantity").alias("sold"), F.max("ts").alias("event_ts")]
     if match_item:
-        sold = sold.withColumnRenamed("item_id", "shelf_id")
-        return sold.join(known, ["shelf_id", "batch_code"], "left_semi")
-    return known.join(sold, "batch_code").select("shelf_id", "batch_code", "sold", "event_ts")
+        return lines.groupBy(F.col("item_id").alias("shelf_id"), "batch_code").agg(*totals)
+    known = lots.select("shelf_id", "batch_code").distinct()
+    return known.join(lines.groupBy("batch_code").agg(*totals), "batch_code").select("shelf_id", "batch_code", "sold", "event_ts")
 
 
 def lots_after_sales(lines: DataFrame, lots: DataFrame, match_item: bool = True) -> DataFrame:

@@ -30,10 +30,13 @@ def decode(df: DataFrame, schema: T.StructType, not_null: Sequence[str] = (), va
            keep: Sequence[str] = ()) -> DataFrame:
     """JSON messages to typed rows. Times arrive as text; unreadable fields become null, and rows
     without the required fields are left out."""
-    parsed = df.select(*keep, F.from_json(F.col(value).cast("string"), wire(schema)).alias("_m"))
+    # As rows of a generator the fields are parsed once; plain fields of a parsed struct would be
+    # parsed again for every filter that is pushed below them.
+    body = F.from_json(F.col(value).cast("string"), wire(schema))
+    parsed = df.select(*keep, F.inline(F.array(body)))
     typed = []
     for f in schema.fields:
-        raw = F.col(f"_m.{f.name}")
+        raw = F.col(f.name)
         if isinstance(f.dataType, T.TimestampType):
             raw = parse_instant(raw)
         elif isinstance(f.dataType, T.DateType):

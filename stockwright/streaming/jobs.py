@@ -174,9 +174,27 @@ def cooldown_job(state_path: str, out: str, minutes: int = 60):
     return stateful(state_path, COOLDOWN_STATE, step, out, "alerts")
 
 
-def dedup_stream(events: DataFrame, id_col: str, ts_col: str, late: str = "1 hour") -> DataFrame:
-    """First row per event id; ids are forgotten once the watermark has passed them, which bounds the state."""
-    return events.withWatermark(ts_col, late).dropDuplicatesWithinWatermark([id_col])
+DEDUP_STATE = columns("event_key string, ts timestamp")
+
+
+def dedup_job(state_path: str, out: str, id_col: str, ts_col: str, hours: int = 24):
+    """First row per event id, over all batches of the last hours.
+
+    Copies within a batch are reduced before the shuffle, so an id that was sent a million times
+    costs one row per task; ids seen before are left out by an anti join. Ids older than the
+    horizon are forgotten, which bounds the state.
+    """
+
+    def step(state: DataFrame, rows: DataFrame):
+        keyed = rows.withColumn("event_key", F.col(id_col).cast("string"))
+        rest = [c for c in rows.columns if c != ts_col]
+        first = keyed.groupBy("event_key").agg(F.min(F.struct(ts_col, *rest)).alias("_row"))
+        fresh = first.join(state, "event_key", "left_anti")
+        seen = state.unionByName(fresh.select("event_key", F.col("_row")[ts_col].alias("ts")))
+        newest = F.greatest(state.agg(F.max("ts")).scalar(), rows.agg(F.max(ts_col)).scalar())
+        return seen.where(F.col("ts") >= newest - F.make_interval(hours=F.lit(hours))), fresh.select("_row.*").select(*rows.columns)
+
+    return stateful(state_path, DEDUP_STATE, step, out, "dedup")
 
 
 def router_job(out: str, mapping: dict[str, str]) -> Callable[[DataFrame, int], None]:

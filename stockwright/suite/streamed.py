@@ -70,8 +70,9 @@ def q_dedup(i: Inputs):
     root = new_folder(i.spark, "dedup")
     once = lambda: i.sql("SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts FROM events",
                          events=stream_files(i.spark, i.folder, i.table("events").schema, "events.parquet"))
-    finish(J.append_stream(J.dedup_stream(once().union(once()), "event_id", "ts"), f"{root}/out", f"{root}/progress"))
-    return i.spark.read.parquet(f"{root}/out")
+    job = J.dedup_job(f"{root}/state", f"{root}/out", "event_id", "ts")
+    finish(run_stream(once().union(once()), job, f"{root}/progress"))
+    return i.spark.read.parquet(f"{root}/out").select("event_id", "user_id", "ts")
 
 
 def q_router(i: Inputs):
