@@ -45,13 +45,18 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 
 def _scan(df, part, order, sums, carry_on, look_ahead):
+    if look_ahead and not all(isinstance(o, str) for o in order):
+        raise ValueError("look_ahead takes ascending columns by name")
     w = W.partitionBy(*part).orderBy(*order)
     before = w.rowsBetween(W.unboundedPreceding, -1)
     upto = w.rowsBetween(W.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, W.unboundedFollowing)
+    # Looking ahead is looking back in reverse order: a frame that ends at the last row would be
+    # recomputed for every row.
+    back = [F.desc_nulls_last(o) for o in order] if look_ahead else []
+    ahead = W.partitionBy(*part).orderBy(*(back or order)).rowsBetween(W.unboundedPreceding, 0)
     new = {n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()}
     new |= {n: F.last(c, ignorenulls=True).over(upto) for n, c in carry_on.items()}
-    new |= {n: F.first(c, ignorenulls=True).over(ahead) for n, c in look_ahead.items()}
+    new |= {n: F.last(c, ignorenulls=True).over(ahead) for n, c in look_ahead.items()}
     return df.withColumns(new)
 
 
@@ -69,10 +74,11 @@ def _sliced_scan(df, keys, order, sums, carry_on, look_ahead):
     ends += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"end_{n_}") for n_, c in look_ahead.items()]
     slices = rows.groupBy(*keys, "_slice").agg(*ends)
     w = W.partitionBy(*keys).orderBy("_slice")
-    before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy(*keys).orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
     carry = {f"_c_{x}": F.coalesce(F.sum(f"sum_{x}").over(before), F.lit(0)) for x in sums}
     carry |= {f"_c_{x}": F.last(f"end_{x}", ignorenulls=True).over(before) for x in carry_on}
-    carry |= {f"_c_{x}": F.first(f"end_{x}", ignorenulls=True).over(after) for x in look_ahead}
+    carry |= {f"_c_{x}": F.last(f"end_{x}", ignorenulls=True).over(after) for x in look_ahead}
     size = W.partitionBy(*keys)
     borders = (
         slices.withColumns(carry).withColumn("_n", F.count(F.lit(1)).over(size)).where("_n > 1")
