@@ -35,6 +35,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], on_match:
     return joined.select(*out)
 
 
+def keep_newer(target: DataFrame, source: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
+    """Source values win, but the time of a row never goes back; new keys are added."""
+    values = {c: F.col(f"s.{c}") for c in source.columns if c not in keys}
+    return upsert(target, source, keys, {**values, ts_col: F.greatest(f"t.{ts_col}", f"s.{ts_col}")}, values)
+
+
 def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target whose key is not incoming, plus all incoming rows."""
     kept = target.join(incoming.select(*keys).distinct(), list(keys), "left_anti")

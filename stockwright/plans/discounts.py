@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import money as M
-from ..functions.times import week_days
+from ..functions.times import iso_week, week_days
 
 
 def expiring(lots: DataFrame, today: Column) -> DataFrame:
@@ -62,6 +62,12 @@ def discount_on(weekly: DataFrame, day: Column) -> DataFrame:
     return live.groupBy("shelf_id").agg(F.max(M.as_fraction("discount_pct")).alias("discount"))
 
 
+def discount_in_week(weekly: DataFrame, day: Column, week: str = "week") -> DataFrame:
+    """Largest promotion per shelf of the ISO week a day lies in, for tables that name the week."""
+    live = weekly.where(F.col(week) == iso_week(F.lit(day)))
+    return live.groupBy("shelf_id").agg(F.max(M.as_fraction("discount_pct")).alias("discount"))
+
+
 def effective(promo: DataFrame, fixed: DataFrame, mode: str = "max") -> DataFrame:
     """Promo and fixed discounts per shelf and day combined; days without a discount are left out."""
     p = promo.select("shelf_id", "discount_date", F.col("discount").alias("_p"))

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.merge import keep_newer
+from ..workspace import cut
 from .sinks import retry
 
 
@@ -55,3 +57,10 @@ def refresh(df: DataFrame, db: Database, table: str) -> None:
     """Replace all rows and keep the table with its grants and indexes."""
     w = df.write.format("jdbc").options(**db.settings()).option("dbtable", table).option("truncate", True)
     retry(lambda: w.mode("overwrite").save())
+
+
+def upsert_newer(df: DataFrame, db: Database, table: str, keys: Sequence[str], ts_col: str) -> None:
+    """Upsert that keeps the greater time. The merged rows are written to the shared folder before
+    the table is refreshed, because the table is also their source."""
+    current = read(df.sparkSession, db, table, df.columns)
+    refresh(cut(keep_newer(current, df, keys, ts_col)), db, table)

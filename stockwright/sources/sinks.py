@@ -35,6 +35,30 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
     return list(TABLES)
 
 
+def write_if_empty(df: DataFrame, path: str) -> bool:
+    """First fill of a table; a table that already has rows is left alone."""
+    spark = df.sparkSession
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root) and not spark.read.schema(df.schema).parquet(path).isEmpty():
+        return False
+    df.write.mode("overwrite").parquet(path)
+    return True
+
+
+def write_partitioned(df: DataFrame, path: str, by: str) -> None:
+    """Replace only the partitions (days) that occur in the rows.
+
+    Rows of a day may sit in any number of files; nothing is gathered into one task per day.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Catalog table bucketed and sorted by its key, so that joins of such tables need no shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, app: str = "app") -> None:
     """Append of one micro-batch. A repeated batch replaces its own rows, so a replay adds nothing."""
     (

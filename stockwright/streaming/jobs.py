@@ -6,16 +6,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import exclude_recent, upsert
+from ..operators.merge import apply_status, exclude_recent, replace_rows, upsert
 from ..operators.ordered import MAX_ROWS_PER_KEY
-from ..plans.alerts import ALERT_KEY
+from ..plans.alerts import ALERT_KEY, alert_rows, shelf_alerts, split_alert_feed, wh_alerts
 from ..plans.inventory import SHELF_SIGN, WH_SIGN, add_deltas, lots_after_sales, lots_after_wh_events, shelf_deltas, signed, wh_deltas
-from ..plans.planning import refill_queue, shelf_events_of
+from ..plans.planning import issue_restock, refill_queue, shelf_events_of
 from ..plans.routing import route
 from ..plans.sales import cart_moves, held
-from ..schemas import ALERTS, SHELF_STATE, WH_STATE, columns
+from ..schemas import ALERTS, RESTOCK_PLAN, SHELF_STATE, WH_STATE, columns
 from ..sources.sinks import append_batch
-from .runner import append_stream, changelog_sink, run_stream, stateful
+from .runner import append_stream, changelog_sink, run_stream, stateful, stateless
 
 
 def running_deltas(events: DataFrame, qty: str, signs: dict[str, int]) -> DataFrame:
@@ -153,6 +153,61 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
     return stateful(state_path, CART_STATE, step, out, "checkout")
 
 
+Table = Callable[[], DataFrame]
+
+
+def shelf_alert_job(out: str, policies: Table, capacity: Table, lots: Table, history: Table, now: Column | None = None, **params):
+    """Alerts and restock plans for the shelves whose state changed in a batch.
+
+    The tables are read anew for each batch. Time is the given one, or the latest change of the batch.
+    """
+
+    def step(rows: DataFrame):
+        clock = now if now is not None else rows.agg(F.max("last_update_ts")).scalar()
+        alerts, plans = shelf_alerts(rows, policies(), capacity(), lots(), history(), clock, **params)
+        return {"alerts": alerts, "plans": plans}
+
+    return stateless(out, step, "shelf_alerts")
+
+
+def wh_alert_job(out: str, policies: Table, lots: Table, sizes: Table, history: Table, now: Column | None = None, **params):
+    """Alerts, resolve events and supplier plans for the warehouse items whose state changed in a batch."""
+
+    def step(rows: DataFrame):
+        clock = now if now is not None else rows.agg(F.max("last_update_ts")).scalar()
+        alerts, resolved, plans = wh_alerts(rows, policies(), lots(), sizes(), history(), clock, **params)
+        return {"alerts": alerts, "resolved": resolved, "plans": plans}
+
+    return stateless(out, step, "wh_alerts")
+
+
+def restock_job(state_path: str, out: str, lots: Table, now: Column | None = None, min_age_s: int = 60):
+    """Plans are kept until they are old enough, then served from the lots; a young plan waits for a later batch.
+
+    Time is the given one, or the latest creation time seen.
+    """
+
+    def step(state: DataFrame, rows: DataFrame):
+        plans = replace_rows(state, rows.select(*RESTOCK_PLAN.names), ["plan_id"])
+        clock = now if now is not None else plans.agg(F.max("created_at")).scalar()
+        wh_out, after, acks = issue_restock(plans, lots(), clock, min_age_s)
+        return after, {"wh_out": wh_out, "acks": acks}
+
+    return stateful(state_path, RESTOCK_PLAN, step, out, "restock")
+
+
+def alert_sink_job(state_path: str, opening: DataFrame, now: Column):
+    """The one writer of the alert table: new alerts are added, status changes applied (rows carry seq)."""
+
+    def step(state: DataFrame, feed: DataFrame):
+        known = state.unionByName(opening.join(state, "alert_id", "left_anti"))
+        new, changes = split_alert_feed(feed)
+        table = replace_rows(known, alert_rows(new, now), ["alert_id"])
+        return apply_status(table, changes, now), None
+
+    return stateful(state_path, ALERTS, step)
+
+
 COOLDOWN_STATE = T.StructType([ALERTS[c] for c in ALERT_KEY] + [T.StructField("created_at", T.TimestampType())])
 
 

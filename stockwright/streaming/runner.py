@@ -39,7 +39,34 @@ def changelog_table(log: DataFrame, keys: list[str]) -> DataFrame:
     return latest_per_key(log, keys, ["batch_id"]).drop("app_id", "batch_id")
 
 
-def stateful(path: str, schema: T.StructType, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame | None]],
+Emitted = DataFrame | dict[str, DataFrame] | None
+
+
+def emit(emitted: Emitted, out: str | None, batch_id: int, app: str) -> None:
+    """Append the output of a batch; several outputs go to folders of their names."""
+    if emitted is None or out is None:
+        return
+    if isinstance(emitted, DataFrame):
+        append_batch(emitted, out, batch_id, app)
+        return
+    for name, rows in emitted.items():
+        append_batch(rows, f"{out}/{name}", batch_id, app)
+
+
+def stateless(out: str, step: Callable[[DataFrame], Emitted], app: str = "app") -> BatchJob:
+    """Job without state: the output rows of each batch are appended."""
+
+    def job(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            emit(step(rows), out, batch_id, app)
+        finally:
+            rows.unpersist()
+
+    return job
+
+
+def stateful(path: str, schema: T.StructType, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, Emitted]],
              out: str | None = None, app: str = "app") -> BatchJob:
     """Job with a keyed state table: (state, rows) -> (new state, output rows).
 
@@ -52,8 +79,7 @@ def stateful(path: str, schema: T.StructType, step: Callable[[DataFrame, DataFra
         rows.persist()
         try:
             state, emitted = step(read_version(spark, path, schema, before=batch_id), rows)
-            if emitted is not None and out is not None:
-                append_batch(emitted, out, batch_id, app)
+            emit(emitted, out, batch_id, app)
             write_version(state, path, batch_id)
             drop_versions(spark, path)
         finally:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import compound_key
 from ..operators.align import align_to_schema
-from ..operators.merge import delete_keys, replace_rows
+from ..operators.merge import delete_keys, keep_newer, replace_rows
 from ..plans import config as C
 from ..plans.routing import mirror, route
 from ..schemas import WH_EVENTS, columns
@@ -110,7 +110,14 @@ def q_products(i: Inputs):
     return C.products(store, i["inventory"].where("item_category <> 'SMALL'"), sizes)
 
 
+def q_newer(i: Inputs):
+    sold = i["receipt_lines"].groupBy(F.col("item_id").alias("shelf_id")).agg(F.sum("quantity").cast("int").alias("current_stock"), F.max("ts").alias("last_update_ts"))
+    base = i["inventory"].where("item_category <> 'SMALL'").select("shelf_id", "current_stock", F.lit("2001-06-01").cast("timestamp").alias("last_update_ts"))
+    return keep_newer(base, sold, ["shelf_id"], "last_update_ts")
+
+
 QUERIES = {
+    "keep_newer": q_newer,
     "shelf_profiles": lambda i: C.shelf_profiles(snapshot(i)),
     "batch_catalog": q_catalog,
     "batch_sizes": lambda i: C.batch_sizes(lot_snapshot(i, 0), i["inventory"]),
@@ -135,6 +142,12 @@ _lots = """SELECT date_trunc('month', received_date) AS snapshot_ts, batch_code,
   UNION ALL SELECT date_trunc('month', received_date), batch_code, shelf_id, expiry_date + 10, CAST(qty % 7 AS INT) FROM wh_lots"""
 
 ORACLES = {
+    "keep_newer": oracle(
+        """SELECT COALESCE(b.shelf_id, s.item_id) AS shelf_id, COALESCE(s.q, b.current_stock) AS current_stock,
+           CASE WHEN b.shelf_id IS NULL THEN s.ts ELSE GREATEST(s.ts, TIMESTAMP '2001-06-01 00:00:00') END AS last_update_ts
+           FROM (SELECT * FROM inventory WHERE item_category <> 'SMALL') b FULL JOIN
+           (SELECT item_id, CAST(SUM(quantity) AS INT) AS q, MAX(ts) AS ts FROM receipt_lines GROUP BY item_id) s ON b.shelf_id = s.item_id""",
+        "inventory", "receipt_lines"),
     "shelf_profiles": oracle(
         f"SELECT shelf_id, MAX(item_weight) AS item_weight FROM s WHERE snapshot_ts = (SELECT MAX(snapshot_ts) FROM s) GROUP BY shelf_id",
         "inventory", s=f"SELECT *, {SNAPSHOTS} FROM inventory"),

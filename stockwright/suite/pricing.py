@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.ordered import MAX_ROWS_PER_KEY
+from ..functions.times import iso_week
 from ..plans import discounts as D, sales as S
-from .fixtures import NOW, Inputs, now_ts, oracle, today
+from .fixtures import Inputs, now_ts, oracle, today
 from .state import DAY, TS
 
 r6 = lambda c: F.round(c, 6).alias(c)
@@ -57,7 +57,13 @@ def q_checkouts(i: Inputs):
     return S.checkouts(i["shelf_events"], i["shop_visits"], now_ts(), ["seq1", "seq2", "seq3", "seq4"])
 
 
+def q_week(i: Inputs):
+    weeks = i["weekly_discounts"].withColumn("week", iso_week("week_start"))
+    return D.discount_in_week(weeks, today()).select("shelf_id", r6("discount"))
+
+
 QUERIES = {
+    "discount_in_week": q_week,
     "daily_discount": q_daily,
     "daily_discount_table": q_daily_table,
     "discount_alerts": lambda i: daily(i)[2],
@@ -114,6 +120,9 @@ _visited = f"""SELECT v.visit_id, v.checkout_ts, e.* FROM steps e ASOF JOIN
   ON e.customer_id = v.customer_id AND e.ts >= v.entry_time WHERE e.ts <= v.checkout_ts"""
 
 ORACLES = {
+    "discount_in_week": oracle(
+        f"""SELECT shelf_id, ROUND(MAX(CASE WHEN discount_pct > 1 THEN discount_pct / 100 ELSE discount_pct END), 6) AS discount
+            FROM weekly_discounts WHERE strftime(week_start, '%G-%V') = strftime({DAY}, '%G-%V') GROUP BY shelf_id""", "weekly_discounts"),
     "daily_discount": oracle(f"SELECT shelf_id, discount_date, ROUND(discount, 6) AS discount, {TS} AS created_at FROM fresh",
                              "wh_lots", "daily_discounts", **DAILY_PARTS),
     "daily_discount_table": oracle(

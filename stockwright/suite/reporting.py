@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from ..operators.align import backfill
 from ..operators.latest import dedupe_events
-from ..plans import reports as R
+from ..plans import alerts as A, reports as R
 from ..plans.config import batch_sizes
 from .fixtures import VISIT_NOW, Inputs, now_ts, oracle, visit_now
+from .alerting import uuid_sql
 from .state import TS
 
 VTS = f"TIMESTAMP '{VISIT_NOW}'"
@@ -46,7 +47,18 @@ def q_recent(i: Inputs):
     return R.recent_rows(i["visits"].select("customer_id", F.col("entry_time").alias("event_time"), "event_id"), 50)
 
 
+def q_new_alerts(i: Inputs):
+    """The feed split into new alerts, in the shape of the alert table, and status changes."""
+    feed = i["alert_history"].withColumn("event_type", F.when(F.col("status") == "ack", "alert_status_change").otherwise(F.col("event_type")))
+    none = {"current_stock": "int", "threshold_pct": "double", "suggested_qty": "int"}
+    new, changes = A.split_alert_feed(feed.withColumns({c: F.lit(None).cast(t) for c, t in none.items()}))
+    rows = A.alert_rows(new, now_ts()).select("alert_id", "event_type", "shelf_id", "location", "status", "created_at", "updated_at")
+    return rows.unionByName(changes.select("event_type", "shelf_id", "location", "status", "created_at"), allowMissingColumns=True)
+
+
 QUERIES = {
+    "alert_feed": q_new_alerts,
+    "people_per_day": lambda i: R.people_on(i["feature_rows"].withColumn("people_count", F.col("sales_qty")), F.lit("1998-06-01").cast("date")),
     "live_occupancy": lambda i: R.occupancy(i["visits"], visit_now()),
     "active_alerts": lambda i: R.active_alerts(i["alert_history"]).select("alert_id", "shelf_id", "status", "place"),
     "alert_places": lambda i: R.alerts_by_place(i["alert_history"]),
@@ -72,6 +84,12 @@ _slot = """CASE WHEN hour(entry_time) >= 20 THEN '20:00–23:59' WHEN hour(entry
   WHEN hour(entry_time) >= 10 THEN '10:00–13:59' WHEN hour(entry_time) >= 7 THEN '07:00–09:59' ELSE '00:00–06:59' END"""
 
 ORACLES = {
+    "alert_feed": oracle(
+        f"""SELECT {uuid_sql("'alert:' || strftime(created_at, '%Y-%m-%d %H:%M:%S.') || rtrim(strftime(created_at, '%f'), '0') || ':' || location || ':' || event_type || ':' || shelf_id")} AS alert_id,
+            event_type, shelf_id, location, 'open' AS status, created_at, {TS} AS updated_at FROM alert_history WHERE status <> 'ack'
+            UNION ALL SELECT NULL, 'alert_status_change', shelf_id, location, status, created_at, NULL FROM alert_history WHERE status = 'ack'""", "alert_history"),
+    "people_per_day": oracle(
+        "SELECT feature_date, MAX(sales_qty) AS people_count FROM feature_rows WHERE feature_date = DATE '1998-06-01' GROUP BY feature_date", "feature_rows"),
     "live_occupancy": oracle(
         f"""SELECT COUNT(*) AS inside FROM visits WHERE entry_time BETWEEN {VTS} - INTERVAL '1' DAY AND {VTS} AND (exit_time IS NULL OR exit_time > {VTS})""", "visits"),
     "active_alerts": oracle("SELECT alert_id, shelf_id, status, place FROM active", "alert_history", active=_active),

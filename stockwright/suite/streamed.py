@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 
 from ..operators.align import align_to_schema
 from ..plans.inventory import add_deltas
-from ..schemas import FOOT_TRAFFIC, SHELF_STATE, WH_STATE
+from ..schemas import ALERT_FEED, ALERTS, FOOT_TRAFFIC, SHELF_STATE, WH_STATE
 from ..sources.files import stream_files
 from ..sources.sinks import read_version
 from ..streaming import jobs as J
 from ..streaming.runner import changelog_table, run_stream
 from ..workspace import new_folder
+from .alerting import ORACLES as ALERTING, _cool, _near, uuid_sql
 from .fixtures import Inputs, now_ts, oracle
 from .loading import MAPPING, ORACLES as LOADING, named_rows
 from .pricing import CART_ORDER, ORACLES as PRICING
-from .state import ORACLES as STATE
+from .state import LEVELS, ORACLES as STATE, POLICY_LATEST, REFILL, TS
 
 
 def finish(query) -> None:
@@ -97,7 +98,47 @@ def q_cooldown(i: Inputs):
     return read_version(i.spark, f"{root}/state", J.COOLDOWN_STATE)
 
 
+def q_shelf_alerts(i: Inputs):
+    """Shelf states arriving as a changelog raise alerts and plans."""
+    root = new_folder(i.spark, "shelf-alerts")
+    job = J.shelf_alert_job(f"{root}/out", lambda: i["shelf_policies"], lambda: i["inventory"], lambda: i.store_lots,
+                            lambda: i["recent_alerts"], now_ts())
+    finish(run_stream(i.stream("inventory", "part").select("shelf_id", "current_stock"), job, f"{root}/progress"))
+    return i.spark.read.parquet(f"{root}/out/alerts").drop("app_id", "batch_id").withColumn("stock_pct", F.round("stock_pct", 6))
+
+
+def q_wh_alerts(i: Inputs):
+    root = new_folder(i.spark, "wh-alerts")
+    job = J.wh_alert_job(f"{root}/out", lambda: i["wh_policies"], lambda: i.wh_lots,
+                         lambda: i["inventory"].select("shelf_id", "standard_batch_size"), lambda: i["recent_alerts"], now_ts())
+    state = i.stream("inventory", "part").select("shelf_id", (F.col("current_stock") / 5).cast("int").alias("wh_current_stock"))
+    finish(run_stream(state, job, f"{root}/progress"))
+    return i.spark.read.parquet(f"{root}/out/plans").select("supplier_plan_id", "shelf_id", "suggested_qty", "standard_batch_size", "status")
+
+
+def q_restock(i: Inputs):
+    root = new_folder(i.spark, "restock")
+    job = J.restock_job(f"{root}/state", f"{root}/out", lambda: i.wh_lots, now_ts())
+    finish(run_stream(i.stream("restock_plans", "part").withColumn("updated_at", F.col("created_at")), job, f"{root}/progress"))
+    return i.spark.read.parquet(f"{root}/out/wh_out").select("event_id", "plan_id", "shelf_id", "batch_code", "qty", "timestamp")
+
+
+def q_alert_sink(i: Inputs):
+    """Status changes arriving as a stream on a table of alerts."""
+    root = new_folder(i.spark, "alert-sink")
+    opening = align_to_schema(i["alert_history"].withColumn("updated_at", F.col("created_at")), ALERTS)
+    changes = i.stream("status_changes", "events").withColumn("event_type", F.lit("alert_status_change"))
+    none = {f.name: F.lit(None).cast(f.dataType) for f in ALERT_FEED if f.name not in changes.columns}
+    job = J.alert_sink_job(f"{root}/state", opening, now_ts())
+    finish(run_stream(changes.withColumns(none), job, f"{root}/progress"))
+    return read_version(i.spark, f"{root}/state", ALERTS).select("alert_id", "status", "updated_at")
+
+
 QUERIES = {
+    "stream_shelf_alerts": q_shelf_alerts,
+    "stream_wh_alerts": q_wh_alerts,
+    "stream_restock": q_restock,
+    "stream_alert_sink": q_alert_sink,
     "stream_shelf_state": q_shelf,
     "stream_shelf_table": q_shelf_table,
     "stream_wh_state": q_wh,
@@ -113,7 +154,22 @@ QUERIES = {
 _due = """SELECT e.*, i.item_weight FROM wh_events e LEFT JOIN inventory i ON e.shelf_id = i.shelf_id
   WHERE event_type = 'wh_out' AND qty > 0 AND ts + INTERVAL '3' MINUTE <= (SELECT MAX(ts) FROM wh_events)"""
 
+_levels = LEVELS.replace("FROM state s JOIN", "FROM inventory s JOIN").replace("FROM state s LEFT JOIN", "FROM inventory s LEFT JOIN")
+
 ORACLES = {
+    "stream_shelf_alerts": oracle(
+        f"""SELECT * FROM (SELECT 'refill_request' AS event_type, shelf_id, 'store' AS location, current_stock, min_qty, threshold_pct,
+              ROUND(stock_pct, 6) AS stock_pct, CAST(suggested_qty AS INT) AS suggested_qty, {TS} AS created_at FROM refill
+            UNION ALL SELECT 'near_expiry', shelf_id, 'store', CAST(qty_on_batches AS INT), CAST(NULL AS INT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 0, {TS}
+            FROM near) a WHERE {_cool}""",
+        "inventory", "shelf_policies", "wh_lots", "recent_alerts", policy=POLICY_LATEST, levels=_levels, refill=REFILL, near=_near(5)),
+    "stream_wh_alerts": oracle(
+        f"""SELECT {uuid_sql("'supplier:1998-06-01 12:00:00:' || shelf_id")} AS supplier_plan_id, shelf_id,
+            CAST(CEIL(gap / (bs * 1.0)) * bs AS INT) AS suggested_qty, bs AS standard_batch_size, 'pending' AS status FROM
+            (SELECT i.shelf_id, i.standard_batch_size AS bs, COALESCE(p.reorder_point_qty, 10) - i.current_stock // 5 AS gap FROM inventory i
+             LEFT JOIN (SELECT * FROM wh_policies WHERE active) p ON i.shelf_id = p.shelf_id) WHERE gap > 0""", "inventory", "wh_policies"),
+    "stream_restock": ALERTING["restock_wh_out"],
+    "stream_alert_sink": ALERTING["alert_status"],
     "stream_shelf_state": STATE["shelf_state"],
     "stream_shelf_table": STATE["shelf_state"],
     "stream_wh_state": STATE["wh_state"],
