@@ -35,12 +35,14 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
     return list(TABLES)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+
+
 def write_if_empty(df: DataFrame, path: str) -> bool:
     """First fill of a table; a table that already has rows is left alone."""
-    spark = df.sparkSession
-    jvm = spark._jvm.org.apache.hadoop.fs
-    root = jvm.Path(path)
-    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root) and not spark.read.schema(df.schema).parquet(path).isEmpty():
+    if exists(df.sparkSession, path) and not df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
         return False
     df.write.mode("overwrite").parquet(path)
     return True
@@ -54,9 +56,10 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> None:
     """Catalog table bucketed and sorted by its key, so that joins of such tables need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    w = df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, app: str = "app") -> None:

@@ -15,7 +15,7 @@ from ..plans.routing import route
 from ..plans.sales import cart_moves, held
 from ..schemas import ALERTS, RESTOCK_PLAN, SHELF_STATE, WH_STATE, columns
 from ..sources.sinks import append_batch
-from .runner import append_stream, changelog_sink, run_stream, stateful, stateless
+from .runner import append_stream, changelog_sink, keyed, run_stream, stateful, stateless
 
 
 def running_deltas(events: DataFrame, qty: str, signs: dict[str, int]) -> DataFrame:
@@ -31,57 +31,47 @@ def wh_delta_stream(events: DataFrame, out: str, checkpoint: str) -> StreamingQu
     return run_stream(running_deltas(events, "qty", WH_SIGN), changelog_sink(out, "wh_state"), checkpoint, "update")
 
 
-def shelf_state_job(state_path: str, out: str, opening: DataFrame, profiles: DataFrame, now: Column):
-    """Shelf state kept in a table; each batch also publishes the shelves it touched."""
+def shelf_state_job(state_path: str, out: str, opening: DataFrame, profiles: DataFrame, now: Column, **options):
+    """Shelf state kept in a table; each batch also publishes the shelves it changed."""
 
     def step(state: DataFrame, rows: DataFrame):
-        start = state.unionByName(opening.join(state, "shelf_id", "left_anti"))
         deltas = shelf_deltas(rows).join(profiles.select("shelf_id", "item_weight"), "shelf_id", "left")
-        after = add_deltas(start, deltas, "current_stock", now, {"item_weight": F.col("s.item_weight")})
+        after = add_deltas(state, deltas, "current_stock", now, {"item_weight": F.col("s.item_weight")})
         return after, after.join(deltas.select("shelf_id"), "shelf_id", "left_semi")
 
-    return stateful(state_path, SHELF_STATE, step, out, "shelf_state")
+    return keyed(state_path, SHELF_STATE, ["shelf_id"], lambda rows: rows, step, opening, out, "shelf_state", **options)
 
 
-def wh_state_job(state_path: str, out: str, opening: DataFrame, now: Column):
+def wh_state_job(state_path: str, out: str, opening: DataFrame, now: Column, **options):
     def step(state: DataFrame, rows: DataFrame):
-        start = state.unionByName(opening.join(state, "shelf_id", "left_anti"))
         deltas = wh_deltas(rows)
-        after = add_deltas(start, deltas, "wh_current_stock", now)
+        after = add_deltas(state, deltas, "wh_current_stock", now)
         return after, after.join(deltas.select("shelf_id"), "shelf_id", "left_semi")
 
-    return stateful(state_path, WH_STATE, step, out, "wh_state")
+    return keyed(state_path, WH_STATE, ["shelf_id"], lambda rows: rows, step, opening, out, "wh_state", **options)
 
 
-def store_lot_sales_job(state_path: str, opening: DataFrame):
-    """Store lots lowered by the receipt lines of each batch."""
+LOT_KEY = ["shelf_id", "batch_code"]
 
-    def step(state: DataFrame, lines: DataFrame):
-        start = state.unionByName(opening.join(state, ["shelf_id", "batch_code"], "left_anti"))
-        return lots_after_sales(lines, start), None
 
-    return stateful(state_path, opening.schema, step)
+def store_lot_sales_job(state_path: str, opening: DataFrame, **options):
+    """Store lots lowered by the receipt lines of each batch."""
+    step = lambda state, lines: (lots_after_sales(lines, state), None)
+    lot_of = lambda lines: lines.select(F.col("item_id").alias("shelf_id"), "batch_code")
+    return keyed(state_path, opening.schema, LOT_KEY, lot_of, step, opening, app="lot_sales", **options)
 
 
-def lot_events_job(wh_path: str, store_path: str, wh_opening: DataFrame, store_opening: DataFrame):
+def lot_events_job(wh_path: str, store_path: str, wh_opening: DataFrame, store_opening: DataFrame, **options):
     """Warehouse and store lots moved by the events of each batch; two state tables from one batch."""
-    key = ["shelf_id", "batch_code"]
-    start = lambda state, opening: state.unionByName(opening.join(state, key, "left_anti"))
+    wh_step = lambda state, ev: (lots_after_wh_events(ev, state, store_opening.limit(0))[0], None)
+    store_step = lambda state, ev: (lots_after_wh_events(ev, wh_opening.limit(0), state)[1], None)
+    to_store = lambda ev: ev.where("event_type = 'wh_out'")
+    warehouse = keyed(wh_path, wh_opening.schema, LOT_KEY, lambda ev: ev, wh_step, wh_opening, app="lot_events", **options)
+    store = keyed(store_path, store_opening.schema, LOT_KEY, to_store, store_step, store_opening, app="lot_events", **options)
 
     def both(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
-        try:
-            for path, opening, side in ((wh_path, wh_opening, 0), (store_path, store_opening, 1)):
-                other = (store_opening if side == 0 else wh_opening).limit(0)
-
-                def step(state, ev, opening=opening, side=side, other=other):
-                    mine = start(state, opening)
-                    pair = (mine, other) if side == 0 else (other, mine)
-                    return lots_after_wh_events(ev, *pair)[side], None
-
-                stateful(path, opening.schema, step)(rows, batch_id)
-        finally:
-            rows.unpersist()
+        warehouse(rows, batch_id)
+        store(rows, batch_id)
 
     return both
 
@@ -116,6 +106,7 @@ def delayed_refill_job(state_path: str, out: str, profiles: DataFrame, delay_min
     return stateful(state_path, REFILL_STATE, step, out, "refill")
 
 
+CART_KEY = ["customer_id", "item_id"]
 CART_STATE = columns("customer_id string, item_id string, quantity bigint, last_ts timestamp")
 
 
@@ -141,6 +132,7 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
         )
         if visits is None:
             return carts, None
+        # Customers who leave need not occur in the batch: here the whole table of open carts is stepped.
         clock = now if now is not None else F.greatest(state.agg(F.max("last_ts")).scalar(), rows.agg(F.max("ts")).scalar())
         stale = clock - F.make_interval(hours=F.lit(max_age_h))
         gone = visits.where((F.col("exit_time") <= clock) | (F.col("entry_time") < stale)).groupBy("customer_id").agg(
@@ -150,6 +142,8 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
         staying = carts.join(gone, "customer_id", "left_anti")
         return staying, leaving.where("quantity > 0").withColumn("checkout_ts", clock)
 
+    if visits is None:
+        return keyed(state_path, CART_STATE, CART_KEY, lambda rows: rows, step, app="cart")
     return stateful(state_path, CART_STATE, step, out, "checkout")
 
 
@@ -221,35 +215,33 @@ def cooldown_job(state_path: str, out: str, minutes: int = 60):
         now = rows.agg(F.max("created_at")).scalar()
         passed = exclude_recent(rows, state, ALERT_KEY, "created_at", now, minutes)
         last = passed.groupBy(*ALERT_KEY).agg(F.max("created_at").alias("created_at"))
-        newest = upsert(
-            state, last, ALERT_KEY, on_match={"created_at": F.col("s.created_at")}, on_insert={"created_at": F.col("s.created_at")}
-        )
-        return newest, passed
+        return last, passed
 
-    return stateful(state_path, COOLDOWN_STATE, step, out, "alerts")
+    return keyed(state_path, COOLDOWN_STATE, ALERT_KEY, lambda rows: rows, step, out=out, app="alerts")
 
 
 DEDUP_STATE = columns("event_key string, ts timestamp")
 
 
-def dedup_job(state_path: str, out: str, id_col: str, ts_col: str, hours: int = 24):
-    """First row per event id, over all batches of the last hours.
+def dedup_job(state_path: str, out: str, id_col: str, ts_col: str, hours: int = 24, **options):
+    """First row per event id, over all batches of at least the last hours.
 
     Copies within a batch are reduced before the shuffle, so an id that was sent a million times
-    costs one row per task; ids seen before are left out by an anti join. Ids older than the
-    horizon are forgotten, which bounds the state.
+    costs one row per task; ids seen before are left out by an anti join. Older ids are forgotten
+    when the state is compacted, which bounds it.
     """
+    with_key = lambda rows: rows.withColumn("event_key", F.col(id_col).cast("string"))
 
     def step(state: DataFrame, rows: DataFrame):
-        keyed = rows.withColumn("event_key", F.col(id_col).cast("string"))
         rest = [c for c in rows.columns if c != ts_col]
-        first = keyed.groupBy("event_key").agg(F.min(F.struct(ts_col, *rest)).alias("_row"))
+        first = with_key(rows).groupBy("event_key").agg(F.min(F.struct(ts_col, *rest)).alias("_row"))
         fresh = first.join(state, "event_key", "left_anti")
-        seen = state.unionByName(fresh.select("event_key", F.col("_row")[ts_col].alias("ts")))
-        newest = F.greatest(state.agg(F.max("ts")).scalar(), rows.agg(F.max(ts_col)).scalar())
-        return seen.where(F.col("ts") >= newest - F.make_interval(hours=F.lit(hours))), fresh.select("_row.*").select(*rows.columns)
+        return fresh.select("event_key", F.col("_row")[ts_col].alias("ts")), fresh.select("_row.*").select(*rows.columns)
+
+    def recent(state: DataFrame) -> DataFrame:
+        return state.where(F.col("ts") >= state.agg(F.max("ts")).scalar() - F.make_interval(hours=F.lit(hours)))
 
-    return stateful(state_path, DEDUP_STATE, step, out, "dedup")
+    return keyed(state_path, DEDUP_STATE, ["event_key"], with_key, step, out=out, app="dedup", retain=recent, **options)
 
 
 def router_job(out: str, mapping: dict[str, str]) -> Callable[[DataFrame, int], None]:

@@ -4,12 +4,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.align import align_to_schema
+from ..plans.alerts import ALERT_KEY
 from ..plans.inventory import add_deltas
 from ..schemas import ALERT_FEED, ALERTS, FOOT_TRAFFIC, SHELF_STATE, WH_STATE
 from ..sources.files import stream_files
 from ..sources.sinks import read_version
 from ..streaming import jobs as J
-from ..streaming.runner import changelog_table, run_stream
+from ..streaming.runner import changelog_table, read_keyed, run_stream
 from ..workspace import new_folder
 from .alerting import ORACLES as ALERTING, _cool, _near, uuid_sql
 from .fixtures import Inputs, now_ts, oracle
@@ -36,21 +37,21 @@ def q_shelf_table(i: Inputs):
     root = new_folder(i.spark, "shelf-table")
     job = J.shelf_state_job(f"{root}/state", f"{root}/log", align_to_schema(i.opening_shelf, SHELF_STATE), i.profiles, now_ts())
     finish(run_stream(i.stream("shelf_events", "lineitem"), job, f"{root}/progress"))
-    return read_version(i.spark, f"{root}/state", SHELF_STATE)
+    return read_keyed(i.spark, f"{root}/state", SHELF_STATE, ["shelf_id"])
 
 
 def q_wh(i: Inputs):
     root = new_folder(i.spark, "wh-state")
     job = J.raw_and(f"{root}/raw", "wh_events", J.wh_state_job(f"{root}/state", f"{root}/log", align_to_schema(i.opening_wh, WH_STATE), now_ts()))
     finish(run_stream(i.stream("wh_events", "lineitem"), job, f"{root}/progress"))
-    return read_version(i.spark, f"{root}/state", WH_STATE)
+    return read_keyed(i.spark, f"{root}/state", WH_STATE, ["shelf_id"])
 
 
 def q_lots(i: Inputs):
     root = new_folder(i.spark, "lots")
     job = J.lot_events_job(f"{root}/wh", f"{root}/store", i.wh_lots, i.store_lots)
     finish(run_stream(i.stream("wh_events", "lineitem"), job, f"{root}/progress"))
-    return read_version(i.spark, f"{root}/store", i.store_lots.schema)
+    return read_keyed(i.spark, f"{root}/store", i.store_lots.schema, J.LOT_KEY)
 
 
 def q_refill(i: Inputs):
@@ -63,7 +64,7 @@ def q_refill(i: Inputs):
 def q_cart(i: Inputs):
     root = new_folder(i.spark, "cart")
     finish(run_stream(i.stream("shelf_events", "lineitem"), J.cart_job(f"{root}/state", f"{root}/out", CART_ORDER), f"{root}/progress"))
-    return read_version(i.spark, f"{root}/state", J.CART_STATE).select("customer_id", "item_id", "quantity")
+    return read_keyed(i.spark, f"{root}/state", J.CART_STATE, J.CART_KEY).select("customer_id", "item_id", "quantity")
 
 
 def q_dedup(i: Inputs):
@@ -95,7 +96,7 @@ def q_cooldown(i: Inputs):
     root = new_folder(i.spark, "cooldown")
     rows = i.stream("alert_history", "events").select("event_type", "shelf_id", "location", "alert_id", now_ts().alias("created_at"))
     finish(run_stream(rows, J.cooldown_job(f"{root}/state", f"{root}/out"), f"{root}/progress"))
-    return read_version(i.spark, f"{root}/state", J.COOLDOWN_STATE)
+    return read_keyed(i.spark, f"{root}/state", J.COOLDOWN_STATE, ALERT_KEY)
 
 
 def q_shelf_alerts(i: Inputs):
@@ -134,7 +135,15 @@ def q_alert_sink(i: Inputs):
     return read_version(i.spark, f"{root}/state", ALERTS).select("alert_id", "status", "updated_at")
 
 
+def q_lot_sales(i: Inputs):
+    root = new_folder(i.spark, "lot-sales")
+    lines = i.stream("receipt_lines", "lineitem").where("batch_code is not null")
+    finish(run_stream(lines, J.store_lot_sales_job(f"{root}/state", i.store_lots), f"{root}/progress"))
+    return read_keyed(i.spark, f"{root}/state", i.store_lots.schema, J.LOT_KEY).select("shelf_id", "batch_code", "batch_quantity_store", "last_update_ts")
+
+
 QUERIES = {
+    "stream_lot_sales": q_lot_sales,
     "stream_shelf_alerts": q_shelf_alerts,
     "stream_wh_alerts": q_wh_alerts,
     "stream_restock": q_restock,
@@ -157,6 +166,7 @@ _due = """SELECT e.*, i.item_weight FROM wh_events e LEFT JOIN inventory i ON e.
 _levels = LEVELS.replace("FROM state s JOIN", "FROM inventory s JOIN").replace("FROM state s LEFT JOIN", "FROM inventory s LEFT JOIN")
 
 ORACLES = {
+    "stream_lot_sales": STATE["lot_state_from_sales"],
     "stream_shelf_alerts": oracle(
         f"""SELECT * FROM (SELECT 'refill_request' AS event_type, shelf_id, 'store' AS location, current_stock, min_qty, threshold_pct,
               ROUND(stock_pct, 6) AS stock_pct, CAST(suggested_qty AS INT) AS suggested_qty, {TS} AS created_at FROM refill

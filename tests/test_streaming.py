@@ -9,9 +9,9 @@ from stockwright.operators.align import align_to_schema
 from stockwright.plans import inventory as inv, sales
 from stockwright.schemas import SHELF_STATE
 from stockwright.sources.files import stream_files
-from stockwright.sources.sinks import append_batch, read_version, versions
+from stockwright.sources.sinks import append_batch, read_version, save_bucketed, write_if_empty, write_partitioned
 from stockwright.streaming import jobs as J
-from stockwright.streaming.runner import changelog_table, each_day, run_stream
+from stockwright.streaming.runner import changelog_table, each_day, read_keyed, run_stream
 from stockwright.workspace import cut, new_folder, shared_dir
 
 EVENTS = "shelf_id string, item_id string, customer_id string, event_type string, quantity int, ts timestamp, seq int"
@@ -47,10 +47,9 @@ def test_shelf_state(spark, tmp_path, n):
     profiles = frame(spark, PROFILES, ("S0", 2.0), ("S1", 3.0))
     want = rows(inv.shelf_state(events, opening(spark), profiles, ts()))
     source = lambda: stream_files(spark, f"{tmp_path}/in", events.schema, max_files=1)
-    job = J.shelf_state_job(f"{tmp_path}/state", f"{tmp_path}/log", opening(spark), profiles, ts())
+    job = J.shelf_state_job(f"{tmp_path}/state", f"{tmp_path}/log", opening(spark), profiles, ts(), compact_every=4)
     run_stream(source(), job, f"{tmp_path}/ck").awaitTermination()
-    assert rows(read_version(spark, f"{tmp_path}/state", SHELF_STATE)) == want
-    assert len(versions(spark, f"{tmp_path}/state")) <= 2
+    assert rows(read_keyed(spark, f"{tmp_path}/state", SHELF_STATE, ["shelf_id"])) == want
     # The published rows end at the same state for every shelf that was touched.
     log = changelog_table(spark.read.parquet(f"{tmp_path}/log"), ["shelf_id"])
     assert rows(log.select(*SHELF_STATE.names)) == [r for r in want if r[0] != "S9"]
@@ -63,10 +62,12 @@ def test_shelf_state(spark, tmp_path, n):
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     events, profiles = shelf_events(spark), frame(spark, PROFILES, ("S0", 2.0))
     job = J.shelf_state_job(f"{tmp_path}/state", f"{tmp_path}/log", opening(spark), profiles, ts())
-    first, second = events.where("seq < 30"), events.where("seq >= 30")
-    for batch_id, part in ((0, first), (1, second), (1, second)):
+    job = J.shelf_state_job(f"{tmp_path}/state", f"{tmp_path}/log", opening(spark), profiles, ts(), compact_every=2)
+    part = lambda a, b: events.where(f"seq >= {a} and seq < {b}")
+    # Batch 1 and batch 3 also compact the state; both are run twice.
+    for batch_id, part in ((0, part(0, 10)), (1, part(10, 30)), (1, part(10, 30)), (2, part(30, 40)), (3, part(40, 60)), (3, part(40, 60))):
         job(part, batch_id)
-    assert rows(read_version(spark, f"{tmp_path}/state", SHELF_STATE)) == rows(inv.shelf_state(events, opening(spark), profiles, ts()))
+    assert rows(read_keyed(spark, f"{tmp_path}/state", SHELF_STATE, ["shelf_id"])) == rows(inv.shelf_state(events, opening(spark), profiles, ts()))
 
 
 @pytest.mark.parametrize("n", [1, 4])
@@ -75,7 +76,7 @@ def test_cart(spark, tmp_path, n):
     split(events, f"{tmp_path}/in", n)
     job = J.cart_job(f"{tmp_path}/state", f"{tmp_path}/out", ["ts", "seq"])
     run_stream(stream_files(spark, f"{tmp_path}/in", events.schema, max_files=1), job, f"{tmp_path}/ck").awaitTermination()
-    got = read_version(spark, f"{tmp_path}/state", J.CART_STATE)
+    got = read_keyed(spark, f"{tmp_path}/state", J.CART_STATE, J.CART_KEY)
     assert rows(got, "customer_id", "item_id", "quantity") == rows(sales.cart_state(events, ["ts", "seq"]))
 
 
@@ -127,11 +128,11 @@ def test_cooldown_across_batches(spark, tmp_path):
 
 def test_dedup_over_batches(spark, tmp_path):
     cols = "id string, ts timestamp, v int"
-    job = J.dedup_job(f"{tmp_path}/state", f"{tmp_path}/out", "id", "ts", hours=1)
+    job = J.dedup_job(f"{tmp_path}/state", f"{tmp_path}/out", "id", "ts", hours=1, compact_every=2)
     job(frame(spark, cols, ("a", "1998-06-01 12:00:00", 1), ("a", "1998-06-01 12:01:00", 2), ("b", "1998-06-01 12:00:00", 3)), 0)
     job(frame(spark, cols, ("a", "1998-06-01 12:10:00", 4), ("c", "1998-06-01 14:00:00", 5)), 1)
     assert rows(spark.read.parquet(f"{tmp_path}/out"), "id", "v") == [("a", 1), ("b", 3), ("c", 5)]
-    assert rows(read_version(spark, f"{tmp_path}/state", J.DEDUP_STATE), "event_key") == [("c",)]
+    assert rows(read_keyed(spark, f"{tmp_path}/state", J.DEDUP_STATE, ["event_key"]), "event_key") == [("c",)]
 
 
 @pytest.mark.parametrize("n", [1, 3])
@@ -145,8 +146,8 @@ def test_lots(spark, tmp_path, n):
     job = J.lot_events_job(f"{tmp_path}/wh", f"{tmp_path}/store", wh, store)
     run_stream(stream_files(spark, f"{tmp_path}/in", events.schema, max_files=1), job, f"{tmp_path}/ck").awaitTermination()
     a, b = inv.lots_after_wh_events(events, wh, store)
-    assert rows(read_version(spark, f"{tmp_path}/wh", wh.schema)) == rows(a)
-    assert rows(read_version(spark, f"{tmp_path}/store", store.schema)) == rows(b)
+    assert rows(read_keyed(spark, f"{tmp_path}/wh", wh.schema, J.LOT_KEY)) == rows(a)
+    assert rows(read_keyed(spark, f"{tmp_path}/store", store.schema, J.LOT_KEY)) == rows(b)
 
 
 def test_append_of_the_same_batch_replaces_it(spark, tmp_path):
@@ -167,3 +168,46 @@ def test_shared_folder(spark):
     assert shared_dir(spark) == (named.rstrip("/") if named else shared_dir(spark))
     assert new_folder(spark, "x").startswith(shared_dir(spark))
     assert cut(spark.range(5)).count() == 5
+
+
+def test_young_plans_are_served_later(spark, tmp_path):
+    plan = "plan_id string, shelf_id string, suggested_qty int, status string, created_at timestamp, updated_at timestamp"
+    lots = frame(spark, "shelf_id string, batch_code string, received_date date, expiry_date date, batch_quantity_warehouse int", ("S1", "B1", "1998-01-01", "1998-09-01", 50))
+    job = J.restock_job(f"{tmp_path}/state", f"{tmp_path}/out", lambda: lots)
+    job(frame(spark, plan, ("P1", "S1", 5, "pending", "1998-06-01 12:00:00", None)), 0)
+    job(frame(spark, plan, ("P2", "S1", 7, "pending", "1998-06-01 12:01:00", None)), 1)
+    assert rows(spark.read.parquet(f"{tmp_path}/out/wh_out"), "plan_id", "qty") == [("P1", 5)]
+    job(frame(spark, plan, ("P3", "S2", 7, "pending", "1998-06-01 12:09:00", None)), 2)
+    assert rows(spark.read.parquet(f"{tmp_path}/out/wh_out"), "plan_id", "qty") == [("P1", 5), ("P2", 7)]
+
+
+def test_alert_table_has_one_writer(spark, tmp_path):
+    from stockwright.schemas import ALERT_FEED, ALERTS
+    feed = lambda *r: align_to_schema(frame(spark, "event_type string, shelf_id string, location string, alert_event_type string, status string, created_at timestamp", *r), ALERT_FEED).withColumn("seq", F.monotonically_increasing_id())
+    job = J.alert_sink_job(f"{tmp_path}/state", spark.createDataFrame([], ALERTS), ts())
+    new = ("refill_request", "S1", "store", None, None, "1998-06-01 11:00:00")
+    job(feed(new, ("near_expiry", "S1", "store", None, None, "1998-06-01 11:00:00")), 0)
+    job(feed(new, ("alert_status_change", "S1", "store", "refill_request", "done", None)), 1)
+    assert rows(read_version(spark, f"{tmp_path}/state", ALERTS), "event_type", "status") == [("near_expiry", "open"), ("refill_request", "resolved")]
+
+
+def test_first_fill_and_partitions(spark, tmp_path):
+    df = frame(spark, "d date, v int", ("1998-06-01", 1), ("1998-06-02", 2))
+    assert write_if_empty(df, f"{tmp_path}/a") and not write_if_empty(df, f"{tmp_path}/a")
+    write_partitioned(df, f"{tmp_path}/p", "d")
+    write_partitioned(df.where("v = 2").withColumn("v", F.lit(9)), f"{tmp_path}/p", "d")
+    assert rows(spark.read.parquet(f"{tmp_path}/p"), "v") == [(1,), (9,)]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for t in ("left_state", "right_state"):
+            path = f"{tmp_path}/{t}"
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+            df = spark.range(100).select(F.concat(F.lit("S"), "id").alias("shelf_id"), F.col("id").alias(t))
+            save_bucketed(df, t, ["shelf_id"], 4, path)
+        joined = spark.table("left_state").join(spark.table("right_state"), "shelf_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
