@@ -133,7 +133,7 @@ QUERIES = {
     "json_encode": q_encode,
     "stream_routing": lambda i: route(named_rows(i.table("events")), MAPPING),
     "replace_by_key": q_replace,
-    "delete_by_key": lambda i: delete_keys(i["inventory"].select("shelf_id", "item_category"), i["supplier_plans"], ["shelf_id"]),
+    "delete_by_key": lambda i: delete_keys(i["inventory"].select("shelf_id", "item_category"), i["supplier_receipts"], ["shelf_id"]),
     "lot_keys": lambda i: i["wh_lots"].select(compound_key("shelf_id", "batch_code").alias("k"), compound_key("shelf_id", "batch_code", sep="|").alias("j")),
 }
 
@@ -192,6 +192,6 @@ ORACLES = {
     "replace_by_key": oracle(
         """SELECT COALESCE(f.shelf_id, i.shelf_id) AS shelf_id, CAST(COALESCE(f.q, i.current_stock) AS INT) AS current_stock FROM inventory i FULL JOIN
            (SELECT shelf_id, SUM(suggested_qty) AS q FROM supplier_plans GROUP BY shelf_id) f ON i.shelf_id = f.shelf_id""", "inventory", "supplier_plans"),
-    "delete_by_key": oracle("SELECT shelf_id, item_category FROM inventory WHERE shelf_id NOT IN (SELECT shelf_id FROM supplier_plans)", "inventory", "supplier_plans"),
+    "delete_by_key": oracle("SELECT shelf_id, item_category FROM inventory WHERE shelf_id NOT IN (SELECT shelf_id FROM supplier_receipts)", "inventory", "supplier_receipts"),
     "lot_keys": oracle("SELECT shelf_id || '::' || batch_code AS k, shelf_id || '|' || batch_code AS j FROM wh_lots", "wh_lots"),
 }
