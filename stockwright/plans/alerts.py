@@ -38,9 +38,9 @@ def resolve_policy(shelves: DataFrame, policies: DataFrame, by_category: bool =
         rows = rows.where("item_category is null and item_subcategory is null")
     default = {"threshold_pct": S.DEFAULT_THRESHOLD_PCT, "min_qty": S.DEFAULT_MIN_QTY}
     # The global policy is one row: a scalar subquery, null when there is none.
+    common = rows.agg(F.max_by(F.struct(*values), "updated_at").alias("common")).scalar()
     for v in values:
-        common = rows.agg(F.max_by(v, "updated_at").alias(v)).scalar()
-        out = out.withColumn(v, F.coalesce(*[F.col(f"_{t}_{v}") for t in tags], common, F.lit(default[v])))
+        out = out.withColumn(v, F.coalesce(*[F.col(f"_{t}_{v}") for t in tags], common[v], F.lit(default[v])))
     return out.drop(*[f"_{t}_{v}" for t in tags for v in values])
 
 

@@ -73,8 +73,10 @@ def types(spark_df, relation) -> dict[str, tuple[str, str]]:
     return {c: (ddl.get(c), duck_types.get(c)) for c in set(ddl) | set(duck_types) if same.get(ddl.get(c), ddl.get(c)) != duck_types.get(c)}
 
 
-def check(spark, con, folder: str, name: str, query, sql: str | None) -> list[str]:
+def check(spark, con, folder: str, name: str, query, sql: str | None, inspect=None) -> list[str]:
     df = query(spark, folder)
+    if inspect:
+        inspect(df)
     got = df.toPandas()
     if sql is None:
         return [] if len(got) else ["no rows"]

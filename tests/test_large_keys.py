@@ -1,0 +1,16 @@
+"""The registered queries with the plan for large keys forced on, against the same SQL checks."""
+import pytest
+from compare import check, duck
+
+import __spark_entry__ as entry
+from stockwright.operators import allocate, ordered
+
+FOLDER = "/root/testdata/sf0.001"
+ORDERED = ("fifo_allocation", "fefo_allocation", "allocation_shortage", "lot_transfer", "restock_wh_out", "receipt_pricing", "cart_state", "checkouts", "stream_cart")
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_sliced(spark, monkeypatch, name):
+    for module in (allocate, ordered):
+        monkeypatch.setattr(module, "largest_key", lambda *a: 10**12)
+    assert check(spark, duck(FOLDER), FOLDER, name, entry.queries()[name], entry.oracle_sql()[name]) == []

@@ -2,17 +2,14 @@
 import re
 
 import pytest
-from helpers import day, ts
+from helpers import day
 from pyspark.sql import functions as F
 
 from stockwright.operators.ordered import ordered_scan
 from stockwright.plans import features as X, inventory as inv
-from stockwright.suite import QUERIES
 from stockwright.suite.fixtures import Inputs
 
 FOLDER = "/root/testdata/sf0.001"
-# Queries that run a stream or a model before they return a frame.
-EAGER = {n for n in QUERIES if n.startswith("stream_")} | {"model_predictions"}
 
 
 def plan(df) -> str:
@@ -24,15 +21,6 @@ def inputs(spark):
     return Inputs(spark, FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_pairing_and_no_python(inputs, name):
-    text = plan(QUERIES[name](inputs))
-    assert "CartesianProduct" not in text
-    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", text)
-    if name != "default_policies":  # its absent-row test compares with at most one global row
-        assert "BroadcastNestedLoopJoin" not in text
-
-
 def exchanges(text: str) -> list[str]:
     return re.findall(r"Exchange (\w+)\(?([^,)]*)", text)
 

@@ -1,4 +1,6 @@
 """Every registered query against its SQL check on the smallest test tables."""
+import re
+
 import pytest
 from compare import check, duck
 
@@ -13,9 +15,15 @@ def con():
     return duck(FOLDER)
 
 
+def no_pairing_and_no_python(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert check(spark, con, FOLDER, name, QUERIES[name], ORACLES.get(name)) == []
+    assert check(spark, con, FOLDER, name, QUERIES[name], ORACLES.get(name), no_pairing_and_no_python) == []
 
 
 def test_checks_belong_to_queries():

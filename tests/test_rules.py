@@ -286,3 +286,24 @@ def test_model_registry(spark):
     new = frame(spark, cols, (ml.MODEL, "v2", "1998-06-01 00:00:00", "{}", "/m/v2"))
     assert rows(ml.register(reg, new), "model_version") == [("v2",)]
     assert rows(ml.register(reg, new, keep_existing=True), "model_version") == [("v1",)]
+
+
+def test_demand_by_category(spark):
+    df = spark.createDataFrame([("BEERS",), ("FISH",), ("other",), (None,)], "c string")
+    assert [r[0] for r in df.select(S.category_demand("c")).collect()] == [1.05, 0.6, 0.6, 0.6]
+
+
+def test_capacity_in_batches(spark):
+    df = spark.createDataFrame([(25, 6), (5, 6), (24, 6)], "b int, s int")
+    assert [tuple(r) for r in df.select(S.capacity_in_batches("b", "s", True), S.capacity_in_batches("b", "s", False)).collect()] == [(30, 24), (12, 12), (24, 24)]
+
+
+def test_epoch_unit_is_recognised(spark):
+    df = spark.createDataFrame([(896702400,), (896702400000,)], "n bigint")
+    assert {str(r[0]) for r in df.select(T.from_epoch("n")).collect()} == {"1998-06-01 12:00:00"}
+
+
+def test_stock_rule_for_orders(spark):
+    df = spark.createDataFrame([(5, 20, 100, 0, 6), (95, 120, 100, 0, 6), (50, 40, 100, 1, 6), (50, 40, 100, 0, 6), (None, 20, 0, 0, None)],
+                               "stock int, point int, cap int, alert int, size int")
+    assert [r[0] for r in df.select(S.fallback_batches("stock", "point", "cap", "alert", "size")).collect()] == [3, 0, 1, 0, 20]
