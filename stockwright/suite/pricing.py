@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.times import iso_week
 from ..plans import discounts as D, sales as S
 from .fixtures import Inputs, now_ts, oracle, today
+from .alerting import uuid_sql
 from .state import DAY, TS
 
 r6 = lambda c: F.round(c, 6).alias(c)
@@ -62,7 +63,17 @@ def q_week(i: Inputs):
     return D.discount_in_week(weeks, today()).select("shelf_id", r6("discount"))
 
 
+def q_messages(i: Inputs):
+    """Receipts as messages of at most three lines, summed up again per message."""
+    carts = i.sql("SELECT o_orderkey AS cart_id, 'C' || CAST(o_custkey AS STRING) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS checkout_ts FROM orders")
+    m = S.receipts(priced(i), carts, per_message=3)
+    units = F.aggregate("items", F.lit(0), lambda a, x: a + x["quantity"])
+    return m.groupBy("transaction_id", "customer_id", "timestamp").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum(F.size("items")).alias("n_lines"), F.sum(units).alias("units"), F.max(F.size("items")).alias("longest"))
+
+
 QUERIES = {
+    "receipt_messages": q_messages,
     "discount_in_week": q_week,
     "daily_discount": q_daily,
     "daily_discount_table": q_daily_table,
@@ -120,6 +131,11 @@ _visited = f"""SELECT v.visit_id, v.checkout_ts, e.* FROM steps e ASOF JOIN
   ON e.customer_id = v.customer_id AND e.ts >= v.entry_time WHERE e.ts <= v.checkout_ts"""
 
 ORACLES = {
+    "receipt_messages": oracle(
+        f"""SELECT {uuid_sql("'receipt:' || CAST(cart_id AS STRING)")} AS transaction_id, 'C' || CAST(o_custkey AS STRING) AS customer_id,
+            CAST(o_orderdate AS TIMESTAMP) AS "timestamp", (n + 2) // 3 AS messages, n AS n_lines, units, CAST(LEAST(n, 3) AS INT) AS longest
+            FROM (SELECT cart_id, COUNT(*) AS n, CAST(SUM(quantity) AS BIGINT) AS units FROM priced GROUP BY cart_id) JOIN orders ON cart_id = o_orderkey""",
+        *PRICE_FIX, **PRICE_PARTS),
     "discount_in_week": oracle(
         f"""SELECT shelf_id, ROUND(MAX(CASE WHEN discount_pct > 1 THEN discount_pct / 100 ELSE discount_pct END), 6) AS discount
             FROM weekly_discounts WHERE strftime(week_start, '%G-%V') = strftime({DAY}, '%G-%V') GROUP BY shelf_id""", "weekly_discounts"),

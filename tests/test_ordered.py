@@ -177,3 +177,12 @@ def test_checkouts_take_the_latest_visit(spark, max_rows):
     got = sales.checkouts(events, visits, ts(), ["seq"], max_rows=max_rows)
     # v1 left; v3 is older than three hours at noon; v2 (09:00) is exactly three hours old and still in.
     assert rows(got, "visit_id", "item_id", "quantity") == [("v1", "x", 1), ("v3", "q", 4)]
+
+
+@pytest.mark.parametrize("max_rows", [0, 1_000_000])
+def test_long_receipts_are_split(spark, max_rows):
+    lines = frame(spark, "cart_id string, item_id string, batch_code string, quantity int, unit_price double, discount double, total_price double, expiry_date date",
+                  *[("a", f"i{k}", None if k % 2 else f"b{k}", 1, 1.0, 0.0, 1.0, None) for k in range(5)], ("b", "x", None, 2, 1.0, 0.0, 2.0, "1998-07-01"))
+    carts = frame(spark, "cart_id string, customer_id string, checkout_ts timestamp", ("a", "c1", "1998-06-01 12:00:00"), ("b", "c2", "1998-06-01 12:00:00"))
+    got = sorted((r["customer_id"], r["part"], [i["item_id"] for i in r["items"]]) for r in sales.receipts(lines, carts, 2, max_rows).collect())
+    assert got == [("c1", 0, ["i0", "i1"]), ("c1", 1, ["i2", "i3"]), ("c1", 2, ["i4"]), ("c2", 0, ["x"])]

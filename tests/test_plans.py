@@ -55,3 +55,11 @@ def test_scan_reads_needed_columns_only(inputs):
 def test_rollups_read_one_pass(inputs):
     text = plan(X.sales_rollups(inputs["raw_panel"], day()))
     assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_allocation_shuffles_each_side_once(inputs):
+    """Lots by (part, supplier) for the fixture, then lots and plans by shelf; the merged line needs no further one."""
+    from stockwright.suite import QUERIES
+
+    text = plan(QUERIES["fifo_allocation"](inputs))
+    assert text.count("Exchange hashpartitioning") == 3 and "Join" not in text
