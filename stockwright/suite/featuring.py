@@ -41,7 +41,8 @@ def features_of(i: Inputs):
 
 
 def shown(df):
-    return df.withColumns({c: F.round(c, 6) for c in ("shelf_fill_ratio", "warehouse_fill_ratio", "avg_expiration_days", "discount")})
+    # Nine places: a ratio of whole numbers may end in a 5 at the seventh.
+    return df.withColumns({c: F.round(c, 9) for c in ("shelf_fill_ratio", "warehouse_fill_ratio", "avg_expiration_days", "discount")})
 
 
 def q_backfill(i: Inputs):
@@ -85,7 +86,7 @@ VIEW = ["shelf_id", "feature_date", "is_weekend", "refill_day", "item_price", "d
         "warehouse_capacity"]
 
 QUERIES = {
-    "expiry_features": lambda i: X.expiry_features(lots_in(i), today()).withColumn("avg_expiration_days", F.round("avg_expiration_days", 6)),
+    "expiry_features": lambda i: X.expiry_features(lots_in(i), today()).withColumn("avg_expiration_days", F.round("avg_expiration_days", 9)),
     "sales_rollups": lambda i: X.sales_rollups(i["raw_panel"], today()),
     "daily_sales": lambda i: X.daily_sales(headers(i), lines(i), today()),
     "pending_supplier": lambda i: X.open_supply(i["supplier_plans"]),
@@ -106,7 +107,7 @@ QUERIES = {
 
 W = "OVER (PARTITION BY shelf_id ORDER BY feature_date"
 _full = lambda n: f"CAST(CASE WHEN COUNT(*) {W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) = {n} THEN SUM(sales_qty) {W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) ELSE 0 END AS INT)"
-_exp = f"""SELECT shelf_id, CAST(MIN(expiry_date - {DAY}) AS INT) AS min_expiration_days, ROUND(AVG(expiry_date - {DAY}), 6) AS avg_expiration_days,
+_exp = f"""SELECT shelf_id, CAST(MIN(expiry_date - {DAY}) AS INT) AS min_expiration_days, ROUND(AVG(expiry_date - {DAY}), 9) AS avg_expiration_days,
   CAST(SUM(CASE WHEN expiry_date BETWEEN {DAY} AND {DAY} + 6 THEN qty ELSE 0 END) AS INT) AS qty_expiring_next_7d FROM wh_lots WHERE qty > 0 GROUP BY shelf_id"""
 _roll = f"""SELECT shelf_id, CAST(SUM(CASE WHEN feature_date = {DAY} - 1 THEN sales_qty ELSE 0 END) AS INT) AS sales_last_1d,
   CAST(SUM(CASE WHEN feature_date >= {DAY} - 7 THEN sales_qty ELSE 0 END) AS INT) AS sales_last_7d,
@@ -117,15 +118,15 @@ _sales = f"""SELECT 'S' || CAST(l_partkey AS STRING) AS shelf_id, CAST(SUM(l_qua
   WHERE CAST(o_orderdate AS DATE) = {DAY} GROUP BY l_partkey"""
 _open = """SELECT shelf_id, CAST(SUM(suggested_qty) AS INT) AS pending_supplier_qty FROM supplier_plans WHERE lower(trim(status)) IN ('pending', 'issued') GROUP BY shelf_id"""
 _features = f"""SELECT i.shelf_id, {DAY} AS feature_date, i.item_category, i.item_subcategory, 0 AS day_of_week, FALSE AS is_weekend,
-  FALSE AS warehouse_inbound_day, FALSE AS refill_day, i.item_price, ROUND(COALESCE(d.discount, 0.0), 6) AS discount,
+  FALSE AS warehouse_inbound_day, FALSE AS refill_day, i.item_price, ROUND(COALESCE(d.discount, 0.0), 9) AS discount,
   COALESCE(d.discount, 0) > 0 AS is_discounted,
   i.shelf_id IN (SELECT shelf_id FROM daily_discounts WHERE discount > 0 AND discount_date BETWEEN {DAY} AND {DAY} + 6) AS is_discounted_next_7d,
   CAST(NULL AS INT) AS people_count, COALESCE(sa.sales_qty, 0) AS sales_qty, r.sales_last_1d, r.sales_last_7d, r.sales_last_14d,
   0 AS stockout_events, i.maximum_stock AS shelf_capacity, COALESCE(s.current_stock, 0) AS current_stock_shelf,
-  ROUND(CASE WHEN i.maximum_stock > 0 THEN COALESCE(s.current_stock, 0) / i.maximum_stock ELSE 0 END, 6) AS shelf_fill_ratio,
+  ROUND(CASE WHEN i.maximum_stock > 0 THEN COALESCE(s.current_stock, 0) / i.maximum_stock ELSE 0 END, 9) AS shelf_fill_ratio,
   CAST(NULL AS INT) AS shelf_threshold_qty, 0 AS expired_qty_shelf, COALESCE(r.alerts_last_30d_shelf, 0) AS alerts_last_30d_shelf,
   FALSE AS is_shelf_alert, i.wcap AS warehouse_capacity, COALESCE(w.wh_current_stock, 0) AS current_stock_warehouse,
-  ROUND(CASE WHEN i.wcap > 0 THEN COALESCE(w.wh_current_stock, 0) / i.wcap ELSE 0 END, 6) AS warehouse_fill_ratio,
+  ROUND(CASE WHEN i.wcap > 0 THEN COALESCE(w.wh_current_stock, 0) / i.wcap ELSE 0 END, 9) AS warehouse_fill_ratio,
   COALESCE(p.reorder_point_qty, 10) AS wh_reorder_point_qty, COALESCE(o.pending_supplier_qty, 0) AS pending_supplier_qty, 0 AS expired_qty_wh,
   COALESCE(r.alerts_last_30d_wh, 0) AS alerts_last_30d_wh,
   i.wcap > 0 AND COALESCE(w.wh_current_stock, 0) < COALESCE(p.reorder_point_qty, 10) AS is_warehouse_alert, 0 AS moved_wh_to_shelf,
