@@ -15,7 +15,7 @@ from ..plans.routing import route
 from ..plans.sales import cart_moves, held
 from ..schemas import ALERTS, RESTOCK_PLAN, SHELF_STATE, WH_STATE, columns
 from ..sources.sinks import append_batch
-from .runner import append_stream, changelog_sink, keyed, run_stream, stateful, stateless
+from .runner import append_stream, changelog_sink, keyed, run_stream, same_keys, stateful, stateless
 
 
 def running_deltas(events: DataFrame, qty: str, signs: dict[str, int]) -> DataFrame:
@@ -39,7 +39,7 @@ def shelf_state_job(state_path: str, out: str, opening: DataFrame, profiles: Dat
         after = add_deltas(state, deltas, "current_stock", now, {"item_weight": F.col("s.item_weight")})
         return after, after.join(deltas.select("shelf_id"), "shelf_id", "left_semi")
 
-    return keyed(state_path, SHELF_STATE, ["shelf_id"], lambda rows: rows, step, opening, out, "shelf_state", **options)
+    return keyed(state_path, SHELF_STATE, ["shelf_id"], same_keys(["shelf_id"]), step, opening, out, "shelf_state", **options)
 
 
 def wh_state_job(state_path: str, out: str, opening: DataFrame, now: Column, **options):
@@ -48,7 +48,7 @@ def wh_state_job(state_path: str, out: str, opening: DataFrame, now: Column, **o
         after = add_deltas(state, deltas, "wh_current_stock", now)
         return after, after.join(deltas.select("shelf_id"), "shelf_id", "left_semi")
 
-    return keyed(state_path, WH_STATE, ["shelf_id"], lambda rows: rows, step, opening, out, "wh_state", **options)
+    return keyed(state_path, WH_STATE, ["shelf_id"], same_keys(["shelf_id"]), step, opening, out, "wh_state", **options)
 
 
 LOT_KEY = ["shelf_id", "batch_code"]
@@ -58,7 +58,7 @@ def store_lot_sales_job(state_path: str, opening: DataFrame, **options):
     """Store lots lowered by the receipt lines of each batch."""
     step = lambda state, lines: (lots_after_sales(lines, state), None)
     lot_of = lambda lines: lines.select(F.col("item_id").alias("shelf_id"), "batch_code")
-    return keyed(state_path, opening.schema, LOT_KEY, lot_of, step, opening, app="lot_sales", **options)
+    return keyed(state_path, opening.schema, LOT_KEY, same_keys(LOT_KEY, lot_of), step, opening, app="lot_sales", **options)
 
 
 def lot_events_job(wh_path: str, store_path: str, wh_opening: DataFrame, store_opening: DataFrame, **options):
@@ -66,8 +66,8 @@ def lot_events_job(wh_path: str, store_path: str, wh_opening: DataFrame, store_o
     wh_step = lambda state, ev: (lots_after_wh_events(ev, state, store_opening.limit(0))[0], None)
     store_step = lambda state, ev: (lots_after_wh_events(ev, wh_opening.limit(0), state)[1], None)
     to_store = lambda ev: ev.where("event_type = 'wh_out'")
-    warehouse = keyed(wh_path, wh_opening.schema, LOT_KEY, lambda ev: ev, wh_step, wh_opening, app="lot_events", **options)
-    store = keyed(store_path, store_opening.schema, LOT_KEY, to_store, store_step, store_opening, app="lot_events", **options)
+    warehouse = keyed(wh_path, wh_opening.schema, LOT_KEY, same_keys(LOT_KEY), wh_step, wh_opening, app="lot_events", **options)
+    store = keyed(store_path, store_opening.schema, LOT_KEY, same_keys(LOT_KEY, to_store), store_step, store_opening, app="lot_events", **options)
 
     def both(rows: DataFrame, batch_id: int) -> None:
         warehouse(rows, batch_id)
@@ -111,7 +111,7 @@ CART_STATE = columns("customer_id string, item_id string, quantity bigint, last_
 
 
 def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | None = None, now: Column | None = None,
-             max_age_h: int = 3, max_rows: int = MAX_ROWS_PER_KEY):
+             max_age_h: int = 3, max_rows: int = MAX_ROWS_PER_KEY, **options):
     """Items held per customer. Each batch of events is one step per (customer, item): its sum and its
     lowest running sum, applied to the quantity held before.
 
@@ -120,31 +120,40 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
     and the cart is emptied. The batch's events are taken as they arrive.
     """
 
+    def gone(clock: Column) -> DataFrame:
+        stale = clock - F.make_interval(hours=F.lit(max_age_h))
+        return visits.where((F.col("exit_time") <= clock) | (F.col("entry_time") < stale)).select("customer_id").distinct()
+
+    def clock_of(rows: DataFrame) -> Column:
+        return now if now is not None else rows.agg(F.max("ts")).scalar()
+
+    def pick(state: DataFrame, rows: DataFrame) -> DataFrame:
+        mine = rows.select(*CART_KEY).distinct().withColumn("_mine", F.lit(True))
+        marked = state.join(mine, CART_KEY, "left")
+        if visits is None:
+            return marked.where("_mine")
+        left = gone(clock_of(rows)).withColumn("_left", F.lit(True))
+        return marked.join(left, "customer_id", "left").where("_mine or (_left and quantity > 0)")
+
     def step(state: DataFrame, rows: DataFrame):
-        moves = cart_moves(rows, ["customer_id", "item_id"], order, max_rows)
-        last = rows.groupBy("customer_id", "item_id").agg(F.max("ts").alias("ts"))
-        both = moves.join(last, ["customer_id", "item_id"])
+        moves = cart_moves(rows, CART_KEY, order, max_rows)
+        last = rows.groupBy(*CART_KEY).agg(F.max("ts").alias("ts"))
+        both = moves.join(last, CART_KEY)
         start = F.coalesce(F.col("t.quantity"), F.lit(0))
         carts = upsert(
-            state, both, ["customer_id", "item_id"],
+            state, both, CART_KEY,
             on_match={"quantity": held(start, F.col("s.net"), F.col("s.low")), "last_ts": F.greatest(F.col("t.last_ts"), F.col("s.ts"))},
             on_insert={"quantity": held(F.lit(0), F.col("s.net"), F.col("s.low")), "last_ts": F.col("s.ts")},
         )
         if visits is None:
             return carts, None
-        # Customers who leave need not occur in the batch: here the whole table of open carts is stepped.
-        clock = now if now is not None else F.greatest(state.agg(F.max("last_ts")).scalar(), rows.agg(F.max("ts")).scalar())
-        stale = clock - F.make_interval(hours=F.lit(max_age_h))
-        gone = visits.where((F.col("exit_time") <= clock) | (F.col("entry_time") < stale)).groupBy("customer_id").agg(
-            F.max("entry_time").alias("entry_time")
-        )
-        leaving = carts.join(gone, "customer_id", "left_semi")
-        staying = carts.join(gone, "customer_id", "left_anti")
-        return staying, leaving.where("quantity > 0").withColumn("checkout_ts", clock)
+        clock = clock_of(rows)
+        marked = carts.join(gone(clock).withColumn("_left", F.lit(True)), "customer_id", "left")
+        leaving = marked.where("_left and quantity > 0").select(*carts.columns).withColumn("checkout_ts", clock)
+        emptied = marked.withColumn("quantity", F.when(F.col("_left"), 0).otherwise(F.col("quantity")))
+        return emptied.select(*carts.columns), leaving
 
-    if visits is None:
-        return keyed(state_path, CART_STATE, CART_KEY, lambda rows: rows, step, app="cart")
-    return stateful(state_path, CART_STATE, step, out, "checkout")
+    return keyed(state_path, CART_STATE, CART_KEY, pick, step, out=out, app="cart", **options)
 
 
 Table = Callable[[], DataFrame]
@@ -175,31 +184,47 @@ def wh_alert_job(out: str, policies: Table, lots: Table, sizes: Table, history:
     return stateless(out, step, "wh_alerts")
 
 
-def restock_job(state_path: str, out: str, lots: Table, now: Column | None = None, min_age_s: int = 60):
+def restock_job(state_path: str, out: str, lots: Table, now: Column | None = None, min_age_s: int = 60, **options):
     """Plans are kept until they are old enough, then served from the lots; a young plan waits for a later batch.
 
-    Time is the given one, or the latest creation time seen.
+    Time is the given one, or the latest creation time seen. A batch looks at its own plans and at
+    those still pending, not at the plans of the past.
     """
 
+    def pick(state: DataFrame, rows: DataFrame) -> DataFrame:
+        mine = rows.select("plan_id").distinct().withColumn("_mine", F.lit(True))
+        return state.join(mine, "plan_id", "left").where("status = 'pending' or _mine")
+
     def step(state: DataFrame, rows: DataFrame):
         plans = replace_rows(state, rows.select(*RESTOCK_PLAN.names), ["plan_id"])
         clock = now if now is not None else plans.agg(F.max("created_at")).scalar()
         wh_out, after, acks = issue_restock(plans, lots(), clock, min_age_s)
         return after, {"wh_out": wh_out, "acks": acks}
 
-    return stateful(state_path, RESTOCK_PLAN, step, out, "restock")
+    return keyed(state_path, RESTOCK_PLAN, ["plan_id"], pick, step, out=out, app="restock", **options)
+
 
+def alert_sink_job(state_path: str, opening: DataFrame, now: Column, **options):
+    """The one writer of the alert table: new alerts are added, status changes applied (rows carry seq).
 
-def alert_sink_job(state_path: str, opening: DataFrame, now: Column):
-    """The one writer of the alert table: new alerts are added, status changes applied (rows carry seq)."""
+    A batch looks at the alerts it names and at those of the places it names.
+    """
+
+    def pick(state: DataFrame, feed: DataFrame) -> DataFrame:
+        new, changes = split_alert_feed(feed)
+        ids = alert_rows(new, now).select("alert_id").union(changes.select("alert_id")).where("alert_id is not null")
+        places = changes.where("alert_id is null").select("shelf_id", "location")
+        mark = lambda df, c: df.distinct().withColumn(c, F.lit(True))
+        named = state.join(mark(ids, "_named"), "alert_id", "left").join(mark(places, "_placed"), ["shelf_id", "location"], "left")
+        return named.where("_named or _placed")
 
     def step(state: DataFrame, feed: DataFrame):
-        known = state.unionByName(opening.join(state, "alert_id", "left_anti"))
         new, changes = split_alert_feed(feed)
-        table = replace_rows(known, alert_rows(new, now), ["alert_id"])
+        # Alerts of one place and time are the same alert, however often they arrive.
+        table = replace_rows(state, alert_rows(new, now).dropDuplicates(["alert_id"]), ["alert_id"])
         return apply_status(table, changes, now), None
 
-    return stateful(state_path, ALERTS, step)
+    return keyed(state_path, ALERTS, ["alert_id"], pick, step, opening, app="alert_sink", **options)
 
 
 COOLDOWN_STATE = T.StructType([ALERTS[c] for c in ALERT_KEY] + [T.StructField("created_at", T.TimestampType())])
@@ -217,7 +242,7 @@ def cooldown_job(state_path: str, out: str, minutes: int = 60):
         last = passed.groupBy(*ALERT_KEY).agg(F.max("created_at").alias("created_at"))
         return last, passed
 
-    return keyed(state_path, COOLDOWN_STATE, ALERT_KEY, lambda rows: rows, step, out=out, app="alerts")
+    return keyed(state_path, COOLDOWN_STATE, ALERT_KEY, same_keys(ALERT_KEY), step, out=out, app="alerts")
 
 
 DEDUP_STATE = columns("event_key string, ts timestamp")
@@ -241,7 +266,7 @@ def dedup_job(state_path: str, out: str, id_col: str, ts_col: str, hours: int =
     def recent(state: DataFrame) -> DataFrame:
         return state.where(F.col("ts") >= state.agg(F.max("ts")).scalar() - F.make_interval(hours=F.lit(hours)))
 
-    return keyed(state_path, DEDUP_STATE, ["event_key"], with_key, step, out=out, app="dedup", retain=recent, **options)
+    return keyed(state_path, DEDUP_STATE, ["event_key"], same_keys(["event_key"], with_key), step, out=out, app="dedup", retain=recent, **options)
 
 
 def router_job(out: str, mapping: dict[str, str]) -> Callable[[DataFrame, int], None]:

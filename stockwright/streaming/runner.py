@@ -113,17 +113,25 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: list[
     return base.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
 
 
-def keyed(path: str, schema: T.StructType, keys: list[str], touch: Callable[[DataFrame], DataFrame],
+Pick = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def same_keys(keys: list[str], of: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Pick:
+    """State rows whose key occurs in the batch; of(rows) brings the batch into the shape of the key."""
+    return lambda state, rows: state.join(of(rows).select(*keys).distinct(), keys, "left_semi")
+
+
+def keyed(path: str, schema: T.StructType, keys: list[str], pick: Pick,
           step: Callable[[DataFrame, DataFrame], tuple[DataFrame, Emitted]], opening: DataFrame | None = None,
           out: str | None = None, app: str = "app", retain: Callable[[DataFrame], DataFrame] = lambda s: s,
           compact_every: int = COMPACT_EVERY) -> BatchJob:
     """Job whose batches change few keys of a large state.
 
-    step sees only the state rows of the touched keys (touch(rows) gives them) and returns their
-    new rows. A batch writes these as a change log; every so many batches base and log are merged
-    into a new base, keeping what retain keeps. So a batch scans the state once, semi-joined with
-    its keys (broadcast by Spark while they are few), and neither shuffles nor rewrites it. A batch
-    that is run again replaces its own changes. The opening state is the first base.
+    step sees only the state rows that pick(state, rows) selects and returns their new rows. A
+    batch writes these as a change log; every so many batches base and log are merged into a new
+    base, keeping what retain keeps. So a batch scans the state once, semi-joined with its keys
+    (broadcast by Spark while they are few), and neither shuffles nor rewrites it. A batch that is
+    run again replaces its own changes. The opening state is the first base.
     """
 
     def job(rows: DataFrame, batch_id: int) -> None:
@@ -134,8 +142,7 @@ def keyed(path: str, schema: T.StructType, keys: list[str], touch: Callable[[Dat
                 first = opening if opening is not None else spark.createDataFrame([], schema)
                 write_version(first.select(*schema.names), f"{path}/base", -1)
             state = read_keyed(spark, path, schema, keys, before=batch_id)
-            current = state.join(touch(rows).select(*keys).distinct(), keys, "left_semi").select(*schema.names)
-            changed, emitted = step(current, rows)
+            changed, emitted = step(pick(state, rows).select(*schema.names), rows)
             emit(emitted, out, batch_id, app)
             append_batch(changed.select(*schema.names), f"{path}/log", batch_id, app)
             if batch_id % compact_every == compact_every - 1:

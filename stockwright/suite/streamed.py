@@ -8,7 +8,6 @@ from ..plans.alerts import ALERT_KEY
 from ..plans.inventory import add_deltas
 from ..schemas import ALERT_FEED, ALERTS, FOOT_TRAFFIC, SHELF_STATE, WH_STATE
 from ..sources.files import stream_files
-from ..sources.sinks import read_version
 from ..streaming import jobs as J
 from ..streaming.runner import changelog_table, read_keyed, run_stream
 from ..workspace import new_folder
@@ -132,7 +131,7 @@ def q_alert_sink(i: Inputs):
     none = {f.name: F.lit(None).cast(f.dataType) for f in ALERT_FEED if f.name not in changes.columns}
     job = J.alert_sink_job(f"{root}/state", opening, now_ts())
     finish(run_stream(changes.withColumns(none), job, f"{root}/progress"))
-    return read_version(i.spark, f"{root}/state", ALERTS).select("alert_id", "status", "updated_at")
+    return read_keyed(i.spark, f"{root}/state", ALERTS, ["alert_id"]).select("alert_id", "status", "updated_at")
 
 
 def q_lot_sales(i: Inputs):
