@@ -12,7 +12,7 @@ from ..operators.merge import apply_status
 from ..plans import alerts as A, planning as P
 from ..schemas import ALERTS, SUPPLIER_ORDERS, SUPPLIER_PLAN, SUPPLIER_RECEIPTS
 from .fixtures import Inputs, now_ts, oracle, today
-from .state import DAY, LEVEL_PARTS, SHELF_PARTS, TS, WH_PARTS, levels_of, state_of, wh_state_of
+from .state import DAY, LEVEL_PARTS, TS, WH_PARTS, levels_of, state_of, wh_state_of
 
 
 def uuid_sql(name: str) -> str:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.latest import latest_per_key, touched
+from ..operators.latest import touched
 from ..operators.merge import upsert
 from ..plans import config, inventory as inv
 from ..plans.alerts import refill_needed, resolve_policy, shelf_levels
