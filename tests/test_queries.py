@@ -5,9 +5,11 @@ import pytest
 from compare import check, duck
 
 import __spark_entry__ as entry
+from stockwright import suite
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n in suite.QUERIES}
+ORACLES = suite.ORACLES
 
 
 @pytest.fixture(scope="module")
