@@ -1,5 +1,7 @@
 """The registered queries of this package and their SQL checks."""
 from .language import op9_language_id
+from .lines import OP4_SQL, op4_line_dedup
+from .mixing import op6_mixing
 
-QUERIES = {f.__name__: f for f in (op9_language_id,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_mixing, op9_language_id)}
+ORACLES = {"op4_line_dedup": OP4_SQL}
