@@ -1,9 +1,11 @@
 """The registered queries of this package and their SQL checks."""
+from .bpe import op1_bpe
+from .jaccard import op10_jaccard_join
 from .language import op9_language_id
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import op6_mixing
 from .neighbours import op8_ann
 from .topk import OP5_SQL, op5_exact_topk
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_exact_topk, op6_mixing, op8_ann, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op4_line_dedup, op5_exact_topk, op6_mixing, op8_ann, op9_language_id, op10_jaccard_join)}
 ORACLES = {"op4_line_dedup": OP4_SQL, "op5_exact_topk": OP5_SQL}
