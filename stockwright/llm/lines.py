@@ -73,8 +73,11 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Takes repeated lines out; every document stays. n_chars, where there is one, is counted anew for changed texts."""
-    out = without_repeats(docs)
+    """Takes repeated lines out; a document that has nothing left (all of it stands elsewhere) goes, the others stay.
+
+    n_chars, where there is one, is counted anew for changed texts.
+    """
+    out = without_repeats(docs).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
