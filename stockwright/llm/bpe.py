@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .tables import partitions, table
-from .words import TEXTS, binaries, exploded, gathered, met, pack, rows, texts_of, unpack, ROW
+from .words import ROW, TEXTS, WORDS, binaries, exploded, gathered, met, pack, rows, texts_of, unpack
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LONG = 1_000_000  # characters; longer texts are split match by match instead of into one list
@@ -45,7 +45,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     rows_in = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(text).alias("t"))
     names = rows_in.columns[:-1]
     parts = 2 * partitions(docs.sparkSession)
-    found = met(exploded(rows_in, "t", names, pre_tokens(pattern), parts))
+    words = met(exploded(rows_in, "t", names, pre_tokens(pattern), parts, kinds=(WORDS,)))
+    sequences = exploded(rows_in, "t", names, pre_tokens(pattern), parts, kinds=(TEXTS,))
 
     def encode_words(batches):
         encoding, known = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), {}
@@ -53,16 +54,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                if row["kind"][0].as_py() == TEXTS:
-                    yield row
-                    continue
                 if row["part"][0].as_py() != part:
                     part, known = row["part"][0].as_py(), {}
-                words = unpack(row["data"][0].as_buffer())["w"].to_pylist()
-                for w in words:
+                own_words = unpack(row["data"][0].as_buffer())["w"].to_pylist()
+                for w in own_words:
                     if w not in known:
                         known[w] = encoding.encode_ordinary(w.decode())
-                ids = [known[w] for w in words]
+                ids = [known[w] for w in own_words]
                 flat = np.fromiter((x for own in ids for x in own), np.int64)
                 data = pack(n=[np.fromiter(map(len, ids), np.int32)], ids=[flat.astype(np.uint16 if flat.max(initial=0) < 65536 else np.uint32)])
                 yield rows((0, row["chunk"][0].as_py(), part, row["kind"][0].as_py(), data))
@@ -84,7 +82,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         return pa.table([*keys.values(), pa.array(n), binaries(ids.view(np.uint8), n * 4)], names=[*keys, "n_tokens", "ids"])
 
     fields = [f"{n} {rows_in.schema[n].dataType.simpleString()}" for n in names]
-    out = found.mapInArrow(encode_words, ROW).groupBy("chunk").applyInArrow(assemble, ", ".join([*fields, "n_tokens bigint, ids binary"]))
+    out = words.mapInArrow(encode_words, ROW).union(sequences).groupBy("chunk").applyInArrow(assemble, ", ".join([*fields, "n_tokens bigint, ids binary"]))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, columns)], "n_tokens", "ids")
 
 

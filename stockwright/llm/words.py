@@ -18,7 +18,6 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import partitions
@@ -60,17 +59,18 @@ class Chunk:
         self.slots.default_factory = self.slots.__len__
         self.texts: list[np.ndarray] = []
         self.keys: list[pa.RecordBatch] = []
+        self.measured: list[float | None] = []
         self.size = 0
 
-    def add(self, keys: pa.RecordBatch, words: Iterable, length: int) -> None:
-        if isinstance(words, list):
-            self.texts.append(np.fromiter(map(self.slots.__getitem__, words), np.int32, len(words)))
-        else:
-            self.texts.append(np.fromiter(map(self.slots.__getitem__, words), np.int32))
+    def add(self, keys: pa.RecordBatch, words: Iterable, length: int, measured: float | None = None, bag: bool = False) -> None:
+        count = len(words) if isinstance(words, list) else -1
+        slots = np.fromiter(map(self.slots.__getitem__, words), np.int32, count)
+        self.texts.append(np.sort(slots) if bag else slots)
         self.keys.append(keys)
+        self.measured.append(measured)
         self.size += length
 
-    def emit(self, number: int, parts: int) -> Iterator[pa.RecordBatch]:
+    def emit(self, number: int, parts: int, kinds: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(self.texts) if self.texts else np.zeros(0, np.int32)
         order = np.argsort(-np.bincount(flat, minlength=len(self.slots)), kind="stable")
         place = np.empty(len(order), np.int32)
@@ -81,35 +81,48 @@ class Chunk:
         part = np.fromiter((part_of(w, parts) for w in words), np.int32, len(words))
         by_part = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[by_part], np.arange(parts + 1))
-        for p in range(parts):
+        for p in range(parts if WORDS in kinds else 0):
             if edges[p] < edges[p + 1]:
                 own = [words[i] for i in by_part[edges[p] : edges[p + 1]]]
                 yield rows((p, number, p, WORDS, pack(w=pa.array(own, pa.binary()))))
+        if TEXTS not in kinds:
+            return
         keys = pa.Table.from_batches(self.keys).combine_chunks().to_batches()[0]
         texts = pack(low=(flat & 0xFFFF).astype(np.uint16), high=(flat >> 16).astype(np.uint16))
         about = pack(part=part)
         lengths = {n: c for n, c in zip(keys.schema.names, keys.columns)}
+        if self.measured and self.measured[0] is not None:
+            lengths["measured"] = pa.array(self.measured, pa.float64())
         own = pack(**lengths, __n=np.array([len(t) for t in self.texts], np.int64))
         yield rows((-1 - number, number, NO_PART, TEXTS, pack(d=pa.array([own, texts, about], pa.binary()))))
 
 
-def exploded(docs: DataFrame, text: str, keep: list[str], split: Callable[[str], Iterable], parts: int, chunk: int = CHUNK) -> DataFrame:
-    """The rows of ROW for all texts; keep: further columns, which come back with each text. A null text counts as empty."""
+def exploded(docs: DataFrame, text: str, keep: list[str], split: Callable[[str], Iterable], parts: int, chunk: int = CHUNK,
+             measure: Callable[[Iterable], float] | None = None, bag: bool = False, kinds: tuple[int, ...] = (WORDS, TEXTS)) -> DataFrame:
+    """The rows of ROW for all texts; keep: further columns, which come back with each text. A null text counts as empty.
+
+    measure: a number taken from a text's words, which comes back as "measured". bag: the order of words is not needed.
+    kinds: which of the two kinds of rows to make; made apart, slot sequences need not go through the shuffle by part.
+    """
 
     def explode(batches):
-        number, own = (TaskContext.get().partitionId()) << 24, Chunk()
+        number, own = -1, Chunk()
         for batch in batches:
+            if number < 0 and batch.num_rows:
+                number = batch["__part"][0].as_py() << 24
             keys, texts = batch.select(keep), batch[text]
             for i in range(batch.num_rows):
                 t = texts[i].as_py() or ""
                 if own.size and own.size + len(t) > chunk:
-                    yield from own.emit(number, parts)
+                    yield from own.emit(number, parts, kinds)
                     number, own = number + 1, Chunk()
-                own.add(keys.slice(i, 1), split(t), len(t) + 1)
+                words = split(t)
+                own.add(keys.slice(i, 1), words, len(t) + 1, measure(words) if measure else None, bag)
         if own.size:
-            yield from own.emit(number, parts)
+            yield from own.emit(number, parts, kinds)
 
-    return docs.select(*keep, text).mapInArrow(explode, ROW)
+    # The partition's number within this scan: a task's own number shifts where two scans are united.
+    return docs.select(*keep, text, F.spark_partition_id().alias("__part")).mapInArrow(explode, ROW)
 
 
 def met(found: DataFrame) -> DataFrame:
