@@ -8,6 +8,7 @@ from .neighbours import op8_ann
 from .personal import op7_pii
 from .suffixtree import op3_lm_scoring
 from .topk import OP5_SQL, op5_exact_topk
+from .warc import OP2_SQL, op2_warc
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_lm_scoring, op4_line_dedup, op5_exact_topk, op6_mixing, op7_pii, op8_ann, op9_language_id, op10_jaccard_join)}
-ORACLES = {"op4_line_dedup": OP4_SQL, "op5_exact_topk": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_warc, op3_lm_scoring, op4_line_dedup, op5_exact_topk, op6_mixing, op7_pii, op8_ann, op9_language_id, op10_jaccard_join)}
+ORACLES = {"op2_warc": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_exact_topk": OP5_SQL}
