@@ -58,7 +58,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.toDF(*names)
     gone = repeated_lines(rows, k, t)
     joined = rows.withColumn("k", F.coalesce(F.col(k).cast("bigint"), F.lit(LAST))).withColumn("th", F.xxhash64(t)).join(gone, ["k", "th"], "left")
-    lines = F.split(F.col(t), "\n")
+    joined = joined.withColumn("lines", F.when(F.col("removed").isNotNull(), F.split(F.col(t), "\n")))
+    lines = F.col("lines")  # a column: inside the lambda the text would be split again for each line
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: F.get(lines, i))
     new = F.when(F.col("removed").isNull(), F.col(t)).otherwise(F.array_join(left, "\n"))
     outs = [(new if n == t else F.col(n)).alias(c) for n, c in zip(names, docs.columns)]

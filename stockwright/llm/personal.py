@@ -44,9 +44,8 @@ BLOCK = 256
 SMALL = 20_000  # rows up to which a table of words is sent to all tasks
 
 
-def places(hits: Column, gaps: Column) -> Column:
-    """The start of each hit: the lengths of all gaps and hits before it, summed block by block."""
-    h, g = F.transform(hits, F.length), F.transform(gaps, F.length)
+def places(h: Column, g: Column) -> Column:
+    """The start of each hit, from the lengths of the hits and of the gaps: summed block by block."""
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
 
     def block(b: Column) -> Column:
@@ -55,7 +54,7 @@ def places(hits: Column, gaps: Column) -> Column:
         step = lambda s, i: F.struct((s.at + F.get(h, i) + F.get(g, i + 1)).alias("at"), F.array_append(s.out, s.at).alias("out"))
         return F.aggregate(F.sequence(b, F.least(b + BLOCK - 1, F.size(h) - 1)), start, step, lambda s: s.out)
 
-    return F.when(F.size(hits) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(hits) - 1, F.lit(BLOCK)), block))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(h) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(h) - 1, F.lit(BLOCK)), block))).otherwise(F.array().cast("array<int>"))
 
 
 def digits(s: Column) -> Column:
@@ -81,28 +80,34 @@ def valid(kind: str, s: Column) -> Column:
     return n.between(9, 15) if kind == "phone" else n.between(13, 19) & luhn(digits(s))
 
 
-def matches(text: Column, pattern: str, ok) -> Column:
-    """array<struct(start, end, s, before)> of the matches that pass; before: the word in front of it, in lower case."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = places(hits, F.split(text, pattern, -1))
-
-    def span(i: Column) -> Column:
-        s, at = F.get(hits, i), F.get(start, i)
-        left = F.substring(text, F.greatest(at - BEFORE, F.lit(0)) + 1, F.least(at, F.lit(BEFORE)))
-        return F.struct(at.alias("start"), (at + F.length(s)).alias("end"), s.alias("s"), F.lower(F.regexp_extract(left, r"(?:^|\s)(\S++)\s++$", 1)).alias("before"))
-
-    none = F.array().cast("array<struct<start:int,end:int,s:string,before:string>>")
-    return F.when(F.size(hits) > 0, F.transform(F.filter(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: ok(F.get(hits, i))), span)).otherwise(none)
-
-
 def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, th, spans, candidates) per row; spans: array<struct(kind, start, end, s, before)> by kind and start."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("id"), t.alias("t"))
-    rows = rows.select("id", "t", *[matches(F.col("t"), PATTERNS[k], lambda s, k=k: valid(k, s)).alias(k) for k in KINDS], matches(F.col("t"), CANDIDATE, lambda s: F.lit(True)).alias("c"))
-    name = lambda k: lambda x: F.struct(F.lit(k).alias("kind"), x.start.alias("start"), x.end.alias("end"), x.s.alias("s"), x.before.alias("before"))
-    named = [F.transform(k, name(k)) for k in KINDS]
-    rows = rows.select("id", F.xxhash64("t").alias("th"), F.concat(*named).alias("spans"), "c")
+    """(id, th, spans, candidates) per row; spans: array<struct(kind, start, end, s, before)> by kind and start.
+
+    before is the word in front of a span, in lower case. Hits, lengths and places are columns of their own: an expression
+    inside a lambda would be evaluated again for each element.
+    """
+    names = [*KINDS, "other"]
+    pattern = PATTERNS | {"other": CANDIDATE}
+    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = rows.select("id", "t", *[F.regexp_extract_all("t", F.lit(pattern[k]), F.lit(0)).alias(f"{k}_hits") for k in names])
+    hits = [f"{k}_hits" for k in names]
+    none = F.array().cast("array<int>")
+    rows = rows.select("id", "t", *hits, *[F.transform(h, F.length).alias(f"{h}_h") for h in hits], *[
+        F.when(F.size(h) > 0, F.transform(F.split("t", pattern[k], -1), F.length)).otherwise(none).alias(f"{h}_g") for k, h in zip(names, hits)])
+    rows = rows.select("id", "t", *hits, *[places(F.col(f"{h}_h"), F.col(f"{h}_g")).alias(f"{h}_at") for h in hits])
+
+    def spans(k: str) -> Column:
+        def span(i: Column) -> Column:
+            s, at = F.get(f"{k}_hits", i), F.get(f"{k}_hits_at", i)
+            left = F.substring("t", F.greatest(at - BEFORE, F.lit(0)) + 1, F.least(at, F.lit(BEFORE)))
+            before = F.lower(F.regexp_extract(left, r"(?:^|\s)(\S++)\s++$", 1))
+            return F.struct(F.lit(k).alias("kind"), at.alias("start"), (at + F.length(s)).alias("end"), s.alias("s"), before.alias("before"))
+
+        kept = lambda i: valid(k, F.get(f"{k}_hits", i)) if k in KINDS else F.lit(True)
+        no = F.array().cast("array<struct<kind:string,start:int,end:int,s:string,before:string>>")
+        return F.when(F.size(f"{k}_hits") > 0, F.transform(F.filter(F.sequence(F.lit(0), F.size(f"{k}_hits") - 1), kept), span)).otherwise(no)
+
+    rows = rows.select("id", F.xxhash64("t").alias("th"), F.concat(*map(spans, KINDS)).alias("spans"), spans("other").alias("c"))
     apart = lambda c: ~F.exists("spans", lambda b: (b.start < c.end) & (c.start < b.end))
     return rows.select("id", "th", "spans", F.filter("c", apart).alias("candidates"))
 
