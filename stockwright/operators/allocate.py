@@ -5,12 +5,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .ordered import MAX_ROWS_PER_KEY, largest_key, ordered_scan
+from .ordered import ordered_scan
 
 
 def allocate(demand: DataFrame, supply: DataFrame, group: str, demand_order: Sequence[str],
              supply_order: Sequence[str], need: str, qty: str, per_demand: bool = False,
-             unserved: bool = False, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+             unserved: bool = False) -> DataFrame:
     """Serve demands from lots of the same group, both in order; returns both sides' columns and take.
 
     Needs and lots are laid end to end on one line per group. Each piece between two borders of
@@ -18,7 +18,8 @@ def allocate(demand: DataFrame, supply: DataFrame, group: str, demand_order: Seq
     over demands plus lots and never pairs every demand with every lot.
 
     With unserved, what no lot can serve comes out too, as one row per demand without a lot.
-    With per_demand each demand draws on all lots as if it were alone.
+    With per_demand each demand draws on all lots as if it were alone, so by definition there are rows for
+    each demand and every lot that it reaches.
     The two sides must not share a column name other than the group.
     """
     if clash := (set(demand.columns) & set(supply.columns)) - {group}:
@@ -26,13 +27,11 @@ def allocate(demand: DataFrame, supply: DataFrame, group: str, demand_order: Seq
     if per_demand and unserved:
         raise ValueError("unserved rows are only known when demands share the lots")
     stock, wanted = supply.where(F.col(qty) > 0), demand.where(F.col(need) > 0)
-    # One count over both sides bounds all three passes below.
-    sliced = largest_key([group], stock, wanted) > max_rows
-    lots = ordered_scan(stock, [group], supply_order, sums={"_s0": qty}, sliced=sliced)
+    lots = ordered_scan(stock, [group], supply_order, sums={"_s0": qty})
     lots = lots.withColumn("_s1", F.col("_s0") + F.col(qty))
     if per_demand:
         return _alone(wanted, lots, group, need, qty)
-    wanted = ordered_scan(wanted, [group], demand_order, sums={"_d0": need}, sliced=sliced)
+    wanted = ordered_scan(wanted, [group], demand_order, sums={"_d0": need})
     wanted = wanted.withColumn("_d1", F.col("_d0") + F.col(need))
     d_side = wanted.select(group, F.col("_d1").alias("_pos"), F.lit(0).alias("_side"),
                            F.struct(*[c for c in wanted.columns if c != group]).alias("_d"))
@@ -40,7 +39,7 @@ def allocate(demand: DataFrame, supply: DataFrame, group: str, demand_order: Seq
                          F.struct(*[c for c in lots.columns if c != group]).alias("_s"))
     line = ordered_scan(
         d_side.unionByName(s_side, allowMissingColumns=True), [group], ["_pos", "_side"],
-        look_ahead={"_nd": "_d", "_ns": "_s"}, carry_on={"_served": "_s"} if unserved else None, sliced=sliced,
+        look_ahead={"_nd": "_d", "_ns": "_s"}, carry_on={"_served": "_s"} if unserved else None,
     )
     start = F.greatest(F.col("_nd._d0"), F.col("_ns._s0"))
     pieces = line.where(F.col("_nd").isNotNull())

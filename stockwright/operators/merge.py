@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import LIVE_STATUSES, alert_status
+from .ordered import ordered_scan
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], on_match: dict[str, Column],
@@ -77,36 +78,47 @@ def apply_status(alerts: DataFrame, changes: DataFrame, now: Column) -> DataFram
     alerts: alert_id, event_type, shelf_id, location, status, updated_at, ...
     changes: alert_id?, shelf_id, location, alert_event_type?, status, seq (total order).
 
-    A change that names the alert wins, the last one first. Otherwise changes for the place and
-    type, or for the place alone, apply in order while the alert is still live: the first one
-    that closes it stays, else the last one counts. Changes are reduced to one row per key
-    before they meet the alerts, so each alert meets at most three rows.
+    Changes apply in the order of seq. One that names the alert always counts. One for the place and type, or for the
+    place alone, counts while the alert is live, so the first that closes it ends the row of them. What counts is therefore
+    the last change that names the alert and, if that leaves it live, the changes for its place after that. Changes
+    are reduced to one row per key before they meet the alerts; for an alert that was named, the next closing change
+    after it is found in one ordered pass per place.
     """
     has = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
     c = changes.withColumn("status", alert_status("status"))
-    by_id = (
-        c.where(has("alert_id")).groupBy("alert_id").agg(F.max_by("status", "seq").alias("id_status"))
-    )
+    step = F.struct("seq", "status")
+    by_id = c.where(has("alert_id")).groupBy("alert_id").agg(F.max(step).alias("by_id"))
     placed = c.where(~has("alert_id") & has("shelf_id") & has("location"))
     closes = ~F.col("status").isin(*LIVE_STATUSES)
-    step = F.struct("seq", "status")
     reduced = lambda df, p, *k: df.groupBy(*k).agg(
         F.min(F.when(closes, step)).alias(f"{p}_close"), F.max(step).alias(f"{p}_last")
     )
-    typed = reduced(
-        placed.where(has("alert_event_type")).withColumn("event_type", F.col("alert_event_type")),
-        "typed", "shelf_id", "location", "event_type",
-    )
-    untyped = reduced(placed.where(~has("alert_event_type")), "any", "shelf_id", "location")
+    of_type = placed.where(has("alert_event_type")).withColumn("event_type", F.col("alert_event_type"))
+    of_place = placed.where(~has("alert_event_type"))
+    typed = reduced(of_type, "typed", "shelf_id", "location", "event_type")
+    untyped = reduced(of_place, "any", "shelf_id", "location")
+    named = alerts.join(by_id, "alert_id").where(F.col("by_id.status").isin(*LIVE_STATUSES)).select(
+        "alert_id", "shelf_id", "location", "event_type", F.col("by_id.seq").alias("seq"))
+
+    def next_close(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        marks = named.select(*keys, "seq", F.lit(0).alias("_side"), "alert_id")
+        line = marks.unionByName(df.select(*keys, "seq", F.lit(1).alias("_side"), F.when(closes, step).alias("_close")), allowMissingColumns=True)
+        found = ordered_scan(line, keys, ["seq", "_side", "alert_id"], look_ahead={name: "_close"})
+        return found.where("_side = 0").select("alert_id", name)
+
     joined = (
         alerts.join(by_id, "alert_id", "left")
         .join(typed, ["shelf_id", "location", "event_type"], "left")
         .join(untyped, ["shelf_id", "location"], "left")
+        .join(next_close(of_type, "typed_next", "shelf_id", "location", "event_type"), "alert_id", "left")
+        .join(next_close(of_place, "any_next", "shelf_id", "location"), "alert_id", "left")
     )
-    first_close = F.least("typed_close", "any_close")["status"]
-    last_change = F.greatest("typed_last", "any_last")["status"]
-    live = F.col("status").isin(*LIVE_STATUSES)
-    new = F.coalesce(F.col("id_status"), F.when(live, F.coalesce(first_close, last_change)))
-    return joined.withColumn("updated_at", F.when(new.isNotNull(), now).otherwise(F.col("updated_at"))).withColumn(
-        "status", F.coalesce(new, F.col("status"))
+    was_named = F.col("by_id").isNotNull()
+    base = F.coalesce(F.col("by_id.status"), F.col("status"))
+    first = F.when(was_named, F.least("typed_next", "any_next")).otherwise(F.least("typed_close", "any_close"))
+    last = F.greatest("typed_last", "any_last")
+    last = F.when(~was_named | (last["seq"] > F.col("by_id.seq")), last)
+    new = F.coalesce(F.when(base.isin(*LIVE_STATUSES), F.coalesce(first["status"], last["status"])), F.col("by_id.status"))
+    return joined.withColumn("_new", new).withColumn("updated_at", F.when(F.col("_new").isNotNull(), now).otherwise(F.col("updated_at"))).withColumn(
+        "status", F.coalesce("_new", "status")
     ).select(*alerts.columns)

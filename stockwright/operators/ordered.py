@@ -1,52 +1,37 @@
 """Ordered scans per key that do not put a whole key into one task.
 
-A window partitioned by key sends every row of the key to one task. That is the plan used while
-the largest key is small enough. Beyond that the rows are range-partitioned by (key, order), so
-a large key spreads over neighbouring partitions ("slices"); each slice is scanned on its own
-and then gets the carry of the slices before (or after) it. Only keys that cross a partition
-border need a carry, so there are fewer carry rows than partitions, which is the size bound for
-broadcasting them.
+A window partitioned by key sends every row of the key to one task. Here rows are range-partitioned by (key, order), so a
+large key spreads over neighbouring partitions ("slices"); each slice is scanned on its own and then gets the carry of
+the slices before (or after) it. Only keys that cross a partition border need a carry, so there are fewer carry rows
+than twice the partitions. It is the one plan for every size. Range borders are sampled and the sliced rows are written
+down, because a slice's number is only valid for one run; that is the only work done while the plan is built.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..workspace import cut
 
-MAX_ROWS_PER_KEY = 1_000_000
 
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, sums: dict[str, str] | None = None,
+                 carry_on: dict[str, str] | None = None, look_ahead: dict[str, str] | None = None) -> DataFrame:
+    """Add ordered columns per key; a null key is a key like others.
 
-def largest_key(keys: Sequence[str], *frames: DataFrame) -> int:
-    """Row count of the largest key over all frames; counted before the shuffle, one number to the driver."""
-    rows = reduce(DataFrame.unionAll, [f.select(*keys) for f in frames])
-    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *,
-                 sums: dict[str, str] | None = None, carry_on: dict[str, str] | None = None,
-                 look_ahead: dict[str, str] | None = None, max_rows: int = MAX_ROWS_PER_KEY,
-                 sliced: bool | None = None) -> DataFrame:
-    """Add ordered columns per key. Keys must not be null and the order must be total.
-
-    sliced chooses the plan; by default the largest key is counted and compared with max_rows.
+    order names columns, ascending with nulls first, and must be total; derive a column for another order.
 
     sums:       {new: column}  sum of the column over all earlier rows, 0 for the first
     carry_on:   {new: column}  last non-null value up to and including the row
     look_ahead: {new: column}  first non-null value from the row on
     """
-    sums, carry_on, look_ahead = sums or {}, carry_on or {}, look_ahead or {}
-    if sliced is None:
-        sliced = largest_key(keys, df) > max_rows
-    scan = _sliced_scan if sliced else _scan
-    return scan(df, list(keys), order, sums, carry_on, look_ahead)
+    if not all(isinstance(o, str) for o in order):
+        raise ValueError("the order names columns; derive a column for another order")
+    return _sliced_scan(df, list(keys), list(order), sums or {}, carry_on or {}, look_ahead or {})
 
 
 def _scan(df, part, order, sums, carry_on, look_ahead):
-    if look_ahead and not all(isinstance(o, str) for o in order):
-        raise ValueError("look_ahead takes ascending columns by name")
     w = W.partitionBy(*part).orderBy(*order)
     before = w.rowsBetween(W.unboundedPreceding, -1)
     upto = w.rowsBetween(W.unboundedPreceding, 0)
@@ -62,13 +47,12 @@ def _scan(df, part, order, sums, carry_on, look_ahead):
 
 def _sliced_scan(df, keys, order, sums, carry_on, look_ahead):
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(o) if isinstance(o, str) else o for o in order]
     # The slice number is only valid for one run of the range partitioning, so it is written down.
-    rows = cut(df.repartitionByRange(n, *keys, *cols).withColumn("_slice", F.spark_partition_id()))
+    rows = cut(df.repartitionByRange(n, *keys, *order).withColumn("_slice", F.spark_partition_id()))
     local = _scan(rows, keys + ["_slice"], order, sums, carry_on, look_ahead)
 
     # One row per (key, slice); the rank inside a slice is by the same total order.
-    rank = F.struct(*[_rankable(o).alias(f"r{i}") for i, o in enumerate(order)])
+    rank = F.struct(*[F.col(o).alias(f"r{i}") for i, o in enumerate(order)])
     ends = [F.sum(c).alias(f"sum_{n_}") for n_, c in sums.items()]
     ends += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"end_{n_}") for n_, c in carry_on.items()]
     ends += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"end_{n_}") for n_, c in look_ahead.items()]
@@ -84,14 +68,9 @@ def _sliced_scan(df, keys, order, sums, carry_on, look_ahead):
         slices.withColumns(carry).withColumn("_n", F.count(F.lit(1)).over(size)).where("_n > 1")
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_k_slice"), *carry)
     )
-    on = reduce(lambda a, b: a & b, [local[k] == borders[f"_k_{k}"] for k in keys], local["_slice"] == borders["_k_slice"])
-    joined = local.join(F.broadcast(borders), on, "left")
+    on = reduce(lambda a, b: a & b, [local[k].eqNullSafe(borders[f"_k_{k}"]) for k in keys], local["_slice"] == borders["_k_slice"])
+    joined = local.join(borders, on, "left")
     fixed = {x: F.col(x) + F.coalesce(F.col(f"_c_{x}"), F.lit(0)) for x in sums}
     fixed |= {x: F.coalesce(F.col(x), F.col(f"_c_{x}")) for x in (*carry_on, *look_ahead)}
     return joined.withColumns(fixed).select(*df.columns, *fixed)
 
-
-def _rankable(o: str | Column) -> Column:
-    if not isinstance(o, str):
-        raise ValueError("a sliced scan takes ascending columns by name; derive a column for another order")
-    return F.col(o)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,7 +11,6 @@ from ..functions.text import clean_lower, supplier_lot
 from ..functions.times import DELIVERY_DAYS, at_hour, next_delivery
 from ..operators.allocate import allocate
 from ..operators.merge import replace_rows, upsert
-from ..operators.ordered import MAX_ROWS_PER_KEY
 
 FIFO = ("received_date", "expiry_date", "batch_code")
 FEFO = ("expiry_date", "batch_code")
@@ -20,7 +20,7 @@ def mature_plans(plans: DataFrame, now: Column, min_age_s: int = 60) -> DataFram
     return plans.where((F.col("status") == "pending") & (F.col("created_at") <= now - F.make_interval(secs=F.lit(min_age_s))))
 
 
-def fifo_allocation(plans: DataFrame, wh_lots: DataFrame, per_plan: bool = False, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+def fifo_allocation(plans: DataFrame, wh_lots: DataFrame, per_plan: bool = False) -> DataFrame:
     """Lots to take for each plan, oldest lot first.
 
     Plans of one shelf share its lots in plan order; per_plan lets each plan see all lots.
@@ -29,7 +29,7 @@ def fifo_allocation(plans: DataFrame, wh_lots: DataFrame, per_plan: bool = False
     supply = wh_lots.select("shelf_id", *FIFO, "batch_quantity_warehouse")
     taken = allocate(
         demand, supply, "shelf_id", ["_created", "plan_id"], FIFO, "suggested_qty", "batch_quantity_warehouse",
-        per_demand=per_plan, max_rows=max_rows,
+        per_demand=per_plan,
     )
     return taken.select("plan_id", "shelf_id", *["batch_code", "received_date", "expiry_date"], F.col("take").cast("int").alias("alloc_qty"))
 
@@ -169,12 +169,13 @@ def supplier_delivery(orders: DataFrame, receipts: DataFrame, plans: DataFrame,
     return events, receipts_after, orders_after, plans_after
 
 
-def transfer(src: DataFrame, demand: DataFrame, group: str, qty: str, need: str, new_code: Column | None = None,
-             max_rows: int = MAX_ROWS_PER_KEY) -> tuple[DataFrame, DataFrame]:
+def transfer(src: DataFrame, demand: DataFrame, group: str, qty: str, need: str, new_code: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Move goods by earliest expiry: (source lots after, new destination lots with the source's expiry)."""
-    taken = allocate(demand.select(group, need), src.select(group, *FEFO, qty), group, [need], FEFO, need, qty, max_rows=max_rows)
+    taken = allocate(demand.select(group, need), src.select(group, *FEFO, qty), group, [need], FEFO, need, qty)
     moved = taken.groupBy(group, *FEFO).agg(F.sum("take").cast("int").alias("moved"))
     keep = F.col(qty) - F.coalesce(F.col("moved"), F.lit(0))
-    after = src.join(moved, [group, *FEFO], "left").withColumn(qty, keep.cast("int")).where(F.col(qty) > 0).select(*src.columns)
+    s, m = src.alias("s"), moved.alias("m")
+    same = (F.col(f"s.{group}") == F.col(f"m.{group}")) & reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"m.{c}")) for c in FEFO])
+    after = s.join(m, same, "left").select(*[(keep.cast("int") if c == qty else F.col(f"s.{c}")).alias(c) for c in src.columns]).where(F.col(qty) > 0)
     code = new_code if new_code is not None else F.concat(F.col("batch_code"), F.lit("-T"))
     return after, moved.select(group, code.alias("batch_code"), "expiry_date", F.col("moved").alias(qty))

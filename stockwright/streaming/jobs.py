@@ -7,12 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import apply_status, exclude_recent, replace_rows, upsert
-from ..operators.ordered import MAX_ROWS_PER_KEY
 from ..plans.alerts import ALERT_KEY, alert_rows, shelf_alerts, split_alert_feed, wh_alerts
 from ..plans.inventory import SHELF_SIGN, WH_SIGN, add_deltas, lots_after_sales, lots_after_wh_events, shelf_deltas, signed, wh_deltas
 from ..plans.planning import issue_restock, refill_queue, shelf_events_of
 from ..plans.routing import route
-from ..plans.sales import cart_moves, held
+from ..plans.sales import cart_moves, checkout_time, held
 from ..schemas import ALERTS, RESTOCK_PLAN, SHELF_STATE, WH_STATE, columns
 from ..sources.sinks import append_batch
 from .runner import append_stream, changelog_sink, keyed, run_stream, same_keys, stateful, stateless
@@ -111,18 +110,20 @@ CART_STATE = columns("customer_id string, item_id string, quantity bigint, last_
 
 
 def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | None = None, now: Column | None = None,
-             max_age_h: int = 3, max_rows: int = MAX_ROWS_PER_KEY, **options):
+             max_age_h: int = 3, **options):
     """Items held per customer. Each batch of events is one step per (customer, item): its sum and its
     lowest running sum, applied to the quantity held before.
 
-    With visits (customer_id, entry_time, exit_time) customers who have left by the latest event
-    time, or who entered more than max_age_h before it, are checked out: their items are emitted
-    and the cart is emptied. The batch's events are taken as they arrive.
+    With visits (customer_id, entry_time, exit_time) a customer's latest visit that has begun by the latest event time
+    decides: if it has ended, or began more than max_age_h before, their items are emitted with the time of checkout and
+    the cart is emptied. The batch's events are taken as they arrive.
     """
 
     def gone(clock: Column) -> DataFrame:
-        stale = clock - F.make_interval(hours=F.lit(max_age_h))
-        return visits.where((F.col("exit_time") <= clock) | (F.col("entry_time") < stale)).select("customer_id").distinct()
+        begun = visits.where(F.col("entry_time") <= clock)
+        latest = begun.groupBy("customer_id").agg(F.max(F.struct("entry_time", "exit_time")).alias("v"))
+        left = latest.select("customer_id", checkout_time(F.col("v.entry_time"), F.col("v.exit_time"), clock, max_age_h).alias("checkout_ts"))
+        return left.where("checkout_ts is not null")
 
     def clock_of(rows: DataFrame) -> Column:
         return now if now is not None else rows.agg(F.max("ts")).scalar()
@@ -132,11 +133,11 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
         marked = state.join(mine, CART_KEY, "left")
         if visits is None:
             return marked.where("_mine")
-        left = gone(clock_of(rows)).withColumn("_left", F.lit(True))
+        left = gone(clock_of(rows)).select("customer_id", F.lit(True).alias("_left"))
         return marked.join(left, "customer_id", "left").where("_mine or (_left and quantity > 0)")
 
     def step(state: DataFrame, rows: DataFrame):
-        moves = cart_moves(rows, CART_KEY, order, max_rows)
+        moves = cart_moves(rows, CART_KEY, order)
         last = rows.groupBy(*CART_KEY).agg(F.max("ts").alias("ts"))
         both = moves.join(last, CART_KEY)
         start = F.coalesce(F.col("t.quantity"), F.lit(0))
@@ -149,7 +150,7 @@ def cart_job(state_path: str, out: str, order: list[str], visits: DataFrame | No
             return carts, None
         clock = clock_of(rows)
         marked = carts.join(gone(clock).withColumn("_left", F.lit(True)), "customer_id", "left")
-        leaving = marked.where("_left and quantity > 0").select(*carts.columns).withColumn("checkout_ts", clock)
+        leaving = marked.where("_left and quantity > 0").select(*carts.columns, "checkout_ts")
         emptied = marked.withColumn("quantity", F.when(F.col("_left"), 0).otherwise(F.col("quantity")))
         return emptied.select(*carts.columns), leaving
 

@@ -261,11 +261,15 @@ _due = f"""SELECT * FROM supplier_orders o WHERE delivery_date = {DAY} AND statu
 _changes = """SELECT *, CASE WHEN lower(trim(status)) IN ('open','active','pending','new') THEN 'open'
   WHEN lower(trim(status)) IN ('ack','acknowledged') THEN 'ack' WHEN lower(trim(status)) IN ('resolved','closed','done') THEN 'resolved'
   WHEN lower(trim(status)) IN ('dismissed','ignored') THEN 'dismissed' ELSE 'ack' END AS st FROM status_changes"""
-_keyed = """SELECT h.alert_id, c.st, ROW_NUMBER() OVER (PARTITION BY h.alert_id ORDER BY
+# The changes in order of seq: the last that names an alert, then those for its place while it is live, up to the first that closes it.
+_named = "SELECT alert_id, st, seq FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY alert_id ORDER BY seq DESC) AS rn FROM changes WHERE alert_id IS NOT NULL) WHERE rn = 1"
+_base = """SELECT h.*, COALESCE(n.st, h.status) AS st0, COALESCE(n.seq, -1) AS since, n.st AS named_st
+  FROM alert_history h LEFT JOIN named n ON h.alert_id = n.alert_id"""
+_keyed = """SELECT b.alert_id, c.st, ROW_NUMBER() OVER (PARTITION BY b.alert_id ORDER BY
   CASE WHEN c.st IN ('resolved','dismissed') THEN 0 ELSE 1 END, CASE WHEN c.st IN ('resolved','dismissed') THEN c.seq ELSE -c.seq END) AS rn
-  FROM (SELECT * FROM alert_history WHERE status IN ('open','ack')) h
+  FROM (SELECT * FROM base WHERE st0 IN ('open','ack')) b
   JOIN (SELECT DISTINCT shelf_id, location, alert_event_type, st, seq FROM changes WHERE alert_id IS NULL) c
-  ON h.shelf_id = c.shelf_id AND h.location = c.location AND (c.alert_event_type IS NULL OR c.alert_event_type = h.event_type)"""
+  ON b.shelf_id = c.shelf_id AND b.location = c.location AND (c.alert_event_type IS NULL OR c.alert_event_type = b.event_type) AND c.seq > b.since"""
 _dow = "(dayofweek(d) + 6) % 7"
 
 ORACLES = {
@@ -305,11 +309,10 @@ ORACLES = {
                   LEFT JOIN (SELECT * FROM inventory WHERE item_category <> 'LARGE') i ON w.shelf_id = i.shelf_id WHERE w.wh_current_stock < w.rop)
             WHERE gap > 0""", "inventory", "wh_events", "wh_policies", **WH_LEVEL_PARTS),
     "alert_status": oracle(
-        f"""SELECT h.alert_id, COALESCE(b.st, k.st, h.status) AS status,
-            CASE WHEN COALESCE(b.st, k.st) IS NULL THEN h.created_at ELSE {TS} END AS updated_at
-            FROM alert_history h LEFT JOIN (SELECT alert_id, st, ROW_NUMBER() OVER (PARTITION BY alert_id ORDER BY seq DESC) AS rn
-              FROM changes WHERE alert_id IS NOT NULL) b ON h.alert_id = b.alert_id AND b.rn = 1
-            LEFT JOIN keyed k ON h.alert_id = k.alert_id AND k.rn = 1""", "alert_history", "status_changes", changes=_changes, keyed=_keyed),
+        f"""SELECT b.alert_id, COALESCE(k.st, b.named_st, b.status) AS status,
+            CASE WHEN COALESCE(k.st, b.named_st) IS NULL THEN b.created_at ELSE {TS} END AS updated_at
+            FROM base b LEFT JOIN keyed k ON b.alert_id = k.alert_id AND k.rn = 1""",
+        "alert_history", "status_changes", changes=_changes, named=_named, base=_base, keyed=_keyed),
     "fifo_allocation": oracle("SELECT * FROM fifo", "restock_plans", "wh_lots", **FIFO_PARTS),
     "fifo_allocation_per_plan": oracle(
         """SELECT p.plan_id, p.shelf_id, l.batch_code, l.received_date, l.expiry_date,

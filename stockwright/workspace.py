@@ -1,6 +1,7 @@
 """Session defaults and the shared folder used for checkpoints and hand-over tables."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,12 +26,14 @@ def session(app: str = "stockwright", master: str | None = None, **conf) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach. A local one is made only where the session names none."""
+    """The folder every executor can reach. A temporary one is made only on a local master that names none."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors of {sc.master} can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockwright-"))
     return sc.getCheckpointDir().rstrip("/")
 

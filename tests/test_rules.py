@@ -206,6 +206,26 @@ def test_status_changes_in_order(spark):
     assert rows(got.where("updated_at is null"), "alert_id") == [("3",)]
 
 
+def test_status_by_place_after_status_by_id(spark):
+    alerts = frame(spark, "alert_id string, event_type string, shelf_id string, location string, status string, updated_at timestamp",
+                   *[(str(k), "refill", "S1", "store", "open", None) for k in range(5)])
+    changes = [("0", "ack", 1), (None, "resolved", 2), ("1", "ack", 3), ("2", "closed", 4), (None, "ack", 5), (None, "ignored", 6), ("3", "new", 7), (None, "ack", 8)]
+    df = frame(spark, "alert_id string, shelf_id string, location string, alert_event_type string, status string, seq int",
+               *[(i, "S1", "store", None if q % 4 else "refill", s, q) for i, s, q in changes])
+    want = [("0", "resolved"), ("1", "dismissed"), ("2", "resolved"), ("3", "ack"), ("4", "resolved")]
+    assert rows(merge.apply_status(alerts, df, ts()), "alert_id", "status") == want
+    for cut in (1, 3, 4, 6):  # the same in two batches
+        first = merge.apply_status(alerts, df.where(f"seq <= {cut}"), ts())
+        assert rows(merge.apply_status(first, df.where(f"seq > {cut}"), ts()), "alert_id", "status") == want
+
+
+def test_transfer_keeps_all_goods(spark):
+    lots = frame(spark, "g string, batch_code string, expiry_date date, qty int", ("a", "x", None, 10), ("a", "y", "1998-01-01", 4), ("b", "z", None, 3))
+    after, moved = P.transfer(lots, frame(spark, "g string, need int", ("a", 8), ("b", 9)), "g", "qty", "need")
+    assert rows(after, "g", "batch_code", "qty") in ([("a", "x", 6)], [("a", "x", 2), ("a", "y", 4)])
+    assert sum(r["qty"] for r in after.union(moved.select(*after.columns)).collect()) == 17
+
+
 def test_upsert_twice_is_upsert_once(spark):
     t = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     s = spark.createDataFrame([("b", 5), ("c", 6)], "k string, v int")
