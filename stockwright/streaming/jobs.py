@@ -246,28 +246,13 @@ def cooldown_job(state_path: str, out: str, minutes: int = 60):
     return keyed(state_path, COOLDOWN_STATE, ALERT_KEY, same_keys(ALERT_KEY), step, out=out, app="alerts")
 
 
-DEDUP_STATE = columns("event_key string, ts timestamp")
+def deduplicated(source: DataFrame, id_col: str, ts_col: str, span: str) -> DataFrame:
+    """The first row seen of each event id. Copies up to ``span`` apart in event time are always found; later ones may pass.
 
-
-def dedup_job(state_path: str, out: str, id_col: str, ts_col: str, hours: int = 24, **options):
-    """First row per event id, over all batches of at least the last hours.
-
-    Copies within a batch are reduced before the shuffle, so an id that was sent a million times
-    costs one row per task; ids seen before are left out by an anti join. Older ids are forgotten
-    when the state is compacted, which bounds it.
+    The state is Spark's own and forgets ids as the watermark moves. A stream cannot take back a row it has sent, so the
+    first copy counts here, and the last one in the batch form (``operators.latest.dedupe_events``).
     """
-    with_key = lambda rows: rows.withColumn("event_key", F.col(id_col).cast("string"))
-
-    def step(state: DataFrame, rows: DataFrame):
-        rest = [c for c in rows.columns if c != ts_col]
-        first = with_key(rows).groupBy("event_key").agg(F.min(F.struct(ts_col, *rest)).alias("_row"))
-        fresh = first.join(state, "event_key", "left_anti")
-        return fresh.select("event_key", F.col("_row")[ts_col].alias("ts")), fresh.select("_row.*").select(*rows.columns)
-
-    def recent(state: DataFrame) -> DataFrame:
-        return state.where(F.col("ts") >= state.agg(F.max("ts")).scalar() - F.make_interval(hours=F.lit(hours)))
-
-    return keyed(state_path, DEDUP_STATE, ["event_key"], same_keys(["event_key"], with_key), step, out=out, app="dedup", retain=recent, **options)
+    return source.withWatermark(ts_col, span).dropDuplicatesWithinWatermark([id_col])
 
 
 def router_job(out: str, mapping: dict[str, str]) -> Callable[[DataFrame, int], None]:

@@ -9,7 +9,7 @@ from ..plans.inventory import add_deltas
 from ..schemas import ALERT_FEED, ALERTS, FOOT_TRAFFIC, SHELF_STATE, WH_STATE
 from ..sources.files import stream_files
 from ..streaming import jobs as J
-from ..streaming.runner import changelog_table, read_keyed, run_stream
+from ..streaming.runner import append_stream, changelog_table, read_keyed, run_stream
 from ..workspace import new_folder
 from .alerting import ORACLES as ALERTING, _cool, _near, uuid_sql
 from .fixtures import Inputs, now_ts, oracle
@@ -71,8 +71,7 @@ def q_dedup(i: Inputs):
     root = new_folder(i.spark, "dedup")
     once = lambda: i.sql("SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts FROM events",
                          events=stream_files(i.spark, i.folder, i.table("events").schema, "events.parquet"))
-    job = J.dedup_job(f"{root}/state", f"{root}/out", "event_id", "ts")
-    finish(run_stream(once().union(once()), job, f"{root}/progress"))
+    finish(append_stream(J.deduplicated(once().union(once()), "event_id", "ts", "24 hours"), f"{root}/out", f"{root}/progress"))
     return i.spark.read.parquet(f"{root}/out").select("event_id", "user_id", "ts")
 
 

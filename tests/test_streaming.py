@@ -11,7 +11,7 @@ from stockwright.schemas import SHELF_STATE
 from stockwright.sources.files import stream_files
 from stockwright.sources.sinks import append_batch, read_version, save_bucketed, write_if_empty, write_partitioned
 from stockwright.streaming import jobs as J
-from stockwright.streaming.runner import changelog_table, each_day, read_keyed, run_stream
+from stockwright.streaming.runner import append_stream, changelog_table, each_day, read_keyed, run_stream
 from stockwright.workspace import cut, new_folder, shared_dir
 
 EVENTS = "shelf_id string, item_id string, customer_id string, event_type string, quantity int, ts timestamp, seq int"
@@ -128,12 +128,11 @@ def test_cooldown_across_batches(spark, tmp_path):
 
 
 def test_dedup_over_batches(spark, tmp_path):
-    cols = "id string, ts timestamp, v int"
-    job = J.dedup_job(f"{tmp_path}/state", f"{tmp_path}/out", "id", "ts", hours=1, compact_every=2)
-    job(frame(spark, cols, ("a", "1998-06-01 12:00:00", 1), ("a", "1998-06-01 12:01:00", 2), ("b", "1998-06-01 12:00:00", 3)), 0)
-    job(frame(spark, cols, ("a", "1998-06-01 12:10:00", 4), ("c", "1998-06-01 14:00:00", 5)), 1)
-    assert rows(spark.read.parquet(f"{tmp_path}/out"), "id", "v") == [("a", 1), ("b", 3), ("c", 5)]
-    assert rows(read_keyed(spark, f"{tmp_path}/state", J.DEDUP_STATE, ["event_key"]), "event_key") == [("c",)]
+    events = frame(spark, "id string, ts timestamp, seq int", *[(f"e{k % 20}", f"1998-06-01 12:{k:02}:00", k) for k in range(60)])
+    split(events, f"{tmp_path}/in", 3)
+    source = stream_files(spark, f"{tmp_path}/in", events.schema, max_files=1)
+    append_stream(J.deduplicated(source, "id", "ts", "2 hours"), f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), "id") == sorted((f"e{k}",) for k in range(20))
 
 
 @pytest.mark.parametrize("n", [1, 3])
