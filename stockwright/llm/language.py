@@ -16,12 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .tables import fold, table
+from .tables import fold, small_batches, table
 
 DIMENSIONS = 1024
 SEED = 20_240_601
 SCALE = 1_000_000  # unit vectors are summed as whole numbers, so that the sum does not depend on its order
-PIECE = 400_000  # characters bundled at once
+PIECE = 200_000  # characters bundled at once
 UNKNOWN = "und"
 
 
@@ -97,7 +97,7 @@ def unit(bundles: np.ndarray) -> np.ndarray:
     return np.divide(bundles, length, out=np.zeros_like(bundles), where=length > 0)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, rows: int = 128) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
@@ -117,6 +117,7 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions
         for name, vector in sums.items():
             yield pa.RecordBatch.from_pydict({"l": [name] * dimensions, "i": np.arange(dimensions, dtype=np.int32), "v": vector})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
     sums = rows.mapInArrow(learn, "l string, i int, v bigint").groupBy("l", "i").agg(F.sum("v").alias("v"))
     found = sums.limit(max_languages * dimensions + 1).collect()

@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..workspace import new_folder
 
 
+ARROW_ROWS = "1000"  # rows in a batch for a Python worker, which then stays small whatever texts it gets
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import partitions
+from .tables import partitions, small_batches
 
 CHUNK = 6_000_000  # characters; a longer text is a chunk of its own
 ROW = "to bigint, chunk bigint, part int, kind int, data binary"
@@ -121,6 +121,7 @@ def exploded(docs: DataFrame, text: str, keep: list[str], split: Callable[[str],
         if own.size:
             yield from own.emit(number, parts, kinds)
 
+    small_batches(docs.sparkSession)
     # The partition's number within this scan: a task's own number shifts where two scans are united.
     return docs.select(*keep, text, F.spark_partition_id().alias("__part")).mapInArrow(explode, ROW)
 
