@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .graph import components
-from .tables import held, table
+from .tables import held, partitions, small_batches, table
 
 SIZE = 5
 GROUPS = 128
@@ -38,36 +38,41 @@ FREQUENT_IN_BATCH = 3
 TILE = 1024
 LEAF = 32
 FILTER_BITS = 26
+FINE_BITS = 11
+FINE = 1 << FINE_BITS
 MIXERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+class Hashes(dict):
+    """Word to 64-bit hash, kept for words seen before."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
     """Texts to sorted distinct shingle hashes."""
 
     def __init__(self, size: int = SIZE):
-        self.size, self.known = size, {}
-
-    def hashed(self, word: bytes) -> int:
-        h = self.known.get(word)
-        if h is None:
-            if len(self.known) > 400_000:
-                self.known.clear()
-            h = self.known[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+        self.size, self.known = size, Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII blanks only
         if len(words) < self.size:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64) if words else np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.hashed, words), np.uint64, len(words))
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         n = len(h) - self.size + 1
-        s = np.zeros(n, np.uint64)
-        for j in range(self.size):
+        s = h[:n] * MIXERS[0]
+        for j in range(1, self.size):
             s += h[j : j + n] * MIXERS[j]
         s ^= s >> np.uint64(33)
         s *= np.uint64(0xFF51AFD7ED558CCD)
         s ^= s >> np.uint64(33)
-        return np.unique(s)
+        s.sort()
+        return s if n < 2 or (s[1:] != s[:-1]).all() else s[np.concatenate([[True], s[1:] != s[:-1]])]
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -149,8 +154,10 @@ def first_quarters(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, want
     return docs.mapInArrow(emit, "s bigint, cls bigint")
 
 
-def shingle_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(cls, shingles) of the classes in the filter, one row per class."""
+def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, shingles) of the classes in the pairs (a, b), one row per class."""
+    classes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    wanted = hash_filter(classes, "cls")
 
     def emit(batches):
         shingler, seen = Shingler(), set()
@@ -165,7 +172,8 @@ def shingle_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
 
-    return docs.mapInArrow(emit, "cls bigint, shingles binary").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    found = docs.mapInArrow(emit, "cls bigint, shingles binary").join(classes, "cls", "left_semi")
+    return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
 def may_link(overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -173,22 +181,37 @@ def may_link(overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.
     return 7 * overlap >= 3 * (size_a + size_b)
 
 
-def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose points allow a link."""
+def bounded(pairs: DataFrame, classes: DataFrame, groups: int = GROUPS, kind: str = "<u2") -> DataFrame:
+    """The pairs (a, b) whose points, of so many groups, allow a link."""
     a = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     b = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
 
     def bound(batches):
         for batch in batches:
-            p, q = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int64) for c in ("pa", "pb"))
-            ok = may_link(np.minimum(p, q).sum(axis=1), batch["na"].to_numpy(), batch["nb"].to_numpy())
+            p, q = (np.frombuffer(b"".join(batch[c].to_pylist()), kind).reshape(-1, groups) for c in ("pa", "pb"))
+            ok = may_link(np.minimum(p, q).sum(axis=1, dtype=np.int64), batch["na"].to_numpy(), batch["nb"].to_numpy())
+            ok |= (p[:, 0] == np.iinfo(kind).max) & (q[:, 0] == np.iinfo(kind).max)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bound, "a bigint, b bigint")
 
 
+def fine_points(sets: DataFrame) -> DataFrame:
+    """(cls, n, point) with ``FINE`` groups, which tell long texts apart; all at 255, which bounds nothing, where a count does not fit."""
+
+    def count(batches):
+        for batch in batches:
+            each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["shingles"]]
+            points = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=FINE) for s in each]
+            points = [(p if p.max() < 255 else np.full(FINE, 255)).astype(np.uint8).tobytes() for p in points]
+            yield pa.RecordBatch.from_arrays([batch["cls"], pa.array([len(s) for s in each], pa.int64()), pa.array(points, pa.binary())], names=["cls", "n", "point"])
+
+    return sets.mapInArrow(count, "cls bigint, n bigint, point binary")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: 100 * intersection >= 75 * union."""
+    """The pairs (a, b) that link: 100 * intersection >= 75 * union. Sets are joined to pairs that a finer point leaves over."""
+    pairs = held(bounded(pairs, fine_points(sets), FINE, "u1"), "pairs")
     a = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
 
@@ -212,6 +235,7 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, comp: np.ndarray, side: np.nda
     """Row numbers (i, j) of different components that the bounds allow; only pairs across the sides if there are two."""
     order = np.lexsort((n, comp, side))
     n, points, comp, side = n[order], points[order].astype(np.int64), comp[order], side[order]
+    points[points == 65535] = 1 << 40
     starts = np.arange(0, len(n), LEAF)
     box = np.maximum.reduceat(points, starts)
     least, most = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
@@ -236,27 +260,58 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, comp: np.ndarray, side: np.nda
 
 
 def left_over(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in a group (s, cls, comp) that the group's tree allows."""
-    mixed = groups.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+    """Pairs (a, b) of different components in a group (s, cls, comp) that the group's tree allows.
+
+    Groups of two have no pair left: one of the two was the member that the other was compared with.
+    """
+    mixed = groups.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2")
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     rows = groups.join(mixed.select("s", tiles.alias("tiles")), "s").join(classes.select("cls", "n", "point"), "cls")
     tile = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
     # Each tile meets itself and every other one; a pair of tiles is named by both.
     rows = rows.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.withColumn("t1", F.least("tile", "other")).withColumn("t2", F.greatest("tile", "other"))
+    by = ("s", "t1", "t2")
 
-    def join(group: pa.Table) -> pa.Table:
-        a, b = [], []
-        cls, comp = group["cls"].to_numpy(), group["comp"].to_numpy()
-        if len(np.unique(comp)) > 1:
-            points = np.frombuffer(b"".join(group["point"].to_pylist()), "<u2").reshape(-1, GROUPS)
-            for i, j in tree_pairs(group["n"].to_numpy(), points, comp, group["tile"].to_numpy()):
-                a.append(np.minimum(cls[i], cls[j]))
-                b.append(np.maximum(cls[i], cls[j]))
-        join_ = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-        return pa.table({"a": join_(a), "b": join_(b)})
-
-    return rows.select("s", "t1", "t2", "tile", "cls", "comp", "n", "point").groupBy("s", "t1", "t2").applyInArrow(join, "a bigint, b bigint").distinct()
+    def join(batches):
+        rest = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+            key = [now[c].to_numpy() for c in by]
+            new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
+            cut = int(new[-1]) if len(new) else 0  # the last group may go on in the next batch
+            if cut:
+                yield pairs_of(now.slice(0, cut), np.concatenate([[0], new]))
+            rest = now.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield pairs_of(rest, np.array([0, rest.num_rows]))
+
+    def pairs_of(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+        cls, comp, n, tile = (table[c].to_numpy() for c in ("cls", "comp", "n", "tile"))
+        points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u2").reshape(-1, GROUPS)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        small = np.zeros(table.num_rows, np.int64)  # number of the group, for groups of at most a leaf
+        for g, (x, y) in enumerate(zip(edges[:-1], edges[1:]), 1):
+            if y - x <= LEAF:
+                small[x:y] = g
+                continue
+            for i, j in tree_pairs(n[x:y], points[x:y], comp[x:y], tile[x:y]):
+                a.append(cls[x:y][i]), b.append(cls[x:y][j])
+        for step in range(1, LEAF):  # groups of one leaf: all at once, each row with the step-th row after it
+            i = np.flatnonzero((small[:-step] > 0) & (small[:-step] == small[step:]) & (comp[:-step] != comp[step:]))
+            if not (small[:-step] == small[step:])[small[:-step] > 0].any():
+                break
+            for at in range(0, len(i), 8192):
+                p, q = i[at : at + 8192], i[at : at + 8192] + step
+                ok = may_link(np.minimum(points[p], points[q]).sum(axis=1, dtype=np.int64), n[p], n[q])
+                ok |= (points[p, 0] == 65535) & (points[q, 0] == 65535)
+                a.append(cls[p[ok]]), b.append(cls[q[ok]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    met = rows.select(*by, "tile", "cls", "comp", "n", "point").repartition(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
+    return met.mapInArrow(join, "a bigint, b bigint").distinct()
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -264,6 +319,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     A null text counts as empty. A null key is never a component's name unless all keys of the component are null.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
     signed_rows = held(signatures(rows), "signatures")
     frequent = signed_rows.select(F.explode("frequent").alias("f")).groupBy("f.s").agg(F.sum("f.n").alias("n")).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
@@ -281,13 +337,13 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     lead = groups.groupBy("s").agg(F.min(F.expr("cls ^ s")).alias("m")).select("s", F.expr("m ^ s").alias("b0"))
     stars = groups.join(lead, "s").where("cls <> b0").select(F.least("cls", "b0").alias("a"), F.greatest("cls", "b0").alias("b")).distinct()
     stars = held(bounded(stars, classes), "stars")
-    sets = held(shingle_sets(rows, hash_filter(groups.select("cls").distinct(), "cls")).join(groups.select("cls").distinct(), "cls", "left_semi"), "sets")
-    links = held(verified(stars, sets), "links")
+    links = held(verified(stars, held(shingle_sets(rows, stars), "sets")), "links")
     comps = components(links)
     grouped = groups.join(comps.withColumnRenamed("id", "cls"), "cls", "left").select("s", "cls", F.coalesce("component", "cls").alias("comp"))
-    more = held(verified(left_over(grouped, classes), sets), "links")
-    if not more.isEmpty():
-        comps = components(links.union(more))
+    rest = held(left_over(grouped, classes), "rest")
+    if not rest.isEmpty():
+        more = verified(rest, held(shingle_sets(rows, rest), "sets"))
+        comps = components(links.union(held(more, "links")))
 
     named = classes.select("cls", "id").join(comps.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     smallest = named.groupBy("comp").agg(F.min("id").alias("smallest"))
