@@ -1,203 +1,182 @@
 """Language-model scores with a probabilistic suffix tree.
 
-Tokens are lower-case words and one end per text. The ``SYMBOLS`` most frequent words are symbols of their own, all others
-share one symbol, and a word of that symbol has a discounted share of its tokens, with one place for all unknown words.
-The tree's states are contexts of up to ``DEPTH`` symbols. A context is a candidate when it makes up ``1 / CONTEXTS`` of all
-tokens, and is retained when its next-symbol distribution diverges from that of its suffix: tokens times divergence
-must exceed ``GAIN`` nats for each next symbol seen. Distributions are smoothed with that of the longest retained suffix, and a
-token is scored by the longest retained suffix of what stands before it.
-
-Counts cover all training rows. What is sent to tasks is bounded by the parameters: at most ``SYMBOLS`` words, and for each
-depth at most ``CONTEXTS`` contexts with ``SYMBOLS`` numbers each. The counts of all words, which grow with the corpus,
-stay in a table and meet the texts through the distinct-word shuffle.
+Tokens are lower-case words and one end per text; one start stands before each text. The tree's states are contexts of up
+to ``DEPTH`` tokens, of all words. A context is a candidate when it occurs ``MIN_COUNT`` times, however large the corpus
+is, and is retained when its next-word distribution diverges from that of its suffix: tokens times divergence must
+exceed ``GAIN`` nats for each next word seen. The root is the smoothed word distribution, with one place for all unknown
+words; the distribution of a state is smoothed with that of its longest retained suffix, and a token is scored by the
+longest retained suffix of what stands before it.
+
+The tree is a table of n-gram counts, and grows with the corpus: a context's tokens are the count of its n-gram, and those
+of a next word the count of the n-gram one longer. An n-gram is known by a 64-bit hash, made of the hashes of its words.
+Nothing of it is collected or sent to all tasks. Tasks cut the texts into chunks; the distinct n-grams of a chunk are dealt
+by their hash, meet the table's rows, and come back with their counts.
 """
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .tables import fold, held, partitions, table
-from .words import NO_PART, ROW, TEXTS, VALUES, exploded, met, pack, rows, texts_of, unpack
+from .tables import fold, held, partitions, small_batches, table
+from .words import TEXTS, VALUES, WORDS, met, pack, unpack
 
-BITS = 10
-SYMBOLS = 1000
-RARE, END, START = 0, SYMBOLS + 1, SYMBOLS + 2
 DEPTH = 3
-CONTEXTS = 4096
+MIN_COUNT = 2
 GAIN = 3.0
 PRIOR = 8.0  # tokens' worth of the suffix's distribution in a state
 FLUSH = 400_000
+CHUNK = 300_000  # tokens; a longer text is a chunk of its own
+TURN = np.uint64(0x9E3779B97F4A7C15)
+START, END = (xxhash.xxh64_intdigest(b) for b in (b" ", b"\n"))
+START_KEY = START - (START >> 63 << 64)  # as a signed number
+ASKED = "to bigint, kind int, chunk bigint, v bigint, data binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII blanks only
 
 
-class Symbols(dict):
-    """Word to symbol; words that are not listed are rare."""
+class Hashes(dict):
+    """Word to its hash."""
 
     def __missing__(self, word: bytes) -> int:
-        return RARE
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all rows of (t)."""
-
-    def count(batches):
-        found: Counter = Counter()
-        table_of = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-        for batch in batches:
-            for text in batch["t"].to_pylist():
-                found.update(words_of(text))
-                if len(found) > FLUSH:
-                    yield table_of()
-                    found.clear()
-        if found:
-            yield table_of()
-
-    return texts.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def padded(words: list[bytes], symbols: Symbols) -> np.ndarray:
-    out = np.empty(len(words) + DEPTH + 1, np.int64)
-    out[:DEPTH], out[-1] = START, END
-    out[DEPTH:-1] = np.fromiter(map(symbols.__getitem__, words), np.int64, len(words))
+        if len(self) > FLUSH:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word)
+        return out
+
+    def tokens(self, text: str | None) -> np.ndarray:
+        """The start, the words and the end."""
+        words = words_of(text)
+        out = np.empty(len(words) + 2, np.uint64)
+        out[0], out[-1] = START, END
+        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        return out
+
+
+def places(lengths: np.ndarray) -> np.ndarray:
+    """The place of each token in its text."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+
+
+def grams(tokens: np.ndarray) -> list[np.ndarray]:
+    """By length from 1 to DEPTH + 1, the n-gram that ends at each token; it is one only where the text has as many."""
+    out = [tokens]
+    for _ in range(DEPTH):
+        longer = np.zeros_like(tokens)
+        longer[1:] = out[-1][:-1] * TURN + tokens[1:]
+        out.append(longer)
     return out
 
 
-def contexts_of(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """The context of the given depth before every token, oldest symbol first."""
-    n = len(symbols) - DEPTH
-    out = np.zeros(n, np.int64)
-    for back in range(depth, 0, -1):
-        out = out << BITS | symbols[DEPTH - back : DEPTH - back + n]
-    return out
-
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(m, key, prefix, suffix, n) of the n-grams of m tokens over all rows of (t)."""
 
-def gram_counts(texts: DataFrame, symbols: Symbols, depth: int, allowed: np.ndarray) -> DataFrame:
-    """(ctx, sym, n) for the allowed contexts (sorted) over all rows of (t)."""
+    def batches_of(each: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        place, found = places(np.array([len(x) for x in each])), grams(np.concatenate(each))
+        for m, keys in enumerate(found, 1):
+            at = np.flatnonzero(place >= m - 1)
+            key, first, n = np.unique(keys[at], return_index=True, return_counts=True)
+            at = at[first]
+            prefix, suffix = (found[m - 2][at - 1], found[m - 2][at]) if m > 1 else (np.zeros_like(key), np.zeros_like(key))
+            columns = [np.full(len(key), m, np.int32), key.view(np.int64), prefix.view(np.int64), suffix.view(np.int64), n.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["m", "key", "prefix", "suffix", "n"])
 
     def count(batches):
-        keys, counts, size = [], [], 0
+        hashes, each, size = Hashes(), [], 0
         for batch in batches:
-            each = []
             for text in batch["t"].to_pylist():
-                s = padded(words_of(text), symbols)
-                ctx = contexts_of(s, depth)
-                at = np.minimum(np.searchsorted(allowed, ctx), len(allowed) - 1)
-                some = allowed[at] == ctx
-                each.append(ctx[some] << BITS | s[DEPTH:][some])
+                each.append(hashes.tokens(text))
                 size += len(each[-1])
-                if size > 4 * FLUSH:
-                    k, c = np.unique(np.concatenate(each), return_counts=True)
-                    keys.append(k), counts.append(c)
+                if size > FLUSH:
+                    yield from batches_of(each)
                     each, size = [], 0
-            if each:
-                k, c = np.unique(np.concatenate(each), return_counts=True)
-                keys.append(k), counts.append(c)
-            if sum(map(len, keys)) > 2 * FLUSH:
-                yield batch_of(keys, counts)
-                keys, counts = [], []
-        if keys:
-            yield batch_of(keys, counts)
-
-    def batch_of(keys, counts):
-        k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.bincount(at, np.concatenate(counts)).astype(np.int64))], names=["k", "n"])
-
-    if not len(allowed):
-        return texts.sparkSession.createDataFrame([], "ctx bigint, sym bigint, n bigint")
-    found = texts.mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
-    return found.select(F.shiftright("k", BITS).alias("ctx"), F.col("k").bitwiseAND(F.lit((1 << BITS) - 1)).alias("sym"), "n")
-
-
-def retained(counts: DataFrame, suffixes: DataFrame, depth: int, gain: float = GAIN) -> DataFrame:
-    """The rows of ``counts`` whose context diverges from its suffix; suffixes: counts one level up."""
-    total = counts.groupBy("ctx").agg(F.sum("n").alias("total"))
-    above = suffixes.groupBy("ctx").agg(F.sum("n").alias("above")).withColumnRenamed("ctx", "suffix")
-    parent = suffixes.select(F.col("ctx").alias("suffix"), "sym", F.col("n").alias("m"))
-    rows_ = counts.join(total, "ctx").withColumn("suffix", F.col("ctx").bitwiseAND(F.lit((1 << (BITS * (depth - 1))) - 1)))
-    rows_ = rows_.join(parent, ["suffix", "sym"]).join(above, "suffix")
-    test = rows_.groupBy("ctx").agg(F.sum(F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("m") / F.col("above")))).alias("nats"), F.count("*").alias("seen"))
-    return counts.join(test.where(F.col("nats") > gain * F.col("seen")).select("ctx"), "ctx", "left_semi")
+        if each:
+            yield from batches_of(each)
+
+    small_batches(texts.sparkSession)
+    found = texts.mapInArrow(count, "m int, key bigint, prefix bigint, suffix bigint, n bigint")
+    return found.groupBy("m", "key", "prefix", "suffix").agg(F.sum("n").alias("n"))
+
+
+def retained(counts: DataFrame, tokens: int, depth: int = DEPTH, gain: float = GAIN, min_count: int = MIN_COUNT) -> DataFrame:
+    """(ctx, above_ctx, total): the contexts that diverge from their suffix, with that suffix and their tokens."""
+    known = counts.where((F.col("m") <= depth) & (F.col("n") >= min_count)).select("m", F.col("key").alias("ctx"), F.col("suffix").alias("above_ctx"), F.col("n").alias("total"))
+    above = known.where(F.col("m") < depth).select(F.col("ctx").alias("above_ctx"), F.col("total").alias("above"))
+    known = known.join(above, "above_ctx", "left").where("m = 1 or above is not null")
+    known = known.select("ctx", "above_ctx", "total", F.when(F.col("m") == 1, F.lit(tokens)).otherwise(F.col("above")).alias("above"))
+    shorter = counts.where(F.col("m") <= depth).select(F.col("key").alias("suffix"), F.col("n").alias("less"))
+    longer = counts.where(F.col("m").between(2, depth + 1)).select(F.col("prefix").alias("ctx"), "suffix", "n")
+    both = longer.join(known, "ctx").join(shorter, "suffix")
+    nats = F.sum(F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("less") / F.col("above"))))
+    test = both.groupBy("ctx", "above_ctx", "total").agg(nats.alias("nats"), F.count("*").alias("seen"))
+    return test.where(F.col("nats") > gain * F.col("seen")).select("ctx", "above_ctx", "total")
 
 
 @dataclass
 class Model:
-    counts: DataFrame  # (word, n) of all training words
+    values: DataFrame  # (key, n, kept): the n-grams that scores need; kept: it is a retained context
+    states: DataFrame  # (ctx, above_ctx, total): the retained contexts
     tokens: int  # N
     distinct: int  # V
     texts: int  # training texts, which is how often the end occurs
-    symbols: Symbols
-    least: int  # count of a word that is a symbol
-    rare: tuple[float, float, float]  # discount, tokens, log10 of the place for unknown words
-    states: list[tuple[np.ndarray, np.ndarray]]  # by depth from 1: sorted contexts, state numbers
-    logs: np.ndarray  # log10 probabilities by state and symbol
 
+    @property
+    def logs(self) -> Iterator[np.ndarray]:
+        """For each state, the root first, log10 of the probabilities of all known words, the end and the unknown word.
+
+        Collects the tree: for small ones, to look at.
+        """
+        n = {r.key: r.n for r in self.values.collect()}
+        states = {r.ctx: r for r in self.states.collect()}
+        words = np.array([r.key for r in self.values.where("word").select("key").collect()], np.int64)
+        root = np.append([n[int(w)] for w in words], 0.0) + 0.1
+        root /= self.tokens + 0.1 * (self.distinct + 1)
+
+        def row(ctx: int, above: int) -> np.ndarray:
+            longer = np.uint64(ctx & (1 << 64) - 1) * np.ones(1, np.uint64) * TURN + words.view(np.uint64)
+            seen = np.append([n.get(int(k), 0) for k in longer.view(np.int64)], 0.0)
+            return (seen + PRIOR * chain(above)) / (n[ctx] + PRIOR)
+
+        suffix = {r.key: r.suffix for r in self.values.select("key", "suffix").collect()}
 
-def train(texts: DataFrame, depth: int = DEPTH, gain: float = GAIN) -> Model:
+        def chain(ctx: int) -> np.ndarray:
+            while ctx and ctx not in states:
+                ctx = suffix.get(ctx, 0)
+            return row(ctx, states[ctx].above_ctx) if ctx else root
+
+        yield np.log10(root)
+        for ctx in states:
+            yield np.log10(chain(ctx))
+
+
+def train(texts: DataFrame, depth: int = DEPTH, gain: float = GAIN, min_count: int = MIN_COUNT) -> Model:
     """Learns from all rows of (t)."""
-    counts = held(word_counts(texts), "word-counts")
-    n_texts = texts.count()
-    one = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    tokens, distinct = one.n + n_texts, one.v + (n_texts > 0)
-    least = tokens // SYMBOLS + 1
-    common = sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r.n, bytes(r.word)))  # at most SYMBOLS rows
-    symbols = Symbols({bytes(r.word): i for i, r in enumerate(common, 1)})
-    rest = counts.where(F.col("n") < least).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
-    discount = rest.n1 / (rest.n1 + 2 * rest.n2) if rest.n1 and rest.n2 else 0.5
-    unknown = np.log10(discount * rest.v / rest.n) if rest.n else 0.0
-
-    first = np.zeros(1 << BITS)
-    for r, i in zip(common, range(1, len(common) + 1)):
-        first[i] = r.n
-    first[RARE], first[END] = rest.n, n_texts
-    used = [RARE, *range(1, len(common) + 1), END]
-    root = np.zeros(1 << BITS)
-    root[used] = (first[used] + 0.5) / (first[used].sum() + 0.5 * len(used))
-    spark = texts.sparkSession
-    above = spark.createDataFrame([(0, int(i), int(first[i])) for i in used if first[i]], "ctx bigint, sym bigint, n bigint")
-    allowed = np.array(sorted({*used, START} - {END}), np.int64)
-    probabilities, states, known = [root], [], {}
-    for d in range(1, depth + 1):
-        level = held(gram_counts(texts, symbols, d, allowed), f"contexts-{d}")
-        kept = retained(level, above, d, gain).toArrow()  # at most CONTEXTS (SYMBOLS at depth 1) contexts
-        ctx, sym, n = (kept[c].to_numpy().astype(np.int64) for c in ("ctx", "sym", "n"))
-        own, at = np.unique(ctx, return_inverse=True)
-        dense = np.zeros((len(own), 1 << BITS))
-        dense[at, sym] = n
-        for i, c in enumerate(own):
-            shorter = ((e, int(c) & ((1 << BITS * e) - 1)) for e in range(d - 1, 0, -1))
-            suffix = next((known[x] for x in shorter if x in known), 0)
-            probabilities.append((dense[i] + PRIOR * probabilities[suffix]) / (dense[i].sum() + PRIOR))
-            known[d, int(c)] = len(probabilities) - 1
-        states.append((own, np.array([known[d, int(c)] for c in own], np.int64)))
-        share = max(2, tokens // CONTEXTS + 1)
-        more = level.where((F.col("n") >= share) & (F.col("sym") != END)).select((F.shiftleft("ctx", BITS).bitwiseOR(F.col("sym"))).alias("ctx")).toArrow()
-        allowed, above = np.sort(more["ctx"].to_numpy().astype(np.int64)), level
-    with np.errstate(divide="ignore"):
-        logs = np.log10(np.array(probabilities)).astype(np.float32)
-    return Model(counts, tokens, distinct, n_texts, symbols, least, (discount, float(rest.n), float(unknown)), states, logs)
-
-
-def symbol_score(model_states, logs: np.ndarray, symbols: Symbols):
-    """words -> log10 probability of their symbols and the end."""
-    def score(words: list[bytes]) -> float:
-        s = padded(words, symbols)
-        state = np.zeros(len(s) - DEPTH, np.int64)
-        for d, (own, number) in enumerate(model_states, 1):
-            if len(own):
-                ctx = contexts_of(s, d)
-                at = np.minimum(np.searchsorted(own, ctx), len(own) - 1)
-                state = np.where(own[at] == ctx, number[at], state)
-        return float(logs[state, s[DEPTH:]].sum(dtype=np.float64))
-
-    return score
+    counts = held(gram_counts(texts), "gram-counts")
+    word = (F.col("m") == 1) & (F.col("key") != START_KEY)
+    one = counts.agg(F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)).alias("tokens"), F.count_if(word).alias("distinct"),
+                     F.coalesce(F.sum(F.when((F.col("m") == 1) & ~word, F.col("n"))), F.lit(0)).alias("texts")).first()
+    states = held(retained(counts, one.tokens, depth, gain, min_count), "states")
+    own = states.select(F.col("ctx").alias("key"), F.lit(True).alias("kept"))
+    prefixes = states.select(F.col("ctx").alias("prefix"), F.lit(True).alias("next"))
+    needed = counts.join(own, "key", "left").join(prefixes, "prefix", "left").where("m = 1 or kept or next")
+    values = needed.select("key", "suffix", "n", F.coalesce("kept", F.lit(False)).alias("kept"), word.alias("word"))
+    return Model(held(values, "values"), states, one.tokens, one.distinct, one.texts)
+
+
+def asked(tokens: np.ndarray, place: np.ndarray, parts: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams by length, the distinct ones, their order by part and the edges of the parts in it."""
+    found = grams(tokens)
+    distinct = np.unique(np.concatenate([k[place >= m] for m, k in enumerate(found)]).view(np.int64))
+    part = distinct % parts
+    by_part = np.argsort(part, kind="stable")
+    return found, distinct, by_part, np.searchsorted(part[by_part], np.arange(parts + 1))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -207,58 +186,103 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     names = rows_in.columns[:-1]
     spark = docs.sparkSession
     parts = 2 * partitions(spark)
-    sent = spark.sparkContext.broadcast((model.states, model.logs, dict(model.symbols)))
-    compiled = []
 
-    def measure(words):
-        if not compiled:
-            states, logs, symbols = sent.value
-            compiled.append(symbol_score(states, logs, Symbols(symbols)))
-        return compiled[0](words)
-
-    part = (F.crc32("word") % parts).cast("int")
-    values = model.counts.select(part.cast("bigint").alias("to"), F.col("n").alias("chunk"), part.alias("part"), F.lit(VALUES).alias("kind"), F.col("word").alias("data"))
-    found = met(values.union(exploded(rows_in, "t", names, words_of, parts, measure=measure, bag=True)))
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=["to", "kind", "chunk", "v", "data"])
+
+    def explode(batches):
+        def emit():
+            lengths, tokens = np.array([len(x) for x in each]), np.concatenate(each)
+            _, distinct, by_part, edges = asked(tokens, places(lengths), parts)
+            out = [(p, WORDS, number, 0, distinct[by_part[a:b]].tobytes()) for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+            words, slots = np.unique(tokens, return_inverse=True)
+            own = pa.Table.from_batches(keys).combine_chunks().to_batches()[0]
+            own = pack(**dict(zip(own.schema.names, own.columns)), __n=lengths)
+            texts = pack(d=pa.array([own, pack(w=words), pack(s=slots.astype(np.uint32))], pa.binary()))
+            return batch_of([*out, (-1 - number, TEXTS, number, 0, texts)])
+
+        hashes, number, each, keys, size = Hashes(), -1, [], [], 0
+        for batch in batches:
+            if number < 0 and batch.num_rows:
+                number = batch["__part"][0].as_py() << 24
+            for i, t in enumerate(batch["t"].to_pylist()):
+                tokens = hashes.tokens(t)
+                if each and size + len(tokens) > CHUNK:
+                    yield emit()
+                    number, each, keys, size = number + 1, [], [], 0
+                each.append(tokens)
+                keys.append(batch.select(names).slice(i, 1))
+                size += len(tokens)
+        if each:
+            yield emit()
+
+    small_batches(spark)
+    texts = rows_in.withColumn("__part", F.spark_partition_id()).mapInArrow(explode, ASKED)
+    value = F.col("n") * 2 + F.col("kept").cast("bigint")
+    values = model.values.select(F.pmod("key", F.lit(parts).cast("bigint")).alias("to"), F.lit(VALUES).alias("kind"), F.col("key").alias("chunk"), value.alias("v"), F.lit(None).cast("binary").alias("data"))
 
     def look_up(batches):
-        part, known = None, {}
+        part, keys, found, ready = None, [], [], False
         for batch in batches:
-            kinds, parts_, chunks, data = (batch[c].to_pylist() for c in ("kind", "part", "chunk", "data"))
+            to, kind, chunk, v = (batch[c].to_numpy() for c in ("to", "kind", "chunk", "v"))
+            cuts = [0, *(np.flatnonzero((np.diff(to) != 0) | (np.diff(kind) != 0)) + 1), batch.num_rows]
             out = []
-            for kind, p, chunk, content in zip(kinds, parts_, chunks, data):
-                if p != part:
-                    part, known = p, {}
-                if kind == VALUES:
-                    known[content] = chunk
-                elif kind == TEXTS:
-                    out.append((0, chunk, NO_PART, TEXTS, content))
-                else:
-                    own = unpack(content)["w"].to_pylist()
-                    out.append((0, chunk, p, kind, pack(n=np.fromiter((known.get(w, 0) for w in own), np.int64, len(own)))))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a < b and to[a] != part:
+                    part, keys, found, ready = to[a], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], False
+                if a < b and kind[a] == VALUES:
+                    keys.append(chunk[a:b]), found.append(v[a:b])
+                elif a < b and not ready:
+                    keys, found, ready = [np.concatenate(keys)], [np.concatenate(found)], True
+                for i in range(a, b if a < b and kind[a] != VALUES else a):
+                    data = batch["data"][i].as_buffer()
+                    if kind[i] == WORDS:
+                        own = np.frombuffer(data, np.int64)
+                        n = np.zeros(len(own), np.int64)
+                        if len(keys[0]):
+                            at = np.minimum(np.searchsorted(keys[0], own), len(keys[0]) - 1)
+                            n = np.where(keys[0][at] == own, found[0][at], 0)
+                        data = pa.py_buffer(pack(n=n))
+                    out.append((0, int(kind[i]), int(chunk[i]), int(part) if kind[i] == WORDS else -1, data.to_pybytes()))
             if out:
-                yield rows(*out)
+                yield batch_of(out)
 
-    tokens, distinct, n_texts, least = model.tokens, model.distinct, model.texts, model.least
-    discount, rare_tokens, unknown = model.rare
+    n_tokens, smooth = model.tokens, model.tokens + 0.1 * (model.distinct + 1)
 
     def assemble(group: pa.Table) -> pa.Table:
-        keys, lengths, slots, placed = texts_of(group)
-        c = np.zeros(sum(len(s) for s, _ in placed.values()), np.int64)
-        for own, found_ in placed.values():
-            c[own] = found_["n"].to_numpy()
-        base = np.log10((c + 0.1) / (tokens + 0.1 * (distinct + 1)))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rare = np.where(c == 0, unknown, np.where(c >= least, 0.0, np.log10((c - discount) / rare_tokens)))
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        sums = lambda v: np.array([v[slots[a:b]].sum() for a, b in zip(edges[:-1], edges[1:])], np.float64)
-        end = np.log10((n_texts + 0.1) / (tokens + 0.1 * (distinct + 1)))
-        out = {"n_tokens": lengths + 1, "n_known": sums((c > 0).astype(np.int64)).astype(np.int64) + (n_texts > 0), "train_tokens": np.full(len(lengths), tokens, np.int64),
-               "base_score": sums(base) + end, "score": keys["measured"].to_numpy() + sums(rare)}
+        answers, head = {}, None
+        for kind, part, data in zip(group["kind"].to_pylist(), group["v"].to_pylist(), group["data"]):
+            if kind == TEXTS:
+                head = [unpack(x.as_buffer()) for x in unpack(data.as_buffer())["d"]]
+            else:
+                answers[part] = unpack(data.as_buffer())["n"].to_numpy()
+        keys, words, slots = head
+        lengths = keys.pop("__n").to_numpy()
+        tokens, place = words["w"].to_numpy()[slots["s"].to_numpy()], places(lengths)
+        found, distinct, by_part, edges = asked(tokens, place, parts)
+        if (n := int((np.diff(edges) > 0).sum())) != len(answers):
+            raise RuntimeError(f"{n} parts of a chunk's n-grams were sent, {len(answers)} came back: its input changed between two runs of a task")
+        value = np.zeros(len(distinct), np.int64)
+        for p, n in answers.items():
+            value[by_part[edges[p] : edges[p + 1]]] = n
+        at = [np.minimum(np.searchsorted(distinct, k.view(np.int64)), len(distinct) - 1) for k in found]
+        c = value[at[0]] >> 1
+        p = (c + 0.1) / smooth
+        base = np.log10(p)
+        for d in range(1, DEPTH + 1):
+            before = np.concatenate([[0], value[at[d - 1]][:-1]])
+            use = (place >= d) & (before & 1 == 1)
+            p = np.where(use, ((value[at[d]] >> 1) + PRIOR * p) / ((before >> 1) + PRIOR), p)
+        starts = np.cumsum(lengths) - lengths
+        sums = lambda v: np.add.reduceat(np.where(place > 0, v, 0), starts)
+        out = {"n_tokens": lengths - 1, "n_known": sums(c > 0).astype(np.int64), "train_tokens": np.full(len(lengths), n_tokens, np.int64),
+               "base_score": sums(base), "score": sums(np.log10(p))}
         return pa.table([*(keys[n] for n in names), *map(pa.array, out.values())], names=[*names, *out])
 
     fields = [f"{n} {rows_in.schema[n].dataType.simpleString()}" for n in names]
     schema = ", ".join([*fields, "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"])
-    out = found.mapInArrow(look_up, ROW).groupBy("chunk").applyInArrow(assemble, schema)
+    out = met(values.union(texts)).mapInArrow(look_up, ASKED).groupBy("chunk").applyInArrow(assemble, schema)
     return out.toDF(*columns, *out.columns[len(names):])
 
 

@@ -163,6 +163,52 @@ def test_suffix_tree(spark, docs, none):
     assert suffixtree.score(none, model).count() == 0
 
 
+def plain_tree_scores(trained, texts, depth=3, least=2):
+    """log10 scores by the longest retained suffix, over all words, with dictionaries."""
+    n, following = Counter(), {}
+    for t in trained:
+        s = ["<", *t.split(), ">"]
+        for i in range(len(s)):
+            for m in range(1, depth + 2):
+                if i - m + 1 >= 0:
+                    n[g := tuple(s[i - m + 1 : i + 1])] += 1
+                    following.setdefault(g[:-1], Counter())[g[-1]] += 1
+    words = {g: k for g, k in n.items() if len(g) == 1 and g != ("<",)}
+    total, v = sum(words.values()), len(words)
+
+    def kept(c):
+        if n[c] < least or c not in following:
+            return False
+        above = n[c[1:]] if len(c) > 1 else total
+        nats = sum(k * math.log(k / n[c] / (n[(*c[1:], w)] / above)) for w, k in following[c].items())
+        return nats > 3.0 * len(following[c])
+
+    def p(c, w):
+        if not c:
+            return (words.get((w,), 0) + 0.1) / (total + 0.1 * (v + 1))
+        return (n[(*c, w)] + 8 * p(c[1:], w)) / (n[c] + 8) if kept(c) else p(c[1:], w)
+
+    out = []
+    for t in texts:
+        s = ["<", *t.split(), ">"]
+        out.append(sum(math.log10(p(tuple(s[max(0, i - depth) : i]), s[i])) for i in range(1, len(s))))
+    return out
+
+
+def test_suffix_tree_rare_words(spark):
+    """Words far below a thousandth of the tokens are contexts of their own, and so are two or three of them."""
+    many = [(i, " ".join(f"w{(i * 7 + j * j) % 50}" for j in range(80))) for i in range(40)]
+    pairs = [(100 + i, f"w{i} key{i % 5} lock{i % 5} bolt{i % 5} w{i + 1}") for i in range(20)]
+    rows = [*many, *pairs, (200, "key3 lock3 bolt3"), (201, "key3 bolt1 lock2"), (202, "new key1 lock1 new")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = suffixtree.train(df.where("doc_id < 200").select(F.col("text").alias("t")))
+    got = {r.doc_id: r.score for r in suffixtree.score(df, model).collect()}
+    want = plain_tree_scores([t for i, t in rows if i < 200], [t for _, t in rows])
+    for (i, _), x in zip(rows, want):
+        assert math.isclose(got[i], x, rel_tol=1e-9), i
+    assert got[200] > got[201] + 3
+
+
 def test_fold(spark):
     from stockwright.llm.tables import fold
     got = spark.createDataFrame([(12,), (None,)], "doc_id bigint").select(fold("doc_id", 10)).collect()
