@@ -4,11 +4,11 @@ Each source is dealt into blocks of rows. Time runs in slots of one block. With
 at slot floor(j / w) and due by slot ceil((j + 1) / w); in every slot the released block with the earliest deadline runs.
 While no source has run out, each is always less than one block away from its share.
 
-Weights are rounded to multiples of 1 / period (largest remainders, one at least), so the schedule repeats after
-``period`` slots: it is made once for one period, on the driver, in a table of ``period`` rows, and block j of a source
-takes slot ``j div a * period + table[source, j mod a]``, where a is the source's share of the period. That is a join, so
-the work is spread over the cluster however many blocks there are. When a source has run out its slots stay empty, and
-the others keep their shares among each other. Nothing is dropped or repeated.
+The schedule is made for the whole run, from the exact weights: they are taken as whole numbers with one denominator, so
+releases and deadlines have no rounding. One task makes it, slot by slot; it holds one block per source at a time and
+writes (source, block, slot) as a table, a row per block, which is joined to the rows. Sorting blocks by deadline alone would not do:
+a heavy source would run far ahead of many light ones that are due together. When a source has run out its slots stay
+empty, and every other source still keeps within a block of its share. Nothing is dropped or repeated.
 
 A source is dealt in a fixed random order: rows fall into buckets of a few thousand by the hash of the key, are counted
 per bucket and numbered inside it, so a source that holds a third of all rows is numbered by many tasks.
@@ -16,16 +16,21 @@ per bucket and numbered inside it, so a source that holds a third of all rows is
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .tables import partitions, table
+from .tables import held, partitions, table
 
 BLOCK_ROWS = 16
 PERIOD = 4096
 BUCKET_ROWS = 4096
 ALPHA = 0.5  # target weight: rows of the source to this power
 SEED = 7
+FLUSH = 100_000  # blocks in a batch of the schedule
 
 
 def shares(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -38,22 +43,55 @@ def shares(weights: dict[str, float], period: int) -> dict[str, int]:
     return out
 
 
-def schedule(share: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(source, block, slot) for one period: of the released blocks the one with the earliest deadline runs."""
-    period = sum(share.values())
-    waiting = [(0, s, 0) for s in sorted(share)]  # release, source, block
+def whole(weights: dict[str, float]) -> dict[str, int]:
+    """The same weights as whole numbers, exactly."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * unit) for s, w in exact.items()}
+
+
+def slots(weights: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, slot) of all blocks: of the released blocks the one with the earliest deadline runs."""
+    total = sum(weights.values())
+    waiting = [(0, s, 0) for s in sorted(blocks) if blocks[s]]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out = []
-    for slot in range(period):
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // share[s]), s, j))
+            heapq.heappush(ready, (-(-(j + 1) * total // weights[s]), s, j))
         _, s, j = heapq.heappop(ready)
-        out.append((s, j, slot))
-        if j + 1 < share[s]:
-            heapq.heappush(waiting, ((j + 1) * period // share[s], s, j + 1))
-    return out
+        yield s, j, slot
+        slot += 1
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, ((j + 1) * total // weights[s], s, j + 1))
+
+
+def schedule(share: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(source, block, slot) for one period of whole shares."""
+    return list(slots(share, share))
+
+
+def schedule_table(spark: SparkSession, weights: dict[str, float], blocks: dict[str, int]) -> DataFrame:
+    """(mix_source, mix_block, mix_slot) of all blocks, made by one task."""
+    exact = whole(weights)
+
+    def make(batches):
+        names = ["mix_source", "mix_block", "mix_slot"]
+        for _ in batches:
+            out = []
+            for row in slots(exact, blocks):
+                out.append(row)
+                if len(out) == FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
+
+    return spark.range(0, 1, 1, 1).mapInArrow(make, "mix_source string, mix_block bigint, mix_slot bigint")
 
 
 def targets(counts: dict[str, int], alpha: float = ALPHA) -> dict[str, float]:
@@ -61,7 +99,7 @@ def targets(counts: dict[str, int], alpha: float = ALPHA) -> dict[str, float]:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_id", source: str = "source",
-        block_rows: int = BLOCK_ROWS, period: int = PERIOD, seed: int = SEED, max_sources: int = 10_000) -> DataFrame:
+        block_rows: int = BLOCK_ROWS, seed: int = SEED, max_sources: int = 10_000) -> DataFrame:
     """All rows and columns with mix_source, mix_block (number in its source), mix_slot and mix_row (place in its block).
 
     A null source counts as the empty one. Without weights each source weighs its row count to the power ALPHA. Sources
@@ -78,9 +116,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     weights = weights or targets(counts)
     if missing := set(counts) - {n for n, w in weights.items() if w > 0}:
         raise ValueError(f"no weight for {sorted(missing)[:5]}")
-    share = shares({n: weights[n] for n in counts}, max(period, 8 * len(counts))) if counts else {}
-    plan = spark.createDataFrame(schedule(share) if share else [], "mix_source string, block int, slot bigint")
-    sizes = spark.createDataFrame([(n, share[n], -(-c // BUCKET_ROWS)) for n, c in counts.items()], "mix_source string, share int, buckets bigint")
+    blocks = {n: -(-c // block_rows) for n, c in counts.items()}
+    plan = held(schedule_table(spark, {n: weights[n] for n in counts}, blocks) if counts else spark.createDataFrame([], "mix_source string, mix_block bigint, mix_slot bigint"), "schedule")
+    sizes = spark.createDataFrame([(n, -(-c // BUCKET_ROWS)) for n, c in counts.items()], "mix_source string, buckets bigint")
 
     order = F.xxhash64(F.lit(seed), F.col(k), F.col("mix_source"))
     rows = rows.join(F.broadcast(sizes), "mix_source").withColumn("mix_hash", order).withColumn("bucket", F.pmod(order, F.col("buckets")))
@@ -88,11 +126,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     starts = rows.groupBy("mix_source", "bucket").agg(F.count("*").alias("n")).select("mix_source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = F.row_number().over(Window.partitionBy("mix_source", "bucket").orderBy("mix_hash", k)) - 1
     placed = rows.withColumn("inside", inside).join(starts, ["mix_source", "bucket"]).withColumn("place", F.col("start") + F.col("inside"))
-    placed = placed.withColumn("mix_block", F.expr(f"place div {block_rows}")).withColumn("block", (F.col("mix_block") % F.col("share")).cast("int"))
-    size = sum(share.values()) or 1
-    return placed.join(F.broadcast(plan), ["mix_source", "block"]).select(
-        *[F.col(n).alias(c) for n, c in zip(names, docs.columns)], "mix_source", "mix_block",
-        (F.expr("mix_block div share") * size + F.col("slot")).alias("mix_slot"), (F.col("place") % block_rows).cast("int").alias("mix_row"))
+    placed = placed.withColumn("mix_block", F.expr(f"place div {block_rows}"))
+    return placed.join(plan, ["mix_source", "mix_block"]).select(
+        *[F.col(n).alias(c) for n, c in zip(names, docs.columns)], "mix_source", "mix_block", "mix_slot",
+        (F.col("place") % block_rows).cast("int").alias("mix_row"))
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:

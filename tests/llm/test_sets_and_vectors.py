@@ -189,6 +189,23 @@ def test_mix(spark):
         mixing.mix(df, {"hot": 1.0})
 
 
+def test_mix_keeps_to_the_unrounded_weights(spark):
+    """A hot source and 20 smaller ones, weights without a common period, one of them far below 1/4096."""
+    rows = spark.range(99_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 33_000, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 20).cast("string"))).alias("source"))
+    rows = rows.union(spark.range(99_000, 99_040).select("id", F.lit("tiny")))
+    weights = {"hot": 33_000**0.5, **{f"s{i}": 3_300**0.5 for i in range(20)}, "tiny": 0.02}
+    total = sum(weights.values())
+    got = {}
+    for r in mixing.mix(rows, weights).select("mix_source", "mix_block", "mix_slot").distinct().collect():
+        got.setdefault(r.mix_source, {})[r.mix_block] = r.mix_slot
+    assert {s: len(b) for s, b in got.items()} == {"hot": 2063, **{f"s{i}": 207 for i in range(20)}, "tiny": 3}
+    for s, blocks in got.items():
+        w = weights[s] / total
+        for j, slot in blocks.items():
+            # Before the slot no more than a block behind, after it no more than a block ahead.
+            assert j > w * slot - 1 - 1e-9 and j + 1 < w * (slot + 1) + 1 + 1e-9, (s, j, slot)
+
+
 def test_warc(spark, tmp_path):
     page = "<p>" + "é" * 80 + "</p>"
     rows = [(3, "http://a.example/x?y#z", page), (1, "https://b.example", page), (2, None, page), (4, "http://c", None), (5, "u\r\nX: 1", ""), (6, "http://d/", "short"), (7, "http://d/", "short"),
