@@ -1,10 +1,12 @@
 """Personal data: spans by form, and further ones by bootstrapped context.
 
 Base spans are the matches of one pattern per kind that pass the kind's test. They are the seeds: the word before a span
-is a lexical pattern for its kind. A pattern scores by how often the word is followed by a known identifier of the
-kind, out of all its occurrences in the corpus; a pattern with enough distinct seeds and a high score is trusted. A
-candidate (a token that looks like an identifier of the kind but is no base span) becomes known when the trusted patterns
-before it, together, are confident enough; known ones count for other patterns in the next round, until nothing is new.
+is a lexical pattern for its kind; quotes and brackets that open in between are passed over. A pattern scores by how often
+the word is followed by a known identifier of the kind, out of those occurrences in the corpus that nothing yet unknown of
+the kind's form follows; a pattern with enough distinct seeds and a high score is trusted. A candidate (a token, or groups
+of digits with blanks between, that looks like an identifier of the kind but is no base span; punctuation at its edges
+does not count) becomes known when the trusted patterns before it, together, are confident enough; known ones count for
+other patterns in the next round, until nothing is new. Scores only rise as more is known, so that ends.
 Candidates behind a trusted pattern and those that became known are added as spans; base spans stay.
 
 Only built-in functions. Places are counted in code points: a match starts after all gaps and matches before it. Texts
@@ -27,18 +29,23 @@ PATTERNS = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = r"(?<!\S)(?:\([0-9]{2,4}\)\x20[0-9-]{6,12}|(?=\S{0,63}[0-9@])\S{5,64})(?!\S)"
+OPEN, CLOSE = r"\"'(\[{<«“‘", r"\"')\]}>.,;:!?»”’"  # at the edges of a candidate
+# Groups of digits as of a card or a phone number, or else a whole token, without what opens or closes at its edges.
+CANDIDATE = (
+    rf"(?<![^\s{OPEN}])(?<=(?:^|\s)[{OPEN}]{{0,16}})(?:"
+    rf"(?:[0-9](?:[./_]?[0-9]){{12,18}}|\([0-9]{{1,4}}\)[\x20./-]?[0-9](?:[\x20./-]?[0-9]){{3,10}}|[0-9](?:[\x20./-]?[0-9]){{6,11}})(?=[{CLOSE}]*+(?:\s|$))"
+    rf"|(?=[^\s0-9@:]*+(?:[0-9@]|:\S))[^\s{OPEN}](?:\S*(?:[^\s{CLOSE}]|::))?)"
+)
 # What a candidate of a kind may look like, and how many digits it has.
 FORMS = {
-    "email": (r"^[^\s@]{1,48}@[^\s@]{3,}$", 0, 99),
+    "email": (r"^[^\s@]+@[^\s@]{3,}$", 0, 99),
     "ip": r"^[0-9A-Fa-f]{0,4}(:[0-9A-Fa-f]{0,4}){3,7}$",
     "card": (r"^[0-9]+([./_][0-9]+)+$", 13, 19),
     "phone": (r"^[0-9(][0-9()\x20./-]*[0-9]$", 7, 12),
 }
 MIN_SEEDS = 5  # distinct instances before a pattern can be trusted
-MIN_SCORE = 0.8  # share of a pattern's occurrences that known identifiers follow
+MIN_SCORE = 0.8  # share of a pattern's occurrences that known identifiers follow, of those that no unknown candidate follows
 MIN_CONFIDENCE = 0.8  # of all trusted patterns before an instance
-ROUNDS = 4
 BEFORE = 48  # code points looked at for the word before
 BLOCK = 256
 SMALL = 20_000  # rows up to which a table of words is sent to all tasks
@@ -100,7 +107,7 @@ def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         def span(i: Column) -> Column:
             s, at = F.get(f"{k}_hits", i), F.get(f"{k}_hits_at", i)
             left = F.substring("t", F.greatest(at - BEFORE, F.lit(0)) + 1, F.least(at, F.lit(BEFORE)))
-            before = F.lower(F.regexp_extract(left, r"(?:^|\s)(\S++)\s++$", 1))
+            before = F.lower(F.regexp_extract(left, rf"(?:^|\s)(\S++)\s++[{OPEN}]*+$", 1))
             return F.struct(F.lit(k).alias("kind"), at.alias("start"), (at + F.length(s)).alias("end"), s.alias("s"), before.alias("before"))
 
         kept = lambda i: valid(k, F.get(f"{k}_hits", i)) if k in KINDS else F.lit(True)
@@ -124,7 +131,7 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
-def bootstrapped(docs: DataFrame, found: DataFrame, text: str = "text", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
+def bootstrapped(docs: DataFrame, found: DataFrame, text: str = "text", min_seeds: int = MIN_SEEDS,
                  min_score: float = MIN_SCORE, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(id, th, kind, start, end) of the spans that contexts add."""
     seeds = found.select(F.explode("spans").alias("x")).select("x.kind", F.lower("x.s").alias("instance"), F.col("x.before").alias("word"))
@@ -132,8 +139,8 @@ def bootstrapped(docs: DataFrame, found: DataFrame, text: str = "text", rounds:
     kinds = F.filter(F.array(*[F.when(fits(k, F.col("x.s")), F.lit(k)) for k in KINDS]), lambda k: k.isNotNull())
     options = found.select("id", "th", F.explode("candidates").alias("x")).select(
         "id", "th", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.lower("x.s").alias("instance"), F.col("x.before").alias("word"), F.explode(kinds).alias("kind"))
-    options = held(options.where("word <> ''"), "candidates")
-    edges = held(options.groupBy("kind", "instance", "word").count(), "edges")
+    options = held(options, "candidates")
+    edges = held(options.where("word <> ''").groupBy("kind", "instance", "word").count(), "edges")
     # How often each word that stands before a seed or candidate occurs at all.
     words = seeds.select("word").union(edges.select("word")).where("word <> ''").distinct()
     words = sized(held(words, "words"))
@@ -141,15 +148,17 @@ def bootstrapped(docs: DataFrame, found: DataFrame, text: str = "text", rounds:
     occurs = held(all_words.join(words, "word").groupBy("word").agg(F.count("*").alias("occurs")), "occurs")
     enough = seeds.where("word <> ''").select("kind", "word", "instance").distinct().groupBy("kind", "word").count().where(F.col("count") >= min_seeds)
     graph = held(seeds.where("word <> ''").union(edges).join(occurs, "word"), "graph")
+    followed = held(graph.groupBy("kind", "word").agg(F.sum("count").alias("followed")), "followed")
     known = seeds.select("kind", "instance").distinct()
     n_known = -1
-    for _ in range(rounds):
+    while True:
         known = held(known, "known")
         n = known.count()
         if n == n_known:
             break
         n_known = n
-        patterns = graph.join(known, ["kind", "instance"]).groupBy("kind", "word").agg((F.sum("count") / F.first("occurs")).alias("score"), F.countDistinct("instance").alias("n"))
+        patterns = graph.join(known, ["kind", "instance"]).groupBy("kind", "word").agg(F.sum("count").alias("hits"), F.first("occurs").alias("occurs"), F.countDistinct("instance").alias("n"))
+        patterns = patterns.join(followed, ["kind", "word"]).withColumn("score", F.col("hits") / (F.col("occurs") - F.col("followed") + F.col("hits")))
         patterns = held(patterns.where((F.col("n") >= min_seeds) & (F.col("score") >= min_score)).select("kind", "word", F.least("score", F.lit(0.999)).alias("score")), "patterns")
         doubt = edges.join(patterns, ["kind", "word"]).groupBy("kind", "instance").agg(F.sum(F.log1p(-F.col("score"))).alias("doubt"))
         known = known.union(doubt.where(F.lit(1) - F.exp("doubt") >= min_confidence).select("kind", "instance")).distinct()

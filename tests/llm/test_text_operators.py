@@ -163,6 +163,30 @@ def test_suffix_tree(spark, docs, none):
     assert suffixtree.score(none, model).count() == 0
 
 
+def test_personal_context_finds_all(spark):
+    """Edges, blanks, many hidden ones behind one cue, a chain of cues, and long tokens."""
+    rows = [(i, f"filler text here reach: +1 555 123 {4000 + i} end the word the") for i in range(8)]
+    hidden = ["555-123-9999.", "555-123-9998,", "(555-123-9997)", "555 123 9996", '"555.123.9995"!', "(555) 123-9994", "555 123 9993 100 units"]
+    rows += [(20 + i, f"please reach: {h} today") for i, h in enumerate(hidden)]
+    rows += [(40, "555-123-9999 stands first"), (41, "the 555-123-7777 is a part number"), (42, "reach: 55-66 today")]
+    # Each cue is learned only from what the one before it made known.
+    for c in range(7):
+        rows += [(100 + 10 * c + i, f"now {'reach:' if c == 0 else f'cue{c}'} 555-777-{1000 + 10 * c + i} or cue{c + 1} 555-777-{1000 + 10 * c + i} end") for i in range(6)]
+        rows += [(200 + 10 * c + i, f"then cue{c + 1} 555-777-{1000 + 10 * (c + 1) + i} end") for i in range(6)]
+    long = "a" * 80 + "_!@localhost"
+    rows += [(300 + i, f"mail-to u{i}@ex.org end") for i in range(8)] + [(310, f"mail-to <{long}>, end")]
+    texts = dict(rows)
+    got = {r.doc_id: [(k, texts[r.doc_id][a:b]) for k, a, b in r.added] for r in personal.personal_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = ["555-123-9999", "555-123-9998", "555-123-9997", "555 123 9996", "555.123.9995", "(555) 123-9994", "555 123 9993"]
+    for i, w in enumerate(want):
+        assert got[20 + i] == [("phone", w)], w
+    assert got[40] == [("phone", "555-123-9999")] and got[41] == got[42] == []
+    for c in range(7):
+        for i in range(6):
+            assert got[200 + 10 * c + i] == [("phone", f"555-777-{1000 + 10 * (c + 1) + i}")], c
+    assert got[310] == [("email", long)]
+
+
 def plain_tree_scores(trained, texts, depth=3, least=2):
     """log10 scores by the longest retained suffix, over all words, with dictionaries."""
     n, following = Counter(), {}
