@@ -21,7 +21,8 @@ STAGES = [
     ("bpe", bpe_stage),
 ]
 
-#: Cosines of bundled vectors, Pfair schedules and merges by rank have no SQL form; tests/llm compares with plain Python.
+#: Cosines of bundled vectors, Pfair schedules and merges by rank have no SQL form; tests/llm compares the mixed order
+#: with plain Python, and the texts with the stages run one by one.
 ORACLE_SQL = None
 
 

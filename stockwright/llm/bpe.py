@@ -15,6 +15,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .mixing import positioned
 from .tables import partitions, table
 from .words import ROW, TEXTS, WORDS, binaries, exploded, gathered, met, pack, rows, texts_of, unpack
 
@@ -112,10 +113,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name:
     return renamed.mapInArrow(join, schema).toDF(*encoded.columns, name)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ranks = load_ranks(public_tokenizers.path(VOCABULARY))
-    both = decode(encode(docs, ranks), ranks)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = decode(encode(docs, ranks, keep=keep), ranks)
+    return both.select("doc_id", *keep, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,5 +124,5 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document with its number of tokens and the digests of its ids and of the decoded bytes."""
-    return digests(docs)
+    """Every document with its position in the mixed order, its number of tokens and the digests of its ids and decoded bytes."""
+    return digests(positioned(docs.select("doc_id", "text")), keep=("position",))

@@ -23,6 +23,8 @@ SEED = 20_240_601
 SCALE = 1_000_000  # unit vectors are summed as whole numbers, so that the sum does not depend on its order
 PIECE = 200_000  # characters bundled at once
 UNKNOWN = "und"
+RIGHT = 0.995  # share of held-out documents at or above the threshold whose language is right
+STEPS = 1000  # thresholds tried between 0 and 1
 
 
 def ranked(values: np.ndarray, dense: int = 1 << 23) -> tuple[np.ndarray, np.ndarray]:
@@ -166,11 +168,31 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict(docs, learned, keep=("held_out",))
 
 
+def threshold(scored: DataFrame, lang: str = "lang", right: float = RIGHT) -> float:
+    """The least score from which on the share ``right`` of the labelled rows is recognised as labelled.
+
+    0 without labelled rows. Where no score reaches that share, the least of those that come nearest.
+    """
+    hit = F.col("lang_pred") == F.col(lang).cast("string")
+    rows = scored.where((F.col("lang_pred") != UNKNOWN) & F.col(lang).isNotNull()).groupBy(F.floor(F.col("score") * STEPS).alias("at"))
+    n = hits = 0
+    shares = []
+    for r in sorted(rows.agg(F.count("*").alias("n"), F.count_if(hit).alias("hits")).collect(), reverse=True):
+        n, hits = n + r.n, hits + r.hits
+        shares.append((min(hits / n, right), -r["at"]))
+    if not shares or shares[-1][0] >= right:
+        return 0.0
+    best = max(share for share, _ in shares)
+    return min(-at for share, at in shares if share == best) / STEPS
+
+
 def identify_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps the documents in which a language is recognised; those without any letter go."""
+    """Keeps the documents in which a language is recognised: those without any letter go, and those whose score is below a
+    threshold that is calibrated on the labelled documents held out from learning."""
     learned = profiles(docs.where(fold("doc_id", 5) != 0))
     columns = docs.columns
+    least = threshold(predict(docs.where(fold("doc_id", 5) == 0), learned, keep=("lang",)))
     renamed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     at = {name: f"c{columns.index(name)}" for name in ("doc_id", "text")}
     kept = predict(renamed.withColumn("key", F.col(at["doc_id"])), learned, key="key", text=at["text"], keep=tuple(renamed.columns))
-    return kept.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(columns)])
+    return kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(columns)])

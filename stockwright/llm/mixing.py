@@ -21,6 +21,7 @@ from fractions import Fraction
 from math import lcm
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .tables import held, partitions, table
@@ -137,6 +138,18 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs).select("doc_id", F.col("mix_source").alias("source"), "mix_block", "mix_slot", "mix_row")
 
 
+def positioned(docs: DataFrame, name: str = "position") -> DataFrame:
+    """The rows with their place, from 0, in the order of the files they were read from; rows from elsewhere are only in order."""
+    try:
+        rows = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        files = rows.groupBy("__file").agg(F.count("*").alias("n"))
+    except AnalysisException:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    return rows.join(F.broadcast(starts), "__file").select(*[F.col(c) for c in docs.columns], (F.col("__start") + F.col("__row")).alias(name))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents in the order of the schedule: the files, one after the other, hold the slots in order."""
     order = ("mix_slot", "mix_row")

@@ -1,14 +1,16 @@
 """Similarity joins, searches, mixing, archives and the pipeline against plain Python on small rows."""
 import hashlib
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stockwright.llm import graph, jaccard, mixing, neighbours, suite, topk, warc
+from stockwright.llm import graph, jaccard, language, mixing, neighbours, suite, topk, warc
 
 
 def shingles(text):
@@ -252,3 +254,33 @@ def test_pipeline(spark):
     got = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect()}
     assert {k: v[1] for k, v in got.items()} == {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in rows}
     assert all(stage(spark, docs.limit(0), folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_pipeline_keeps_the_mixed_order(spark):
+    """The positions of run() follow a schedule made slot by slot with fractions, from the rows that came through."""
+    folder = "/root/testdata/sf0.001"
+    source = {r.doc_id: r.source or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = sorted(corpus_pipeline.run(spark, folder).select("position", "doc_id").collect())
+    assert [r.position for r in got] == list(range(len(got)))
+    names = [source[r.doc_id] for r in got]
+    rows = {s: names.count(s) for s in sorted(set(names))}
+    total = sum(Fraction(n**0.5) for n in rows.values())
+    weight, done, want, slot = {s: Fraction(n**0.5) / total for s, n in rows.items()}, dict.fromkeys(rows, 0), [], 0
+    while len(want) < len(names):
+        open_ = [(math.ceil((done[s] + 1) / w), s) for s, w in weight.items() if 16 * done[s] < rows[s] and math.floor(done[s] / w) <= slot]
+        if open_:
+            s = min(open_)[1]
+            want += [s] * min(16, rows[s] - 16 * done[s])
+            done[s] += 1
+        slot += 1
+    assert len(rows) > 1 and names == want
+
+
+def test_language_threshold(spark):
+    """Short noise with labels at random has low scores and goes; of the texts in a language 99 % stay at least."""
+    rng = random.Random(3)
+    words = {"en": "the cat and dog with that which have from this were been they would there".split(), "de": "der hund und die katze nicht eine werden sich auch durch zwischen immer wieder".split()}
+    rows = [(i, " ".join(rng.choices(words[lang := ("en", "de")[i % 2]], k=60)), lang) for i in range(400)]
+    rows += [(1000 + i, "".join(rng.choices("qxzvjkwy", k=4)), ("en", "de")[rng.randrange(2)]) for i in range(100)]
+    kept = {r.doc_id for r in language.identify_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "").collect()}
+    assert len(kept & set(range(400))) >= 396 and len(kept - set(range(400))) < 20
