@@ -107,10 +107,11 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataF
     """(bucket, gain) of every bucket, from the bucket counts of both sides."""
     both = (corpus.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
             .join(corpus.withColumnRenamed("n", "s"), "bucket", "left").join(target.withColumnRenamed("n", "t"), "bucket", "left").fillna(0, ["s", "t"]))
-    all_of = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
+    whole = Window.partitionBy()  # a row per bucket
+    both = both.select("bucket", "s", "t", F.sum("s").over(whole).alias("all_s"), F.sum("t").over(whole).alias("all_t"))
     d = lambda c, plus: F.col(c).cast("double") + float(plus)
     ratio = d("t", 1) * d("all_s", buckets) / (d("s", 1) * d("all_t", buckets))
-    return both.join(F.broadcast(all_of)).select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
+    return both.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
 
 
 def weighted(found: DataFrame, gain: np.ndarray) -> DataFrame:
