@@ -440,12 +440,10 @@ def assemble(group: pa.Table) -> pa.Table:
     ends = np.cumsum(sizes)
     firsts, total = ends - sizes, int(sizes.sum())
     text = np.frombuffer(pa.decompress(head["data"], total, "zstd"), np.uint8)
-    change = np.zeros(total + 1, np.int64)
-    for doc, start, stop in ranges:
-        if (start >= sizes[doc]).any() or (stop > sizes[doc]).any():
-            raise RuntimeError("ranges beyond their text: the input changed between two runs of a task")
-        change += np.bincount(firsts[doc] + start, minlength=total + 1)
-        change -= np.bincount(firsts[doc] + stop, minlength=total + 1)
+    doc, start, stop = (np.concatenate(c) for c in zip(*ranges)) if ranges else np.zeros((3, 0), np.int64)
+    if (start >= sizes[doc]).any() or (stop > sizes[doc]).any():
+        raise RuntimeError("ranges beyond their text: the input changed between two runs of a task")
+    change = np.bincount(firsts[doc] + start, minlength=total + 1) - np.bincount(firsts[doc] + stop, minlength=total + 1)
     gone = np.cumsum(change[:-1]) > 0
     up, down = gone.copy(), gone.copy()
     up[1:] &= ~gone[:-1]
@@ -473,7 +471,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     many = partitions(spark)
     parts = max(2 * many, 4 * total // part)  # pieces overlap: they hold each byte about three times
     sent = explode(rows, level, parts, length, gram, chunk)
-    met = sent.repartition(many, "part").sortWithinPartitions("part", "chunk")
+    met = sent.repartition(max(many, parts // 4), "part").sortWithinPartitions("part", "chunk")
     found = sort_parts(met, length, gram).union(texts_of(rows, chunk))
     out = found.groupBy("chunk").applyInArrow(assemble, "key bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
     return out.withColumn("key", F.col("key").cast(docs.schema[key].dataType)).withColumnRenamed("key", key)
