@@ -3,12 +3,15 @@
 Both tokenizers encode a text; where tokens of both end at one byte, the text is cut into groups, and every token of the
 one side in a group is linked with every token of the other. A pair of ids counts the texts that hold it linked.
 
-First pass: tasks cut their rows into chunks, encode and align them, and write the ids and the chunk's distinct pairs with
-their counts, dealt by the first id, as a table. A part then has all pairs of its ids. It builds a minimal perfect hash of
+First pass: tasks cut their rows into chunks. Where no token of either side can cross a single space between words (the
+vocabularies tell), texts are sequences of segments, and each distinct segment of a chunk is encoded and aligned once; a
+text with a segment that does not come back byte by byte is encoded as a whole. The sequences, the segments' ids and the
+chunk's distinct pairs with their counts, dealt by the first id, are written as a table. A part then has all pairs of its ids. It builds a minimal perfect hash of
 its distinct pairs, level by level: pairs alone in a cell of the level's bit array are placed, the others go on to the next
 array. Count vectors indexed by the hash are dense; blocks of chunks are summed into one each, and these by a tree. Every
 index is verified against the key stored there. The part answers each chunk with the counts of its pairs, and marks those
-that no pair of the same first id exceeds. Second pass: the chunk's ids are aligned again and the counts looked up.
+that no pair of the same first id exceeds. Second pass: the chunk's ids are aligned again, the counts looked up, and
+both summed and joined over each text's segments.
 
 Texts that are null or empty, or that a tokenizer does not give back byte by byte (with the leading space), have no tokens.
 Repeated rows count as texts of their own; keys are only carried. A vocabulary is of fixed size, so all pairs of an id are.
@@ -16,7 +19,10 @@ Repeated rows count as texts of their own; keys are only carried. A vocabulary i
 from __future__ import annotations
 
 import os
+import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -27,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .tables import held, partitions, small_batches, table
 from .words import NO_PART, ROW, TEXTS, WORDS, gathered, met, pack, rows, unpack
 
-CHUNK = 3_000_000  # characters; a longer text is a chunk of its own
-TOGETHER = 64  # texts given to a tokenizer at once
+CHUNK = 4_000_000  # characters; a longer text is a chunk of its own
+TOGETHER = 8192  # texts given to a tokenizer at once
 LARGE = 1 << 16  # links of one group; beyond, equal ids of the group are linked once, with their number
 BLOCK = 64  # rows summed into one dense vector
 VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
@@ -50,6 +56,7 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True
+        self.cut_at_spaces = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.pre_tokenizer.use_regex and self.tokenizer.normalizer is None
         letters = byte_letters()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.tokens = [bytes(letters[c] for c in name) for name in names]
@@ -66,6 +73,7 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=data)
         names = [(i, self.model.id_to_piece(i)) for i in range(self.model.get_piece_size())]
+        self.cut_at_spaces = not any("▁" in name.lstrip("▁") for _, name in names)
         self.tokens = [bytes([int(name[3:-1], 16)]) if self.model.is_byte(i) else name.replace("▁", " ").encode() for i, name in names]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -88,17 +96,56 @@ class Bytes:
         return self.data[gathered(self.start[ids], self.size[ids])]
 
 
-def whole_ids(texts: list[str | None], sides: tuple, of: tuple[Bytes, Bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Both sides' ids of each text, empty where one does not give back the text's bytes."""
-    none = np.zeros(0, np.int64)
-    out = [(none, none)] * len(texts)
-    some = [i for i, t in enumerate(texts) if t]
-    for i, *both in zip(some, *(side.encode([texts[i] for i in some]) for side in sides)):
-        ids = tuple(np.array(x, np.int64) for x in both)
-        want = np.frombuffer(b" " + texts[i].encode(), np.uint8)
-        if all(b.size[x].sum() == len(want) and (b.joined(x) == want).all() for b, x in zip(of, ids)):
-            out[i] = ids
-    return out
+def segments(text: str) -> list[str]:
+    """The text cut at single spaces between other characters, where no token of either tokenizer can cross."""
+    return re.split(r"(?<=\S) (?=\S)", text)
+
+
+def encoded(texts: list[str], sides: tuple, of: tuple[Bytes, Bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Both sides' ids, one text after the other, their numbers per text, and whether both give back the text's bytes."""
+    flat, n, fine = ([], []), ([], []), []
+    for at in range(0, len(texts), TOGETHER):
+        block = texts[at : at + TOGETHER]
+        want = [b" " + t.encode() for t in block]
+        length = np.array([len(w) for w in want])
+        ok = np.ones(len(block), bool)
+        for s, (side, table_) in enumerate(zip(sides, of)):
+            ids = side.encode(block)
+            n[s].append(np.array([len(x) for x in ids], np.int64))
+            flat[s].append(np.fromiter(chain.from_iterable(ids), np.int64, int(n[s][-1].sum())))
+            ends = np.concatenate([[0], np.cumsum(table_.size[flat[s][-1]])])
+            edges = np.concatenate([[0], np.cumsum(n[s][-1])])
+            long_enough = ends[edges[1:]] - ends[edges[:-1]] == length
+            same = table_.joined(flat[s][-1][np.repeat(long_enough, n[s][-1])]) == np.frombuffer(b"".join(w for w, o in zip(want, long_enough) if o), np.uint8)
+            wrong = np.bincount(np.repeat(np.flatnonzero(long_enough), length[long_enough])[~same], minlength=len(block))
+            ok &= long_enough & (wrong == 0)
+        fine.append(ok)
+    return [np.concatenate([np.zeros(0, np.int64), *x]) for x in flat], [np.concatenate([np.zeros(0, np.int64), *x]) for x in n], np.concatenate([np.zeros(0, bool), *fine])
+
+
+class Segments:
+    """A chunk's texts as sequences of its distinct segments, with both sides' ids of each segment."""
+
+    def __init__(self, texts: list[str | None], sides: tuple, of: tuple[Bytes, Bytes]):
+        slots: dict[str, int] = defaultdict()
+        slots.default_factory = slots.__len__
+        cut = segments if all(side.cut_at_spaces for side in sides) else lambda text: [text]
+        each = [np.fromiter(map(slots.__getitem__, cut(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        flat, n, ok = encoded(list(slots), sides, of)
+        broken = [i for i, own in enumerate(each) if not ok[own].all()]
+        if broken:  # a text that is not given back piece by piece is tried as a whole
+            more, more_n, whole_ok = encoded([texts[i] for i in broken], sides, of)
+            for k, i in enumerate(broken):
+                each[i] = np.array([len(slots) + k] if whole_ok[k] else [], np.int64)
+            flat, n = [np.concatenate(x) for x in zip(flat, more)], [np.concatenate(x) for x in zip(n, more_n)]
+        self.lengths = np.array([len(own) for own in each], np.int64)
+        used, place, often = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.places, used = rank[place], used[order]
+        self.ids = [x[gathered((np.cumsum(m) - m)[used], m[used])] for x, m in zip(flat, n)]
+        self.sizes = [m[used] for m in n]
 
 
 class Alignment:
@@ -133,13 +180,6 @@ class Alignment:
         text, pair, times = (np.concatenate(c) for c in zip(*found))
         return text, pair, times
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs, and how many texts hold each."""
-        text, pair, _ = self.links()
-        wide = int(pair.max(initial=0)) + 1
-        once = np.unique(text * wide + pair) % wide
-        return np.unique(once, return_counts=True)
-
     def written(self, names: tuple[list[str], list[str]]) -> list[str]:
         """Each text's groups as a1,a2|b1;a3|b2,b3. names: by id with a comma and with the closing sign, in turn."""
         last_a, last_b = (np.diff(g, append=-1) != 0 for g in (self.group_a, self.group_b))
@@ -243,19 +283,27 @@ def part_of_ids(ids: np.ndarray, parts: int) -> np.ndarray:
     return ids * 0x9E3779B1 % (1 << 32) % parts
 
 
-def ranked(ids: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """The distinct ids by frequency, and the ids as places among them, low and high bytes apart: such columns compress well."""
-    distinct, place, n = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    place = rank[place]
-    return {"ids": distinct[order]}, {"low": (place & 255).astype(np.uint8), "high": fitting(place >> 8)}
+def split_bytes(x: np.ndarray) -> dict[str, np.ndarray]:
+    """Low and high bytes apart, which compress better."""
+    return {"low": (x & 255).astype(np.uint8), "high": fitting(x >> 8)}
+
+
+def joined_bytes(columns: dict[str, pa.Array]) -> np.ndarray:
+    return columns["low"].to_numpy().astype(np.int64) | columns["high"].to_numpy().astype(np.int64) << 8
 
 
-def unranked(columns: dict[str, pa.Array]) -> np.ndarray:
-    place = columns["low"].to_numpy().astype(np.int64) | columns["high"].to_numpy().astype(np.int64) << 8
-    return columns["ids"].to_numpy()[place]
+def texts_with(pair: np.ndarray, segment: np.ndarray, places: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, and how many texts hold each. pair, segment: all links; places, lengths: the segments of the texts."""
+    distinct, index = np.unique(pair, return_inverse=True)
+    once = np.unique(segment * len(distinct) + index)
+    segment, index = once // max(len(distinct), 1), once % max(len(distinct), 1)
+    n = int(places.max(initial=-1)) + 1
+    held_by = np.unique(np.repeat(np.arange(len(lengths)), lengths) * n + places)
+    text, own = held_by // max(n, 1), held_by % max(n, 1)
+    start = np.searchsorted(segment, np.arange(n))
+    many = np.searchsorted(segment, np.arange(n), "right") - start
+    both = np.unique(np.repeat(text, many[own]) * len(distinct) + index[gathered(start[own], many[own])])
+    return distinct, np.bincount(both % max(len(distinct), 1), minlength=len(distinct))
 
 
 class Aligner:
@@ -277,9 +325,9 @@ class Aligner:
             sides, of = self.sides()
 
             def emit():
-                n = [np.array([len(x[s]) for x in ids], np.int64) for s in (0, 1)]
-                a, b = (np.concatenate([x[s] for x in ids]) for s in (0, 1))
-                pair, count = Alignment(a, b, *n, of).pairs()
+                found = Segments(texts, sides, of)
+                segment, pair, _ = Alignment(*found.ids, *found.sizes, of).links()
+                pair, count = texts_with(pair, segment, found.places, found.lengths)
                 part = part_of_ids(pair // len(of[1].size), parts)
                 order = np.argsort(part, kind="stable")
                 edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts))
@@ -288,27 +336,22 @@ class Aligner:
                     p = int(part[own[0]])
                     yield rows((p, number, p, WORDS, pack(step=fitting(np.diff(pair[own], prepend=0)), n=fitting(count[own]))))
                 columns = pa.Table.from_batches(keys).combine_chunks().to_batches()[0]
-                own = pack(**dict(zip(columns.schema.names, columns.columns)), __a=n[0], __b=n[1])
-                ids_of = [pack(**columns) for x in (a, b) for columns in ranked(x)]
-                yield rows((-1 - number, number, NO_PART, TEXTS, pack(d=pa.array([own, *ids_of], pa.binary()))))
+                own = pack(**dict(zip(columns.schema.names, columns.columns)), __n=found.lengths)
+                sizes = pack(a=fitting(found.sizes[0]), b=fitting(found.sizes[1]))
+                yield rows((-1 - number, number, NO_PART, TEXTS, pack(d=pa.array([own, sizes, *(pack(**split_bytes(x)) for x in (found.places, *found.ids))], pa.binary()))))
 
-            number, ids, keys, size = -1, [], [], 0
+            number, texts, keys, size = -1, [], [], 0
             for batch in batches:
                 if number < 0 and batch.num_rows:
                     number = batch["__part"][0].as_py() << 24
-                at = 0
-                while at < batch.num_rows:
-                    texts, length = [], 0
-                    while at + len(texts) < batch.num_rows and len(texts) < TOGETHER and length < chunk:
-                        texts.append(batch["t"][at + len(texts)].as_py())
-                        length += len(texts[-1] or "")
-                    if ids and size + length > chunk:
+                for i, text in enumerate(batch["t"].to_pylist()):
+                    if size and size + len(text or "") > chunk:
                         yield from emit()
-                        number, ids, keys, size = number + 1, [], [], 0
-                    ids += whole_ids(texts, sides, of)
-                    keys.append(batch.select(kept).slice(at, len(texts)))
-                    at, size = at + len(texts), size + length
-            if ids:
+                        number, texts, keys, size = number + 1, [], [], 0
+                    texts.append(text)
+                    keys.append(batch.select(kept).slice(i, 1))
+                    size += len(text or "") + 1
+            if texts:
                 yield from emit()
 
         return docs.mapInArrow(cut, ROW)
@@ -341,10 +384,10 @@ class Aligner:
                     head = [unpack(x.as_buffer()) for x in unpack(data.as_buffer())["d"]]
                 else:
                     answers[part] = unpack(data.as_buffer())
-            keys = head[0]
-            n_a, n_b = keys.pop("__a").to_numpy(), keys.pop("__b").to_numpy()
-            found = Alignment(unranked(head[1] | head[2]), unranked(head[3] | head[4]), n_a, n_b, of)
-            text, pair, times = found.links()
+            keys, places, lengths = head[0], joined_bytes(head[2]), head[0].pop("__n").to_numpy()
+            sizes = [head[1][c].to_numpy().astype(np.int64) for c in "ab"]
+            found = Alignment(joined_bytes(head[3]), joined_bytes(head[4]), *sizes, of)
+            segment, pair, times = found.links()
             distinct, place = np.unique(pair, return_inverse=True)
             part = part_of_ids(distinct // room, parts)
             n, best = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
@@ -352,14 +395,19 @@ class Aligner:
                 raise RuntimeError("not every part answered: a chunk's input changed between two runs of a task")
             for p, own in answers.items():
                 n[part == p], best[part == p] = own["n"].to_numpy(), own["best"].to_numpy(zero_copy_only=False)
-            edges = np.searchsorted(text, np.arange(len(n_a) + 1)) if len(text) and (np.diff(text) >= 0).all() else None
-            if edges is None:  # links of large groups come last
-                order = np.argsort(text, kind="stable")
-                text, place, times = text[order], place[order], times[order]
-                edges = np.searchsorted(text, np.arange(len(n_a) + 1))
-            sums = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[edges])
-            out = [n_a, n_b, found.n_groups, found.n_links, sums(times * best[place]), sums(times * n[place])]
-            return pa.table([*keys.values(), *map(pa.array, out), pa.array(found.written(names), pa.string())], names=[*keys, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+            of_segment = lambda v: np.bincount(segment, v, minlength=len(sizes[0])).astype(np.int64) if len(v) and v.sum() < 1 << 53 else exact(v)
+
+            def exact(v):
+                out = np.zeros(len(sizes[0]), np.int64)
+                np.add.at(out, segment, v)
+                return out
+
+            edges = np.concatenate([[0], np.cumsum(lengths)])
+            per_text = lambda v: np.diff(np.concatenate([[0], np.cumsum(v[places])])[edges])
+            out = [per_text(v) for v in (*sizes, found.n_groups, found.n_links, of_segment(times * best[place]), of_segment(times * n[place]))]
+            written, places = found.written(names), places.tolist()
+            groups = [";".join(map(written.__getitem__, places[a:b])) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            return pa.table([*keys.values(), *map(pa.array, out), pa.array(groups, pa.string())], names=[*keys, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
         return assemble
 
