@@ -6,9 +6,9 @@ one side in a group is linked with every token of the other. A pair of ids count
 First pass: tasks cut their rows into chunks. Where no token of either side can cross a single space between words (the
 vocabularies tell), texts are sequences of segments, and each distinct segment of a chunk is encoded and aligned once; a
 text with a segment that does not come back byte by byte is encoded as a whole. The sequences, the segments' ids and the
-chunk's distinct pairs with their counts, dealt by the first id, are written as a table. A part then has all pairs of its ids. It builds a minimal perfect hash of
-its distinct pairs, level by level: pairs alone in a cell of the level's bit array are placed, the others go on to the next
-array. Count vectors indexed by the hash are dense; blocks of chunks are summed into one each, and these by a tree. Every
+chunk's distinct pairs with their counts, dealt by the first id, are written as a table. A part then has all pairs of its
+ids. It builds a minimal perfect hash of its distinct pairs, level by level: pairs alone in a cell of the level's bit array
+are placed, the others go on to the next array. Count vectors indexed by the hash are dense; blocks of chunks are summed into one each, and these by a tree. Every
 index is verified against the key stored there. The part answers each chunk with the counts of its pairs, and marks those
 that no pair of the same first id exceeds. Second pass: the chunk's ids are aligned again, the counts looked up, and
 both summed and joined over each text's segments.
@@ -18,16 +18,18 @@ Repeated rows count as texts of their own; keys are only carried. A vocabulary i
 """
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .tables import held, partitions, small_batches, table
@@ -35,6 +37,7 @@ from .words import NO_PART, ROW, TEXTS, WORDS, gathered, met, pack, rows, unpack
 
 CHUNK = 4_000_000  # characters; a longer text is a chunk of its own
 TOGETHER = 8192  # texts given to a tokenizer at once
+REMEMBERED = 250_000  # segments whose ids a task keeps from chunk to chunk
 LARGE = 1 << 16  # links of one group; beyond, equal ids of the group are linked once, with their number
 BLOCK = 64  # rows summed into one dense vector
 VOCABULARIES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
@@ -48,7 +51,11 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level tokenizer from its JSON file; it gets the text behind a space."""
+    """A byte-level tokenizer from its JSON file; it gets the text behind a space.
+
+    ASCII texts go to a quicker encoder of the same ranks, if the file's merges come in the order of their ids. (Other
+    texts do not: which characters count as letters may differ between the two libraries.)
+    """
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -60,9 +67,19 @@ class ByteLevel:
         letters = byte_letters()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.tokens = [bytes(letters[c] for c in name) for name in names]
+        ids, model = self.tokenizer.get_vocab(with_added_tokens=False), json.loads(data)["model"]
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        self.quick = None
+        if self.cut_at_spaces and not model.get("ignore_merges") and [ids.get(m) for m in merges] == list(range(256, 256 + len(merges))):
+            ranks = {self.tokens[i]: i for i in range(256 + len(merges))}
+            self.quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out = [self.quick.encode_ordinary(" " + t) if t.isascii() else None for t in texts] if self.quick else [None] * len(texts)
+        left = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(left, self.tokenizer.encode_batch_fast([" " + texts[i] for i in left], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
 
 class Pieces:
@@ -123,20 +140,41 @@ def encoded(texts: list[str], sides: tuple, of: tuple[Bytes, Bytes]) -> tuple[li
     return [np.concatenate([np.zeros(0, np.int64), *x]) for x in flat], [np.concatenate([np.zeros(0, np.int64), *x]) for x in n], np.concatenate([np.zeros(0, bool), *fine])
 
 
+class Encoder:
+    """The segments a task has met, each encoded once; forgotten when they become many."""
+
+    def __init__(self, sides: tuple, of: tuple[Bytes, Bytes]):
+        self.sides, self.of = sides, of
+        self.cut = segments if all(side.cut_at_spaces for side in sides) else lambda text: [text]
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[str, int] = defaultdict()
+        self.slots.default_factory = self.slots.__len__
+        self.flat, self.n, self.ok = [np.zeros(0, np.int32)] * 2, [np.zeros(0, np.int32)] * 2, np.zeros(0, bool)
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Each text's segments by number, and of all numbers what ``encoded`` gives."""
+        if len(self.slots) > REMEMBERED:
+            self.forget()
+        each = [np.fromiter(map(self.slots.__getitem__, self.cut(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        flat, n, ok = encoded(list(islice(self.slots, len(self.ok), None)), self.sides, self.of)
+        self.flat, self.n = [np.concatenate([x, y.astype(np.int32)]) for x, y in zip(self.flat, flat)], [np.concatenate([x, y.astype(np.int32)]) for x, y in zip(self.n, n)]
+        self.ok = np.concatenate([self.ok, ok])
+        return each, self.flat, self.n, self.ok
+
+
 class Segments:
     """A chunk's texts as sequences of its distinct segments, with both sides' ids of each segment."""
 
-    def __init__(self, texts: list[str | None], sides: tuple, of: tuple[Bytes, Bytes]):
-        slots: dict[str, int] = defaultdict()
-        slots.default_factory = slots.__len__
-        cut = segments if all(side.cut_at_spaces for side in sides) else lambda text: [text]
-        each = [np.fromiter(map(slots.__getitem__, cut(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
-        flat, n, ok = encoded(list(slots), sides, of)
+    def __init__(self, texts: list[str | None], encoder: Encoder):
+        each, flat, n, ok = encoder(texts)
+        slots = len(ok)
         broken = [i for i, own in enumerate(each) if not ok[own].all()]
         if broken:  # a text that is not given back piece by piece is tried as a whole
-            more, more_n, whole_ok = encoded([texts[i] for i in broken], sides, of)
+            more, more_n, whole_ok = encoded([texts[i] for i in broken], encoder.sides, encoder.of)
             for k, i in enumerate(broken):
-                each[i] = np.array([len(slots) + k] if whole_ok[k] else [], np.int64)
+                each[i] = np.array([slots + k] if whole_ok[k] else [], np.int64)
             flat, n = [np.concatenate(x) for x in zip(flat, more)], [np.concatenate(x) for x in zip(n, more_n)]
         self.lengths = np.array([len(own) for own in each], np.int64)
         used, place, often = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
@@ -144,7 +182,8 @@ class Segments:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.places, used = rank[place], used[order]
-        self.ids = [x[gathered((np.cumsum(m) - m)[used], m[used])] for x, m in zip(flat, n)]
+        n = [m.astype(np.int64) for m in n]
+        self.ids = [x[gathered((np.cumsum(m) - m)[used], m[used])].astype(np.int64) for x, m in zip(flat, n)]
         self.sizes = [m[used] for m in n]
 
 
@@ -154,7 +193,7 @@ class Alignment:
     def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, of: tuple[Bytes, Bytes]):
         self.a, self.b, self.n_a, self.n_b, self.room = a, b, n_a, n_b, len(of[1].size)
         end_a, end_b = np.cumsum(of[0].size[a]), np.cumsum(of[1].size[b])
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        common = end_a[np.isin(end_a, end_b, assume_unique=True)] if len(end_a) else end_a
         self.group_a, self.group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         self.in_a, self.in_b = (np.bincount(g, minlength=len(common)) for g in (self.group_a, self.group_b))
         self.from_a, self.from_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
@@ -242,7 +281,7 @@ class PairCounts:
         """sent: per chunk its pairs and counts."""
         distinct = np.zeros(0, np.int64)
         for i in range(0, len(sent), BLOCK):
-            distinct = np.unique(np.concatenate([distinct, *(self.read(x)[0] for x in sent[i : i + BLOCK])]))
+            distinct = distinct_of(np.concatenate([distinct, *(self.read(x)[0] for x in sent[i : i + BLOCK])]))
         self.hash = PerfectHash(distinct)
         self.keys = np.empty(len(distinct), np.int64)
         self.keys[self.hash(distinct)] = distinct
@@ -292,17 +331,22 @@ def joined_bytes(columns: dict[str, pa.Array]) -> np.ndarray:
     return columns["low"].to_numpy().astype(np.int64) | columns["high"].to_numpy().astype(np.int64) << 8
 
 
+def distinct_of(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.diff(x, prepend=x[:1] - 1) != 0]
+
+
 def texts_with(pair: np.ndarray, segment: np.ndarray, places: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pairs, and how many texts hold each. pair, segment: all links; places, lengths: the segments of the texts."""
     distinct, index = np.unique(pair, return_inverse=True)
-    once = np.unique(segment * len(distinct) + index)
+    once = distinct_of(segment * len(distinct) + index)
     segment, index = once // max(len(distinct), 1), once % max(len(distinct), 1)
     n = int(places.max(initial=-1)) + 1
-    held_by = np.unique(np.repeat(np.arange(len(lengths)), lengths) * n + places)
+    held_by = distinct_of(np.repeat(np.arange(len(lengths)), lengths) * n + places)
     text, own = held_by // max(n, 1), held_by % max(n, 1)
     start = np.searchsorted(segment, np.arange(n))
     many = np.searchsorted(segment, np.arange(n), "right") - start
-    both = np.unique(np.repeat(text, many[own]) * len(distinct) + index[gathered(start[own], many[own])])
+    both = distinct_of(np.repeat(text, many[own]) * len(distinct) + index[gathered(start[own], many[own])])
     return distinct, np.bincount(both % max(len(distinct), 1), minlength=len(distinct))
 
 
@@ -323,9 +367,10 @@ class Aligner:
 
         def cut(batches):
             sides, of = self.sides()
+            encoder = Encoder(sides, of)
 
             def emit():
-                found = Segments(texts, sides, of)
+                found = Segments(texts, encoder)
                 segment, pair, _ = Alignment(*found.ids, *found.sizes, of).links()
                 pair, count = texts_with(pair, segment, found.places, found.lengths)
                 part = part_of_ids(pair // len(of[1].size), parts)
@@ -374,8 +419,9 @@ class Aligner:
         return met(first.where(F.col("kind") == WORDS)).mapInArrow(count, schema)
 
     def second_pass(self, parts: int):
+        _, of = self.sides()
+
         def assemble(group: pa.Table) -> pa.Table:
-            _, of = self.sides()
             room = len(of[1].size)
             names = tuple([f"{i}{sign}" for i in range(len(b.size)) for sign in (",", close)] for b, close in zip(of, "|;"))
             head, answers = None, {}
@@ -391,7 +437,7 @@ class Aligner:
             distinct, place = np.unique(pair, return_inverse=True)
             part = part_of_ids(distinct // room, parts)
             n, best = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
-            if set(np.unique(part).tolist()) != set(answers):
+            if set(np.flatnonzero(np.bincount(part)).tolist()) != set(answers):
                 raise RuntimeError("not every part answered: a chunk's input changed between two runs of a task")
             for p, own in answers.items():
                 n[part == p], best[part == p] = own["n"].to_numpy(), own["best"].to_numpy(zero_copy_only=False)

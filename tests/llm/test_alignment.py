@@ -112,3 +112,14 @@ def test_unknown_pairs_are_noticed():
 def test_tree_sum():
     for n in range(1, 20):
         assert alignment.tree_sum(iter([np.array([i, 1]) for i in range(n)])).tolist() == [n * (n - 1) // 2, n]
+
+
+def test_quick_encoder():
+    """It takes part, and agrees on every entry of the vocabulary and on ASCII texts of all kinds."""
+    with open(PATHS[0], "rb") as f:
+        side = alignment.ByteLevel(f.read())
+    assert side.quick
+    draw = np.random.default_rng(3)
+    texts = [t.decode() for t in side.tokens if t.isascii()] + ["".join(map(chr, draw.integers(0, 128, 30))) for _ in range(3000)]
+    want = [e.ids for e in side.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert side.encode(texts) == want
