@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import apply_status, exclude_recent, replace_rows, upsert
-from ..plans.alerts import ALERT_KEY, alert_rows, shelf_alerts, split_alert_feed, wh_alerts
+from ..plans.alerts import ALERT_KEY, alert_rows, keep_open_plans, shelf_alerts, split_alert_feed, wh_alerts
 from ..plans.inventory import SHELF_SIGN, WH_SIGN, add_deltas, lots_after_sales, lots_after_wh_events, shelf_deltas, signed, wh_deltas
 from ..plans.planning import issue_restock, refill_queue, shelf_events_of
 from ..plans.routing import route
 from ..plans.sales import cart_moves, checkout_time, held
 from ..schemas import ALERTS, RESTOCK_PLAN, SHELF_STATE, WH_STATE, columns
 from ..sources.sinks import append_batch
-from .runner import append_stream, changelog_sink, keyed, run_stream, same_keys, stateful, stateless
+from .runner import append_stream, changelog_sink, changelog_table, keyed, run_stream, same_keys, stateful, stateless
 
 
 def running_deltas(events: DataFrame, qty: str, signs: dict[str, int]) -> DataFrame:
@@ -255,6 +255,35 @@ def deduplicated(source: DataFrame, id_col: str, ts_col: str, span: str) -> Data
     return source.withWatermark(ts_col, span).dropDuplicatesWithinWatermark([id_col])
 
 
+def open_plans_job(out: str, plans_of: Callable[[DataFrame, Column], DataFrame], ts_col: str = "last_update_ts"):
+    """Fresh plans for the shelves of a batch, as a change log: the newest one per shelf counts (``open_plans``).
+
+    The levels go to a log of their own first, and the plans are made from what that log holds of the batch. The rows are
+    those of ``newest_levels``, so a shelf is there once, with its newest level. The time of the plans is that of the
+    batch's latest level. A batch that is run again replaces its own plans.
+    """
+
+    def job(rows: DataFrame, batch_id: int) -> None:
+        append_batch(rows, f"{out}/levels", batch_id, "levels")
+        written = rows.sparkSession.read.schema(T.StructType([*rows.schema, T.StructField("batch_id", T.LongType())])).parquet(f"{out}/levels")
+        levels = written.where(F.col("batch_id") == batch_id).drop("batch_id")
+        append_batch(plans_of(levels, levels.agg(F.max(ts_col)).scalar()), f"{out}/plans", batch_id, "open_plans")
+
+    return job
+
+
+def newest_levels(levels: DataFrame, ts_col: str = "last_update_ts") -> DataFrame:
+    """Newest row per shelf as a streaming aggregate (update mode emits the shelves that changed)."""
+    rest = [c for c in levels.columns if c not in ("shelf_id", ts_col)]
+    newest = levels.groupBy("shelf_id").agg(F.max(F.struct(ts_col, *rest)).alias("_row"))
+    return newest.select("shelf_id", *[F.col("_row")[c].alias(c) for c in (*rest, ts_col)])
+
+
+def open_plans(plans: DataFrame, log: DataFrame) -> DataFrame:
+    """The plan table after the stream: at most one new plan per shelf, in place of a pending one, never of one issued."""
+    return keep_open_plans(plans, changelog_table(log, ["shelf_id"]))
+
+
 def router_job(out: str, mapping: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """Rows of named streams, written per topic."""
 

@@ -72,6 +72,23 @@ SELECT 'P' || CAST(p_partkey AS STRING) AS plan_id, 'S' || CAST(p_partkey % 1000
        CASE WHEN p_partkey % 5 = 0 THEN 'issued' ELSE 'pending' END AS status,
        TIMESTAMP '1998-06-01 11:58:00' + INTERVAL '1' SECOND * CAST(p_partkey % 120 AS INT) AS created_at
 FROM part""",
+    # Exits with one row per id (the test tables hold some order lines twice).
+    "wh_exits": """
+SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS event_id, 'wh_out' AS event_type,
+       'S' || CAST(l_partkey AS STRING) AS shelf_id, 'B' || CAST(MAX(l_suppkey) AS STRING) AS batch_code, CAST(MAX(l_quantity) AS INT) AS qty,
+       MAX(CAST(l_shipdate AS TIMESTAMP)) AS ts
+FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey""",
+    # The same shelves seen three times, an hour apart, with other stocks.
+    "shelf_waves": "\nUNION ALL".join(f"""
+SELECT 'S' || CAST(p_partkey AS STRING) AS shelf_id, CAST(p_size * 2 * ((p_partkey + {3 * wave}) % 10) AS INT) AS current_stock, {wave} AS wave,
+       TIMESTAMP '1998-06-01 {9 + wave:02}:00:00' AS last_update_ts
+FROM part""" for wave in range(3)),
+    # Alerts raised, raised again after 30 minutes, and after 50 or 61.
+    "alert_waves": "\nUNION ALL".join(f"""
+SELECT CASE event_type WHEN 'error' THEN 'refill_request' WHEN 'view' THEN 'near_expiry' ELSE 'supplier_request' END AS event_type,
+       'S' || CAST(user_id AS STRING) AS shelf_id, CASE user_id % 2 WHEN 0 THEN 'store' ELSE 'warehouse' END AS location, {wave} AS wave,
+       TIMESTAMP '1998-06-01 12:00:00' + INTERVAL '1' MINUTE * CAST({minutes} AS INT) AS created_at
+FROM events""" for wave, minutes in enumerate(("0", "30", "CASE WHEN user_id % 3 = 0 THEN 50 ELSE 61 END"))),
     # Shelves of two item types have their own policy, with an older and a newer revision; one row is global.
     "shelf_policies": """
 SELECT 'S' || CAST(p_partkey AS STRING) AS shelf_id, CAST(20 + p_size % 20 AS DOUBLE) AS threshold_pct,
