@@ -9,7 +9,8 @@ One tree over a whole corpus prunes nothing (its boxes overlap in so many dimens
 groups: two sets that are similar enough share a shingle among the first quarter of each in one fixed order (rare
 ones first), and each such shingle has a tree over the classes that hold it.
 
-1. Classes, sizes and points of all texts; the most frequent shingles of the corpus (a bounded table) come last in the order.
+1. Classes, sizes and points of all texts, and the counts of all shingles in a sketch of fixed size, which makes the order: a
+   shingle in a fuller cell comes later, whatever the size of the corpus. Any fixed order gives the same links.
 2. Shingles that stand in the first quarter of more than one text, and the classes there.
 3. Every class of such a group is compared with one of its members (another one for each shingle): close groups, like
    thousands of near copies, become one component without comparing all their pairs.
@@ -33,8 +34,8 @@ from .tables import held, partitions, small_batches, table
 
 SIZE = 5
 GROUPS = 128
-FREQUENT = 1 << 17  # at most so many shingles are known to be frequent
-FREQUENT_IN_BATCH = 3
+CELL_BITS = 22  # of a shingle's hash: the cell in which it is counted
+BLOCK = 1 << 16  # cells that are summed together
 TILE = 1024
 LEAF = 32
 FILTER_BITS = 26
@@ -90,22 +91,46 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(id, n, cls, point) per row of (id, t), and for the first row of a batch the shingles frequent in it. cls is null without words."""
+    """(id, th, n, cls, point) per row of (id, t, th); cls is null without words. Then, per task, its counts of shingles by
+    cell: rows with block and cells."""
+
+    def rows_of(batch, sets):
+        n, empty = pa.array([len(s) for s in sets], pa.int64()), [None] * len(sets)
+        return pa.RecordBatch.from_arrays([
+            batch["id"], batch["th"], n, pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+            pa.array([point(s) if len(s) else None for s in sets], pa.binary()), pa.array(empty, pa.int32()), pa.array(empty, pa.binary())], names=names)
+
+    names = ["id", "th", "n", "cls", "point", "block", "cells"]
+    kind = docs.schema["id"].dataType.simpleString()
 
     def sign(batches):
-        shingler = Shingler()
+        shingler, cells, id_type = Shingler(), np.zeros(1 << CELL_BITS, np.int64), None
         for batch in batches:
+            id_type = batch.schema.field("id").type
             sets = [shingler(t) for t in batch["t"].to_pylist()]
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= FREQUENT_IN_BATCH
-            frequent = list(zip(signed(values[often]).tolist(), counts[often].tolist()))
-            yield pa.RecordBatch.from_arrays([
-                batch["id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([point(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array([[{"s": s, "n": n} for s, n in frequent]] + [None] * (len(sets) - 1), pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64())])))],
-                names=["id", "n", "cls", "point", "frequent"])
+            cells += np.bincount((np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
+            yield rows_of(batch, sets)
+        for block in range(0, len(cells) if id_type is not None else 0, BLOCK):
+            own = cells[block : block + BLOCK]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(1, id_type), *(pa.nulls(1, pa.int64()) for _ in range(3)), pa.nulls(1, pa.binary()), pa.array([block // BLOCK], pa.int32()),
+                    pa.array([pa.compress(own.astype("<i8").tobytes(), "zstd", asbytes=True)], pa.binary())], names=names)
+
+    return docs.mapInArrow(sign, f"id {kind}, th bigint, n bigint, cls bigint, point binary, block int, cells binary")
+
 
-    return docs.mapInArrow(sign, f"id {docs.schema['id'].dataType.simpleString()}, n bigint, cls bigint, point binary, frequent array<struct<s: bigint, n: bigint>>")
+def frequency_levels(blocks: DataFrame) -> np.ndarray:
+    """By cell how full it is, on a scale of eighths of a doubling; one byte per cell, however large the corpus is."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(pa.decompress(x.as_buffer(), BLOCK * 8, "zstd"), "<i8") for x in group["cells"])
+        return pa.table({"block": group["block"].slice(0, 1), "cells": pa.array([np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8).tobytes()], pa.binary())})
+
+    level = np.zeros(1 << CELL_BITS, np.uint8)
+    for r in blocks.select("block", "cells").groupBy("block").applyInArrow(add, "block int, cells binary").collect():
+        level[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.cells, np.uint8)
+    return level
 
 
 def in_filter(words: np.ndarray | None, values: np.ndarray) -> np.ndarray:
@@ -126,7 +151,7 @@ def hash_filter(values: DataFrame, name: str) -> np.ndarray:
     return words
 
 
-def first_quarters(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, wanted: np.ndarray | None = None) -> DataFrame:
+def first_quarters(docs: DataFrame, level: np.ndarray, wanted: np.ndarray | None = None) -> DataFrame:
     """(s, cls): the shingles among which a similar set must have one of its own first ones; once per class and batch."""
 
     def emit(batches) -> Iterator[pa.RecordBatch]:
@@ -139,11 +164,7 @@ def first_quarters(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, want
                 if not n or (c := class_of(s)) in seen:
                     continue
                 seen.add(c)
-                order = np.zeros(n, np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    order = np.where(frequent[at] == s, rank[at], 0)
-                    s = s[np.argsort(order, kind="stable")]
+                s = s[np.argsort(level[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)], kind="stable")]
                 s = s[: n - (3 * n + 3) // 4 + 1]
                 s = s[in_filter(wanted, s)]
                 keys.append(signed(s))
@@ -154,25 +175,28 @@ def first_quarters(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, want
     return docs.mapInArrow(emit, "s bigint, cls bigint")
 
 
-def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(cls, shingles) of the classes in the pairs (a, b), one row per class."""
-    classes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = hash_filter(classes, "cls")
+def shingle_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, shingles) of the classes in the pairs (a, b), one row per class. Only texts with the hash of a wanted class are shingled."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    texts = hash_filter(classes.join(wanted, "cls", "left_semi").select("th"), "th")
 
     def emit(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            classes, sets = [], []
-            for text in batch["t"].to_pylist():
+            found, sets = [], []
+            at = np.flatnonzero(in_filter(texts, batch["th"].to_numpy()))
+            for th, text in zip(batch["th"].take(pa.array(at)).to_pylist(), batch["t"].take(pa.array(at)).to_pylist()):
+                if th in seen:
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(th)
                 s = shingler(text)
-                if len(s) and (c := class_of(s)) not in seen and in_filter(wanted, np.array([c], np.int64))[0]:
-                    if len(seen) < 1_000_000:
-                        seen.add(c)
-                    classes.append(c)
+                if len(s):
+                    found.append(class_of(s))
                     sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
 
-    found = docs.mapInArrow(emit, "cls bigint, shingles binary").join(classes, "cls", "left_semi")
+    found = docs.mapInArrow(emit, "cls bigint, shingles binary").join(wanted, "cls", "left_semi")
     return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
@@ -320,29 +344,27 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     A null text counts as empty. A null key is never a component's name unless all keys of the component are null.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("th"))
     signed_rows = held(signatures(rows), "signatures")
-    frequent = signed_rows.select(F.explode("frequent").alias("f")).groupBy("f.s").agg(F.sum("f.n").alias("n")).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
-    values = frequent["s"].to_numpy().astype(np.int64).view(np.uint64)
-    by_value = np.argsort(values)
-    rank = (len(values) - np.arange(len(values)))[by_value]  # the most frequent has the highest rank and comes last
-    values = values[by_value]
-    classes = held(signed_rows.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point")), "classes")
-
-    shared = held(first_quarters(rows, values, rank).groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s"), "shared")
-    groups = first_quarters(rows, values, rank, hash_filter(shared, "s")).join(shared, "s", "left_semi")
+    level = frequency_levels(signed_rows.where("block is not null"))
+    signed_rows = signed_rows.where("block is null")
+    classes = signed_rows.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"), F.min("th").alias("th"))
+    classes = held(classes, "classes")
+
+    shared = held(first_quarters(rows, level).groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s"), "shared")
+    groups = first_quarters(rows, level, hash_filter(shared, "s")).join(shared, "s", "left_semi")
     groups = held(groups.distinct(), "groups")
 
     # One member per shingle, another one for each: the smallest under a mask made of the shingle.
     lead = groups.groupBy("s").agg(F.min(F.expr("cls ^ s")).alias("m")).select("s", F.expr("m ^ s").alias("b0"))
     stars = groups.join(lead, "s").where("cls <> b0").select(F.least("cls", "b0").alias("a"), F.greatest("cls", "b0").alias("b")).distinct()
     stars = held(bounded(stars, classes), "stars")
-    links = held(verified(stars, held(shingle_sets(rows, stars), "sets")), "links")
+    links = held(verified(stars, held(shingle_sets(rows, stars, classes), "sets")), "links")
     comps = components(links)
     grouped = groups.join(comps.withColumnRenamed("id", "cls"), "cls", "left").select("s", "cls", F.coalesce("component", "cls").alias("comp"))
     rest = held(left_over(grouped, classes), "rest")
     if not rest.isEmpty():
-        more = verified(rest, held(shingle_sets(rows, rest), "sets"))
+        more = verified(rest, held(shingle_sets(rows, rest, classes), "sets"))
         comps = components(links.union(held(more, "links")))
 
     named = classes.select("cls", "id").join(comps.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
