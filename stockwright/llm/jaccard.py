@@ -12,8 +12,8 @@ ones first), and each such shingle has a tree over the classes that hold it.
 1. Classes, sizes and points of all texts, and the counts of all shingles in a sketch of fixed size, which makes the order: a
    shingle in a fuller cell comes later, whatever the size of the corpus. Any fixed order gives the same links.
 2. Shingles that stand in the first quarter of more than one text, and the classes there.
-3. Every class of such a group is compared with one of its members (another one for each shingle): close groups, like
-   thousands of near copies, become one component without comparing all their pairs.
+3. Every class of such a group is compared with one of its members: close groups, like thousands of near copies, become one
+   component without comparing all their pairs.
 4. What is left are pairs of different components in one group: trees rule out most, the rest are verified. Groups of more than
    ``TILE`` classes are split into tiles, and pairs of tiles are tasks of their own.
 
@@ -38,6 +38,7 @@ CELL_BITS = 22  # of a shingle's hash: the cell in which it is counted
 BLOCK = 1 << 16  # cells that are summed together
 TILE = 1024
 LEAF = 32
+LEADS = 4  # members that a group of classes is compared with, if its shingles are shared by all
 FILTER_BITS = 26
 FINE_BITS = 11
 FINE = 1 << FINE_BITS
@@ -355,8 +356,10 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     groups = first_quarters(rows, level, hash_filter(shared, "s")).join(shared, "s", "left_semi")
     groups = held(groups.distinct(), "groups")
 
-    # One member per shingle, another one for each: the smallest under a mask made of the shingle.
-    lead = groups.groupBy("s").agg(F.min(F.expr("cls ^ s")).alias("m")).select("s", F.expr("m ^ s").alias("b0"))
+    # One member per shingle: the smallest under one of LEADS masks, chosen by the shingle, so that groups of much the same
+    # classes share their members and a class has few of them.
+    mask = F.xxhash64(F.pmod("s", F.lit(LEADS)))
+    lead = groups.withColumn("mask", mask).groupBy("s", "mask").agg(F.min(F.expr("cls ^ mask")).alias("m")).select("s", F.expr("m ^ mask").alias("b0"))
     stars = groups.join(lead, "s").where("cls <> b0").select(F.least("cls", "b0").alias("a"), F.greatest("cls", "b0").alias("b")).distinct()
     stars = held(bounded(stars, classes), "stars")
     links = held(verified(stars, held(shingle_sets(rows, stars, classes), "sets")), "links")
