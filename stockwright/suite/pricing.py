@@ -63,10 +63,21 @@ def q_week(i: Inputs):
     return D.discount_in_week(weeks, today()).select("shelf_id", r6("discount"))
 
 
+def checkouts_of_orders(i: Inputs):
+    return i.sql("SELECT o_orderkey AS cart_id, 'C' || CAST(o_custkey AS STRING) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS checkout_ts FROM orders")
+
+
+def q_whole(i: Inputs):
+    """Each receipt as one message with all its lines."""
+    total = F.aggregate("items", F.lit(0).cast("decimal(18,2)"), lambda a, x: (a + x["total_price"].cast("decimal(18,2)")).cast("decimal(18,2)"))
+    return S.receipts(priced(i), checkouts_of_orders(i)).select(
+        "transaction_id", "customer_id", "timestamp", "part", F.size("items").alias("n_lines"),
+        F.get("items", F.lit(0))["item_id"].alias("first_item"), F.round(total.cast("double"), 2).alias("total"))
+
+
 def q_messages(i: Inputs):
     """Receipts as messages of at most three lines, summed up again per message."""
-    carts = i.sql("SELECT o_orderkey AS cart_id, 'C' || CAST(o_custkey AS STRING) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS checkout_ts FROM orders")
-    m = S.receipts(priced(i), carts, per_message=3)
+    m = S.receipts(priced(i), checkouts_of_orders(i), per_message=3)
     units = F.aggregate("items", F.lit(0), lambda a, x: a + x["quantity"])
     return m.groupBy("transaction_id", "customer_id", "timestamp").agg(
         F.count(F.lit(1)).alias("messages"), F.sum(F.size("items")).alias("n_lines"), F.sum(units).alias("units"), F.max(F.size("items")).alias("longest"))
@@ -74,6 +85,8 @@ def q_messages(i: Inputs):
 
 QUERIES = {
     "receipt_messages": q_messages,
+    "receipt_whole": q_whole,
+    "receipt_rows": lambda i: S.receipt_rows(priced(i), checkouts_of_orders(i)).drop("cart_id"),
     "discount_in_week": q_week,
     "daily_discount": q_daily,
     "daily_discount_table": q_daily_table,
@@ -130,7 +143,20 @@ _visited = f"""SELECT v.visit_id, v.checkout_ts, e.* FROM steps e ASOF JOIN
    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, entry_time ORDER BY visit_id DESC) AS rn FROM shop_visits) WHERE rn = 1) v
   ON e.customer_id = v.customer_id AND e.ts >= v.entry_time WHERE e.ts <= v.checkout_ts"""
 
+_numbered = """SELECT *, ROW_NUMBER() OVER (PARTITION BY cart_id ORDER BY item_id, COALESCE(batch_code, ''), COALESCE(CAST(expiry_date AS VARCHAR), ''), quantity) AS line_no
+  FROM priced"""
+_receipt_id = uuid_sql("'receipt:' || CAST(cart_id AS STRING)")
+
 ORACLES = {
+    "receipt_whole": oracle(
+        f"""SELECT {_receipt_id} AS transaction_id, 'C' || CAST(o_custkey AS STRING) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS "timestamp",
+            0 AS part, CAST(n AS INT) AS n_lines, first_item, total FROM
+            (SELECT cart_id, COUNT(*) AS n, MIN(item_id) AS first_item, ROUND(CAST(SUM(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE), 2) AS total FROM priced GROUP BY cart_id)
+            JOIN orders ON cart_id = o_orderkey""", *PRICE_FIX, **PRICE_PARTS),
+    "receipt_rows": oracle(
+        f"""SELECT {_receipt_id} AS transaction_id, 'C' || CAST(o_custkey AS STRING) AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS "timestamp",
+            line_no, item_id, batch_code, quantity, unit_price, discount, total_price, expiry_date FROM numbered JOIN orders ON cart_id = o_orderkey""",
+        *PRICE_FIX, **PRICE_PARTS, numbered=_numbered),
     "receipt_messages": oracle(
         f"""SELECT {uuid_sql("'receipt:' || CAST(cart_id AS STRING)")} AS transaction_id, 'C' || CAST(o_custkey AS STRING) AS customer_id,
             CAST(o_orderdate AS TIMESTAMP) AS "timestamp", (n + 2) // 3 AS messages, n AS n_lines, units, CAST(LEAST(n, 3) AS INT) AS longest

@@ -187,3 +187,16 @@ def test_long_receipts_are_split(spark):
     carts = frame(spark, "cart_id string, customer_id string, checkout_ts timestamp", ("a", "c1", "1998-06-01 12:00:00"), ("b", "c2", "1998-06-01 12:00:00"))
     got = sorted((r["customer_id"], r["part"], [i["item_id"] for i in r["items"]]) for r in sales.receipts(lines, carts, 2).collect())
     assert got == [("c1", 0, ["i0", "i1"]), ("c1", 1, ["i2", "i3"]), ("c1", 2, ["i4"]), ("c2", 0, ["x"])]
+
+
+def test_receipts_are_whole(spark):
+    lines = spark.range(1200).selectExpr("'a' AS cart_id", "concat('i', id) AS item_id", "CAST(NULL AS string) AS batch_code", "1 AS quantity", "1.0D AS unit_price",
+                                         "0.0D AS discount", "1.0D AS total_price", "CAST(NULL AS date) AS expiry_date")
+    carts = frame(spark, "cart_id string, customer_id string, checkout_ts timestamp", ("a", "c1", "1998-06-01 12:00:00"))
+    one = sales.receipts(lines, carts).collect()
+    assert len(one) == 1 and len(one[0]["items"]) == 1200
+    flat = sorted(r["line_no"] for r in sales.receipt_rows(lines, carts).collect())
+    assert flat == list(range(1, 1201))
+    parts = sales.receipts(lines, carts, 500).collect()
+    assert sorted(len(r["items"]) for r in parts) == [200, 500, 500] and len({r["message_id"] for r in parts}) == 3
+    assert {r["transaction_id"] for r in parts} == {one[0]["transaction_id"]} and one[0]["message_id"] in {r["message_id"] for r in parts}

@@ -137,3 +137,28 @@ def test_export(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     sinks.export(df, f"{tmp_path}/c", "csv")
     assert rows(spark.read.option("header", True).csv(f"{tmp_path}/c")) == [("1", "x")]
+
+
+def test_scan_is_pruned_when_it_runs(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "concat('d', id % 10) AS day").write.partitionBy("day").parquet(str(tmp_path / "t"))
+    spark.createDataFrame([("d3", 1), ("d4", 2), ("d4", 1)], "day string, kind int").write.parquet(str(tmp_path / "dim"))
+    wanted = spark.read.parquet(str(tmp_path / "dim")).where("kind = 1")
+    got = files.in_partitions(spark.read.parquet(str(tmp_path / "t")), wanted, "day")
+    assert {r["day"] for r in got.collect()} == {"d3", "d4"} and got.count() == 200
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bad_lines_are_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,n\nx,1\n,2\ny,many\nz,\nw,3,4\n")
+    good, bad = files.read_checked(spark, str(tmp_path), schemas.columns("k string, n int"), ["k"])
+    assert rows(good) == [("x", 1), ("z", None)]
+    assert sorted(map(str, rows(bad, "reason", "line"))) == sorted(map(str, [("missing", ",2"), ("unreadable", "y,many"), ("unreadable", "w,3,4")]))
+
+
+def test_defaults_of_later_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1)], "k string, gone int").write.parquet(path)
+    spark.createDataFrame([("b", 2), ("c", None)], "k string, n int").write.mode("append").parquet(path)
+    schema = schemas.columns("k string, n int, later date")
+    assert rows(files.read_evolved(spark, path, schema, {"n": 7})) == [("a", 7, None), ("b", 2, None), ("c", 7, None)]
+    assert files.read_evolved(spark, path, schema).schema.names == ["k", "n", "later"]
