@@ -21,9 +21,9 @@ from .tables import fold, small_batches, table
 DIMENSIONS = 1024
 SEED = 20_240_601
 SCALE = 1_000_000  # unit vectors are summed as whole numbers, so that the sum does not depend on its order
-PIECE = 200_000  # characters bundled at once
+PIECE = 200_000  # characters bundled at once; what a text's bundle is does not depend on it
 UNKNOWN = "und"
-RIGHT = 0.995  # share of held-out documents at or above the threshold whose language is right
+COST = 0.25  # of losing a document whose language is right, where one whose language is wrong is worth 1
 STEPS = 1000  # thresholds tried between 0 and 1
 
 
@@ -51,21 +51,28 @@ class Bundler:
             self.letters[code] = bits * 2 - 1
         return self.letters[code]
 
-    def codes(self, text: str) -> np.ndarray:
-        """Lower-case letters; every run of other characters, the start and the end is one 0."""
-        raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        raw = np.concatenate([[0], np.where(self.is_letter[raw], raw, 0), [0]]).astype(np.int64)
-        keep = np.ones(len(raw), bool)
-        keep[1:] = (raw[1:] != 0) | (raw[:-1] != 0)
-        return raw[keep]
+    def pieces(self, text: str) -> Iterator[np.ndarray]:
+        """Lower-case letters; every run of other characters, the start and the end is one 0.
+
+        Each piece begins with the last two codes of the one before, so that every trigram lies in exactly one.
+        """
+        lower, last = text.lower(), np.zeros(1, np.int64)
+        for at in range(0, len(lower), PIECE):
+            raw = np.frombuffer(lower[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+            end = [0] if at + PIECE >= len(lower) else []
+            raw = np.concatenate([last, np.where(self.is_letter[raw], raw, 0), end]).astype(np.int64)
+            keep = np.ones(len(raw), bool)
+            keep[1:] = (raw[1:] != 0) | (raw[:-1] != 0)
+            found = raw[keep]
+            last = found[-2:]
+            yield found
 
     def bundle(self, texts: list[str]) -> np.ndarray:
         """One row per text; a row of zeros for a text without letters."""
         out = np.zeros((len(texts), self.dimensions), np.float64)
         rows, parts, size = [], [], 0
         for row, text in enumerate(texts):
-            for at in range(0, len(text), PIECE):
-                part = self.codes(text[at : at + PIECE])
+            for part in self.pieces(text):
                 if len(part) > 2:
                     rows.append(row)
                     parts.append(part)
@@ -168,22 +175,21 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict(docs, learned, keep=("held_out",))
 
 
-def threshold(scored: DataFrame, lang: str = "lang", right: float = RIGHT) -> float:
-    """The least score from which on the share ``right`` of the labelled rows is recognised as labelled.
+def threshold(scored: DataFrame, lang: str = "lang", cost: float = COST) -> float:
+    """The score below which labelled rows are wrong so often that they are better lost.
 
-    0 without labelled rows. Where no score reaches that share, the least of those that come nearest.
+    A row below it whose language is not as labelled counts 1, one that is right counts -cost; the threshold is the one
+    with the largest sum, the least of those with equal sums, 0 where none is above 0 (without labelled rows, say). With a
+    cost of 0.25 the rows lost that are right are at most four times those that are wrong.
     """
     hit = F.col("lang_pred") == F.col(lang).cast("string")
     rows = scored.where((F.col("lang_pred") != UNKNOWN) & F.col(lang).isNotNull()).groupBy(F.floor(F.col("score") * STEPS).alias("at"))
-    n = hits = 0
-    shares = []
-    for r in sorted(rows.agg(F.count("*").alias("n"), F.count_if(hit).alias("hits")).collect(), reverse=True):
-        n, hits = n + r.n, hits + r.hits
-        shares.append((min(hits / n, right), -r["at"]))
-    if not shares or shares[-1][0] >= right:
-        return 0.0
-    best = max(share for share, _ in shares)
-    return min(-at for share, at in shares if share == best) / STEPS
+    gain = best = least = 0.0
+    for r in sorted(rows.agg(F.count("*").alias("n"), F.count_if(hit).alias("hits")).collect()):
+        gain += r.n - r.hits - cost * r.hits
+        if gain > best:
+            best, least = gain, (r["at"] + 1) / STEPS
+    return least
 
 
 def identify_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -51,7 +51,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns; repeated lines are taken out of the text, and n_removed tells how many.
 
-    A null text stays null. A text whose lines all go becomes empty.
+    A null text stays null. A text whose lines all go becomes empty. A column n_removed of the rows gives way to the result.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     k, t = (names[docs.columns.index(c)] for c in (key, text))
@@ -62,7 +62,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     lines = F.col("lines")  # a column: inside the lambda the text would be split again for each line
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: F.get(lines, i))
     new = F.when(F.col("removed").isNull(), F.col(t)).otherwise(F.array_join(left, "\n"))
-    outs = [(new if n == t else F.col(n)).alias(c) for n, c in zip(names, docs.columns)]
+    outs = [(new if n == t else F.col(n)).alias(c) for n, c in zip(names, docs.columns) if c.lower() != "n_removed"]
     return joined.select(*outs, F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"))
 
 
@@ -78,10 +78,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
     n_chars, where there is one, is counted anew for changed texts.
     """
-    out = without_repeats(docs).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    text = at["text"]
+    out = without_repeats(docs.toDF(*names), at["doc_id"], text).where((F.col("n_removed") == 0) | (F.trim(text) != ""))
+    if "n_chars" in at:
+        out = out.withColumn(at["n_chars"], F.when(F.col("n_removed") > 0, F.char_length(text).cast("bigint")).otherwise(F.col(at["n_chars"])))
+    return out.select(*names).toDF(*docs.columns)
 
 
 OP4_SQL = """

@@ -99,12 +99,16 @@ def targets(counts: dict[str, int], alpha: float = ALPHA) -> dict[str, float]:
     return {s: float(n) ** alpha for s, n in counts.items()}
 
 
+RESULTS = ("mix_source", "mix_block", "mix_slot", "mix_row")
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_id", source: str = "source",
         block_rows: int = BLOCK_ROWS, seed: int = SEED, max_sources: int = 10_000) -> DataFrame:
     """All rows and columns with mix_source, mix_block (number in its source), mix_slot and mix_row (place in its block).
 
     A null source counts as the empty one. Without weights each source weighs its row count to the power ALPHA. Sources
-    without a weight are an error. Repeated rows are dealt like others, in any order among each other.
+    without a weight are an error. Repeated rows are dealt like others, in any order among each other. A column of the rows
+    that has the name of a result gives way to it.
     """
     spark = docs.sparkSession
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -129,7 +133,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, key: str = "do
     placed = rows.withColumn("inside", inside).join(starts, ["mix_source", "bucket"]).withColumn("place", F.col("start") + F.col("inside"))
     placed = placed.withColumn("mix_block", F.expr(f"place div {block_rows}"))
     return placed.join(plan, ["mix_source", "mix_block"]).select(
-        *[F.col(n).alias(c) for n, c in zip(names, docs.columns)], "mix_source", "mix_block", "mix_slot",
+        *[F.col(n).alias(c) for n, c in zip(names, docs.columns) if c.lower() not in RESULTS], "mix_source", "mix_block", "mix_slot",
         (F.col("place") % block_rows).cast("int").alias("mix_row"))
 
 
@@ -153,4 +157,7 @@ def positioned(docs: DataFrame, name: str = "position") -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents in the order of the schedule: the files, one after the other, hold the slots in order."""
     order = ("mix_slot", "mix_row")
-    return mix(docs).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select(*docs.columns)
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    key, source = (names[docs.columns.index(c)] for c in ("doc_id", "source"))
+    mixed = mix(docs.toDF(*names), key=key, source=source)
+    return mixed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select(*names).toDF(*docs.columns)

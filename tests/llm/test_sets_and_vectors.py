@@ -284,3 +284,14 @@ def test_language_threshold(spark):
     rows += [(1000 + i, "".join(rng.choices("qxzvjkwy", k=4)), ("en", "de")[rng.randrange(2)]) for i in range(100)]
     kept = {r.doc_id for r in language.identify_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "").collect()}
     assert len(kept & set(range(400))) >= 396 and len(kept - set(range(400))) < 20
+
+
+def test_stages_keep_columns_with_names_of_results(spark):
+    from stockwright.llm import lines
+    rows = [(i, f"one {i}\ntwo\nthree {i}\nfour", "a" if i % 3 else None, 7, 8, 9, 10, 11) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, mix_slot int, mix_source int, mix_row int, n_removed int, d0 int")
+    for stage in (mixing.mixing_stage, lines.line_stage):
+        out = stage(spark, df, "")
+        assert out.columns == df.columns and sorted(out.collect(), key=lambda r: r.doc_id) == sorted(df.collect(), key=lambda r: r.doc_id)
+    assert mixing.mix(df).columns.count("mix_slot") == 1 and mixing.mix(df).where("mix_slot <> 7").count() > 0
+    assert {r.n_removed for r in lines.without_repeats(df).collect()} == {0}

@@ -237,3 +237,51 @@ def test_fold(spark):
     from stockwright.llm.tables import fold
     got = spark.createDataFrame([(12,), (None,)], "doc_id bigint").select(fold("doc_id", 10)).collect()
     assert [r[0] for r in got] == [zlib.crc32(b"12") % 10, zlib.crc32(b"") % 10]
+
+
+def plain_profile(text, bundler):
+    """The bundle of a text, trigram by trigram."""
+    import numpy as np
+    codes = [0]
+    for ch in text.lower():
+        c = ord(ch) if ch.isalpha() else 0
+        if c or codes[-1]:
+            codes.append(c)
+    if codes[-1]:
+        codes.append(0)
+    out = np.zeros(bundler.dimensions)
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        out += np.roll(bundler.letter(a), 2) * np.roll(bundler.letter(b), 1) * bundler.letter(c)
+    return out
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 200_000])
+def test_language_pieces(monkeypatch, piece):
+    """A bundle is the same wherever a text is cut, and as a plain sum over its trigrams."""
+    monkeypatch.setattr(language, "PIECE", piece)
+    bundler = language.Bundler(64)
+    texts = ["The cat -- sat, ÜBER das  Haus", "", "x", " .. ", "ab", "  ΣΑΣ ΟΔΟΣ i", "don't\n\nstop!!"]
+    got = bundler.bundle(texts)
+    for text, row in zip(texts, got):
+        assert (row == plain_profile(text, bundler)).all(), text
+
+
+def test_language_plain(spark):
+    """Predictions and scores as plain Python makes them, ties and repeated rows included."""
+    import numpy as np
+    train = [("the cat and the dog ran", "en"), ("a dog is here", "en"), ("der hund und die katze", "de"), ("same text", "aa"), ("same text", "bb"), (None, "fr"), ("no label", None)]
+    asked = ["the dog", "die katze und", "same text", "same text", "", None, "123", "Katze DOG"]
+    bundler = language.Bundler()
+    unit = lambda v: v / np.sqrt((v**2).sum()) if v.any() else v
+    sums = {}
+    for t, lang in train:
+        if t and lang:
+            sums[lang] = sums.get(lang, 0) + unit(plain_profile(t, bundler))
+    learned = language.profiles(spark.createDataFrame(train, "text string, lang string"))
+    got = {r.doc_id: r for r in language.predict(spark.createDataFrame(list(enumerate(asked)), SCHEMA), learned).collect()}
+    for i, t in enumerate(asked):
+        v = plain_profile(t or "", bundler)
+        cosines = {n: float(unit(v) @ unit(p)) for n, p in sums.items()}
+        want = max(sorted(cosines), key=lambda n: round(cosines[n], 9)) if v.any() else "und"
+        assert got[i].lang_pred == want
+        assert math.isclose(got[i].score, min(1.0, max(0.0, cosines[want])) if v.any() else 0.0, abs_tol=1e-5)
