@@ -9,6 +9,9 @@ does not count) becomes known when the trusted patterns before it, together, are
 other patterns in the next round, until nothing is new. Scores only rise as more is known, so that ends.
 Candidates behind a trusted pattern and those that became known are added as spans; base spans stay.
 
+The word before is looked for in the BEFORE code points in front of a span: a cue that needs more room (a longer word, or more
+blanks) is neither learned nor used, nor is a candidate with more than 16 opening marks found. Base spans have no such limit.
+
 Only built-in functions. Places are counted in code points: a match starts after all gaps and matches before it. Texts
 are read whole. Patterns, instances and their counts are tables: nothing is collected but row counts.
 """
