@@ -21,6 +21,13 @@ def q_daily(i: Inputs):
     return daily(i)[0].select("shelf_id", "discount_date", r6("discount"), "created_at")
 
 
+def q_daily_again(i: Inputs):
+    """The discount table after two runs of a day, where rows tell which job wrote them: the second changes nothing."""
+    existing = i["daily_discounts"].select("shelf_id", "discount_date", "discount", F.lit("weekly").alias("source"))
+    once = D.daily_discount(i.store_lots, existing, today(), now_ts())[1]
+    return D.daily_discount(i.store_lots, once, today(), now_ts())[1].select("shelf_id", "discount_date", r6("discount"), "source")
+
+
 def q_daily_table(i: Inputs):
     return daily(i)[1].select("shelf_id", "discount_date", r6("discount"))
 
@@ -90,6 +97,7 @@ QUERIES = {
     "discount_in_week": q_week,
     "daily_discount": q_daily,
     "daily_discount_table": q_daily_table,
+    "daily_discount_again": q_daily_again,
     "discount_alerts": lambda i: daily(i)[2],
     "weekly_to_daily_discount": lambda i: D.weekly_to_daily(i["weekly_discounts"]).select("shelf_id", "discount_date", r6("discount")),
     "discount_on_date": lambda i: D.discount_on(i["weekly_discounts"], today()).select("shelf_id", r6("discount")),
@@ -171,6 +179,9 @@ ORACLES = {
         """SELECT shelf_id, discount_date, ROUND(discount, 6) AS discount FROM fresh UNION ALL
            SELECT shelf_id, discount_date, discount FROM daily_discounts e WHERE NOT EXISTS
            (SELECT 1 FROM fresh f WHERE f.shelf_id = e.shelf_id AND f.discount_date = e.discount_date)""", "wh_lots", "daily_discounts", **DAILY_PARTS),
+    "daily_discount_again": oracle(
+        """SELECT shelf_id, discount_date, ROUND(discount, 6) AS discount, 'expiry' AS source FROM fresh UNION ALL
+           SELECT shelf_id, discount_date, ROUND(discount, 6), 'weekly' FROM daily_discounts""", "wh_lots", "daily_discounts", **DAILY_PARTS),
     "discount_alerts": oracle(
         f"SELECT DISTINCT 'near_expiry_discount' AS event_type, shelf_id, 'store' AS location, {TS} AS created_at FROM soon", "wh_lots", soon=_soon),
     "weekly_to_daily_discount": oracle("SELECT shelf_id, discount_date, ROUND(discount, 6) AS discount FROM promo", "weekly_discounts", promo=_promo),

@@ -43,6 +43,14 @@ def q_filtered(i: Inputs):
     return R.narrow(j, category=" promo ", status="issued").select("supplier_plan_id", "shelf_id", "item_category", "suggested_qty")
 
 
+def q_narrowed(i: Inputs):
+    """Feature rows of a category between two days, and those of one shelf; criteria on columns that are not there do not narrow."""
+    rows = i["feature_rows"].select("shelf_id", "feature_date", "item_category", "sales_qty")
+    first, last = (F.lit(d).cast("date") for d in ("1996-01-01", "1997-12-31"))
+    some = R.narrow(rows, category=" promo ", since=first, until=last, model="any", status="any")
+    return some.withColumn("by", F.lit("category")).union(R.narrow(rows, shelf="S7").withColumn("by", F.lit("shelf")))
+
+
 def q_recent(i: Inputs):
     return R.recent_rows(i["visits"].select("customer_id", F.col("entry_time").alias("event_time"), "event_id"), 50)
 
@@ -74,6 +82,7 @@ QUERIES = {
     "entry_exit_rows": lambda i: R.entry_exit(i["visits"]),
     "batch_size_backfill": q_backfill,
     "filtered_plans": q_filtered,
+    "filtered_features": q_narrowed,
 }
 
 _store = "(lower(trim(location)) LIKE '%store%' OR lower(trim(location)) LIKE '%shop%')"
@@ -121,6 +130,10 @@ ORACLES = {
     "batch_size_backfill": oracle(
         """SELECT p.supplier_plan_id, COALESCE(CASE WHEN p.status = 'issued' THEN p.standard_batch_size END, i.standard_batch_size) AS standard_batch_size
            FROM supplier_plans p LEFT JOIN inventory i ON p.shelf_id = i.shelf_id""", "supplier_plans", "inventory"),
+    "filtered_features": oracle(
+        """SELECT shelf_id, feature_date, item_category, sales_qty, 'category' AS by FROM feature_rows
+           WHERE item_category = 'PROMO' AND feature_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'
+           UNION ALL SELECT shelf_id, feature_date, item_category, sales_qty, 'shelf' FROM feature_rows WHERE shelf_id = 'S7'""", "feature_rows"),
     "filtered_plans": oracle(
         """SELECT p.supplier_plan_id, p.shelf_id, i.item_category, p.suggested_qty FROM supplier_plans p JOIN inventory i ON p.shelf_id = i.shelf_id
            WHERE i.item_category = 'PROMO' AND p.status = 'issued'""", "supplier_plans", "inventory"),
