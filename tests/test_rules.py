@@ -327,3 +327,25 @@ def test_stock_rule_for_orders(spark):
     df = spark.createDataFrame([(5, 20, 100, 0, 6), (95, 120, 100, 0, 6), (50, 40, 100, 1, 6), (50, 40, 100, 0, 6), (None, 20, 0, 0, None)],
                                "stock int, point int, cap int, alert int, size int")
     assert [r[0] for r in df.select(S.fallback_batches("stock", "point", "cap", "alert", "size")).collect()] == [3, 0, 1, 0, 20]
+
+
+@pytest.mark.parametrize("errors,patience,want", [
+    ([5, 4, 3, 3, 3, 3], 3, (3, True)), ([5, 4, 3, 3, 3], 3, (3, False)), ([1, 2, 3, 0], 2, (1, True)), ([1, 2, 3, 0], 3, (4, False)),
+    ([1, 2, 0, 4], 3, (3, False)), ([1], 1, (1, False)),
+])
+def test_best_round(errors, patience, want):
+    """An equal error is no fall; an error after the stop does not count."""
+    assert ml.best_round(errors, patience) == want
+
+
+def test_training_keeps_the_best_round(spark):
+    cols = "shelf_id string, feature_date date, item_category string, item_subcategory string, x int, z int, batches_to_order int"
+    data = [(f"s{k % 20}", f"1998-01-{1 + k // 20:02}", "AB"[k % 2], f"c{k % 3}", k % 7, k * 31 % 11, k % 7 // 2 + k % 2) for k in range(240)]
+    got = ml.train(frame(spark, cols, *data), k=2, max_iter=12, max_depth=3, patience=2)
+    assert [(f.fold, f.train_rows, f.val_rows) for f in got.folds] == [(1, 80, 80), (2, 160, 80)]
+    assert all(1 <= f.rounds <= f.grown <= 12 and f.mae < f.mae_of_mean for f in got.folds)
+    best = next(f for f in got.folds if f.fold == got.fold)
+    assert got.mae == best.mae == min(f.mae for f in got.folds) and got.model.stages[-1].getNumTrees == best.rounds
+    # A category that was not there in training is scored all the same.
+    assert got.model.transform(frame(spark, cols, ("s", "1998-02-01", "new", "new", 1, 1, 0))).first()["prediction"] is not None
+    assert ml.train(frame(spark, cols, *data[:40]), max_iter=1) is None
