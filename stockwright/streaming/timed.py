@@ -1,6 +1,6 @@
 """Streams with keyed state and event-time timers, held by Spark's own state store.
 
-Each step sees one key's new rows and its state, and is called again when the watermark passes the key's timer; so progress,
+Each step sees the new rows and the state of one key, or of a bucket of keys (`together`), and is called again when the watermark passes its timer; so progress,
 state and output are committed together and a stream that is stopped goes on where it was. Plain Python handles the rows
 of a key (Spark's built-in operators have no timer); state is small JSON text.
 """
@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import json
 import sys
+import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -34,11 +35,11 @@ def watermark(state: GroupState) -> int:
     return state.getCurrentWatermarkMs() * 1000
 
 
-def remembered(state: GroupState, empty: dict) -> dict:
+def remembered(state: GroupState, empty: dict | None) -> dict | list | None:
     return json.loads(state.get[0]) if state.exists else empty
 
 
-def remember(state: GroupState, data: dict, timer: int | None) -> None:
+def remember(state: GroupState, data: dict | list, timer: int | None) -> None:
     """Keeps the data and wakes the key once the watermark has reached the timer."""
     state.update((json.dumps(data),))
     if timer is not None:
@@ -105,58 +106,131 @@ def checkout_stream(events: DataFrame, visits: DataFrame, now: Column, order: li
     return out.withColumn("checkout_ts", F.timestamp_micros("checkout_us")).drop("checkout_us")
 
 
-REFILL = "event_id string, shelf_id string, batch_code string, qty int, item_weight double, ts_us bigint"
+#: What a rule sees: its key's data or None, the new rows, the watermark, and whether the timer called; gives data or None, output, timer.
+Rule = Callable[[list | None, list[tuple], int, bool], tuple[list | None, list[tuple], int | None]]
+BUCKETS = 1024
 
 
-def refill_step(span: int):
-    fields = [f.split()[0] for f in REFILL.split(", ")]
+def names_of(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def known(value):
+    return None if value != value else value  # pandas' NaN and NaT differ from themselves
+
+
+def alone(rule: Rule, fields: list[str], schema: str):
+    """The rule as a step whose group is one key."""
 
     def step(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-        now, data = watermark(state), remembered(state, {"row": None, "due": None, "sent": False})
-        for r in records(frames) if not state.hasTimedOut else ():
-            if not data["sent"] and (data["row"] is None or int(r.ts_us) >= data["row"][-1]):
-                data["row"] = [key[0], r.shelf_id, r.batch_code, int(r.qty), None if pd.isna(r.item_weight) else float(r.item_weight), int(r.ts_us)]
-                data["due"] = int(r.due_us)
-        out = []
-        if not data["sent"] and data["due"] <= now:
-            out, data["sent"] = [data["row"]], True
-        if data["sent"] and data["due"] + span <= now and state.hasTimedOut:
+        rows = [tuple(known(getattr(r, f)) for f in fields) for r in records(frames)] if not state.hasTimedOut else []
+        data, out, timer = rule(remembered(state, None), rows, watermark(state), state.hasTimedOut)
+        if data is None:
             state.remove()
         else:
-            remember(state, data | ({"row": None} if data["sent"] else {}), data["due"] + (span if data["sent"] else 0))
-        yield pd.DataFrame(out, columns=fields)
+            remember(state, data, timer)
+        yield pd.DataFrame([(*key, *r) for r in out], columns=names_of(schema))
 
     return step
 
 
+def together(rule: Rule, keys: list[str], fields: list[str], schema: str):
+    """The rule as a step whose group is a bucket of many keys; each key has its own data and timer (in milliseconds), as if it
+    were alone: it is called with its rows, or without any once the watermark has passed its timer. A call costs about a
+    millisecond, so keys that are many and have a few rows each share one. State: compressed JSON text, by key."""
+
+    def step(bucket, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(zlib.decompress(state.get[0])) if state.exists else {}
+        now, now_ms, new, out = watermark(state), state.getCurrentWatermarkMs(), {}, []
+        for frame in frames if not state.hasTimedOut else ():
+            columns = [[known(v) for v in frame[c].tolist()] for c in (*keys, *fields)]
+            for row in zip(*columns):
+                new.setdefault(json.dumps(row[:len(keys)]), []).append(row[len(keys):])
+        due = [name for name, (timer, _) in held.items() if timer is not None and timer < now_ms and name not in new]
+        for name in (*new, *due):
+            data, made, timer = rule(held[name][1] if name in held else None, new.get(name, []), now, name not in new)
+            if data is None:
+                held.pop(name, None)
+            else:
+                held[name] = [None if timer is None else max((timer - 1) // 1000, now_ms + 1), data]
+            out += [(*json.loads(name), *r) for r in made]
+        if held:
+            state.update((zlib.compress(json.dumps(held, separators=(",", ":")).encode(), 1),))
+            timers = [timer for timer, _ in held.values() if timer is not None]
+            if timers:
+                state.setTimeoutTimestamp(min(timers))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=names_of(schema))
+
+    return step
+
+
+def by_bucket(rows: DataFrame, rule: Rule, keys: list[str], fields: list[str], schema: str, buckets: int = BUCKETS) -> DataFrame:
+    """The rule over all keys of a stream, in a number of buckets that must stay the same for a checkpoint."""
+    grouped = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).groupBy("_bucket")
+    return grouped.applyInPandasWithState(together(rule, keys, fields, schema), schema, "data binary", "append", EVENT_TIME)
+
+
+REFILL = "event_id string, shelf_id string, batch_code string, qty int, item_weight double, ts_us bigint"
+REFILL_ROW = ["shelf_id", "batch_code", "qty", "item_weight", "ts_us", "due_us"]
+
+
+def refill_rule(span: int) -> Rule:
+    """Data: due time and, while it waits, the row."""
+
+    def rule(data, rows, now, timed_out):
+        due, row = data or (None, None)
+        waits = data is None or row is not None
+        for shelf, batch, qty, weight, at, arrives in rows:
+            if waits and (row is None or at >= row[-1]):
+                row, due = [shelf, batch, int(qty), weight, int(at)], int(arrives)
+        out = []
+        if waits and due <= now:
+            out, waits = [tuple(row)], False
+        if waits:
+            return [due, row], out, due
+        return (None if due + span <= now and timed_out else [due, None]), out, due + span
+
+    return rule
+
+
+def refill_step(span: int):
+    return alone(refill_rule(span), REFILL_ROW, REFILL)
+
+
 def refill_stream(wh_out: DataFrame, profiles: DataFrame, delay_min: int = 3, remember_days: int = 1) -> DataFrame:
     """Warehouse exits as shelf events once the latest event time has passed their arrival; late ones at once.
 
     An exit is known by its event_id. Delivered again while it waits, the version with the later time counts; delivered
-    again after that, it is ignored for so many days of event time, and then taken for a new one. State: one row per exit.
+    again after that, it is ignored for so many days of event time, and then taken for a new one. State: one entry per exit.
     """
     queue = refill_queue(wh_out, profiles, delay_min).withColumns({"ts_us": micros("ts"), "due_us": micros("available_at")})
-    out = queue.withWatermark("ts", "0 seconds").groupBy("event_id").applyInPandasWithState(refill_step(remember_days * 1440 * MINUTE), REFILL, "data string", "append", EVENT_TIME)
+    out = by_bucket(queue.withWatermark("ts", "0 seconds"), refill_rule(remember_days * 1440 * MINUTE), ["event_id"], REFILL_ROW, REFILL)
     return shelf_events_of(out.withColumn("ts", F.timestamp_micros("ts_us")).drop("ts_us"))
 
 
 COOLED = "event_type string, shelf_id string, location string, created_us bigint"
 
 
-def cooldown_step(span: int):
-    def step(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-        data, out = remembered(state, {"last": None}), []
-        for t in sorted({int(r.created_us) for r in records(frames)}) if not state.hasTimedOut else ():
-            if data["last"] is None or t - data["last"] > span:
-                data["last"] = t
-                out.append((*key, t))
-        if state.hasTimedOut or data["last"] is None:
-            state.remove()
-        else:
-            remember(state, data, data["last"] + span + 1)
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in COOLED.split(", ")])
+def cooldown_rule(span: int) -> Rule:
+    """Data: the time of the last alert let through."""
 
-    return step
+    def rule(data, rows, now, timed_out):
+        if timed_out:
+            return None, [], None
+        last, out = data[0] if data else None, []
+        for t in sorted({int(t) for (t,) in rows}):
+            if last is None or t - last > span:
+                last = t
+                out.append((t,))
+        return (None if last is None else [last]), out, None if last is None else last + span + 1
+
+    return rule
+
+
+def cooldown_step(span: int):
+    return alone(cooldown_rule(span), ["created_us"], COOLED)
 
 
 def cooled_alerts(alerts: DataFrame, minutes: int = 60) -> DataFrame:
@@ -166,5 +240,5 @@ def cooled_alerts(alerts: DataFrame, minutes: int = 60) -> DataFrame:
     let through, is forgotten when the watermark has passed its span.
     """
     rows = alerts.select(*ALERT_KEY, "created_at", micros("created_at").alias("created_us")).withWatermark("created_at", "0 seconds")
-    out = rows.groupBy(*ALERT_KEY).applyInPandasWithState(cooldown_step(minutes * MINUTE), COOLED, "data string", "append", EVENT_TIME)
+    out = by_bucket(rows, cooldown_rule(minutes * MINUTE), list(ALERT_KEY), ["created_us"], COOLED)
     return out.withColumn("created_at", F.timestamp_micros("created_us")).drop("created_us")
