@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.align import align_to_schema
 from ..operators.merge import replace_rows
 from ..sources.files import changelog_snapshot
+from ..workspace import cut
 
 
 def parse_mapping(text: str) -> dict[str, str]:
@@ -33,7 +34,10 @@ def route(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 def mirror(table: DataFrame, log: DataFrame, keys: Sequence[str], order_by: Sequence[str],
            columns: Sequence[str] | None = None) -> DataFrame:
-    """Keyed table after a changelog: last row per key, only the allowed columns."""
+    """Keyed table after a changelog: last row per key, only the allowed columns.
+
+    The last rows are written down, because the table needs their keys as well and the log is to be read once.
+    """
     fresh = changelog_snapshot(log, keys, order_by)
     names = [*keys, *[c for c in columns or table.columns if c not in keys]]
-    return replace_rows(table, align_to_schema(fresh.select(*[c for c in fresh.columns if c in names]), table.schema), keys)
+    return replace_rows(table, cut(align_to_schema(fresh.select(*[c for c in fresh.columns if c in names]), table.schema)), keys)
