@@ -9,6 +9,7 @@ from helpers import day, ts
 from pyspark.sql import functions as F
 
 from stockwright.functions import ids
+from stockwright.operators import ordered
 from stockwright.plans import ml
 from stockwright.streaming import timed
 from stockwright.streaming.runner import append_stream
@@ -107,3 +108,40 @@ def test_a_bucket_is_its_keys_one_by_one(name, seed):
         assert text(got) == text(want)
         some, now = some + len(got), now + r.choice([0, 1, 30_000, 400_000, 3_000_000])
     assert some > 20 and (bucket.value is None or zlib.decompress(bucket.value[0]))
+
+
+def test_a_fold_that_keeps_its_rounds_is_fitted_once(spark, monkeypatch):
+    """Twenty rounds are grown in one go, and the best fold's model is not grown again."""
+    r = random.Random(1)
+    data = [(f"s{k % 6}", f"1998-01-{1 + k // 6:02}", r.choice("ab"), "x", float(k % 7), float(3 * (k % 7) + r.random())) for k in range(120)]
+    df = spark.createDataFrame(data, "shelf_id string, feature_date string, item_category string, item_subcategory string, level double, batches_to_order double")
+    df = df.withColumn("feature_date", F.col("feature_date").cast("date"))
+    fitted, grower = [], ml.trees
+    monkeypatch.setattr(ml, "trees", lambda rounds, *a: fitted.append(rounds) or grower(rounds, *a))
+    got = ml.train(df, k=2, max_iter=4, max_depth=2, patience=2)
+    kept = next(f for f in got.folds if f.fold == got.fold)
+    assert kept.rounds == 4 and fitted == [4, 4] and got.model.stages[-1].getNumTrees == 4
+
+
+def scanned(spark, n=600):
+    r = random.Random(3)
+    data = [(None if k % 3 == 0 else f"k{r.randrange(40)}", k, r.randrange(10), r.choice([None, f"v{k}"])) for k in range(n)]
+    df = spark.createDataFrame(data, "k string, o int, v int, x string").repartition(5)
+    return ordered.ordered_scan(df, ["k"], ["o"], sums={"s": "v"}, carry_on={"l": "x"}, look_ahead={"a": "x"})
+
+
+def test_keys_of_usual_size_are_dealt_once(spark):
+    """One shuffle by key, and no join with borders of slices."""
+    text = plan(scanned(spark))
+    assert len(re.findall(r"Exchange", text)) == 1 and "Join" not in text and "Scan ExistingRDD" in text
+
+
+def test_large_keys_are_sliced_and_tasks_stay_small(spark, monkeypatch):
+    want = sorted(map(str, scanned(spark).collect()))
+    for limit in (100, 7):  # the null key only; most keys
+        monkeypatch.setattr(ordered, "ROWS_PER_TASK", limit)
+        got = scanned(spark)
+        assert sorted(map(str, got.collect())) == want and "_slice" in plan(got)
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 250)
+    few = spark.range(2000).selectExpr("id % 50 AS k", "id AS o", "1 AS v")
+    assert "hashpartitioning(k" in (text := plan(ordered.ordered_scan(few, ["k"], ["o"], sums={"s": "v"}))) and "REPARTITION_BY_NUM" in text
