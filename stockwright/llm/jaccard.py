@@ -14,15 +14,16 @@ ones first), and each such shingle has a tree over the classes that hold it.
 2. Shingles that stand in the first quarter of more than one text, and the classes there.
 3. Every class of such a group is compared with one of its members: close groups, like thousands of near copies, become one
    component without comparing all their pairs.
-4. What is left are pairs of different components in one group: trees rule out most, the rest are verified. Groups of more than
-   ``TILE`` classes are split into tiles, and pairs of tiles are tasks of their own.
+4. What is left are pairs of different components in one group, and of groups with the same classes one is enough. Trees rule out
+   most classes; those that remain get finer points and meet again, and only the pairs that these allow leave the group and are
+   verified. Groups of more than ``TILE`` classes are split into tiles, and pairs of tiles are tasks of their own.
 
 Every pair that may be similar is either verified or inside one component already, so no link is lost. Sets are only
 gathered for classes with a surviving pair.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -176,15 +177,19 @@ def first_quarters(docs: DataFrame, level: np.ndarray, wanted: np.ndarray | None
     return docs.mapInArrow(emit, "s bigint, cls bigint")
 
 
-def shingle_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, shingles) of the classes in the pairs (a, b), one row per class. Only texts with the hash of a wanted class are shingled."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+def in_pairs(pairs: DataFrame) -> DataFrame:
+    """(cls): the classes that stand in the pairs (a, b)."""
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+
+
+def per_class(docs: DataFrame, wanted: DataFrame, classes: DataFrame, value: Callable[[np.ndarray], bytes], name: str) -> DataFrame:
+    """(cls, name) of the wanted classes, one row per class: the value of its shingles. Only texts with the hash of a wanted class are shingled."""
     texts = hash_filter(classes.join(wanted, "cls", "left_semi").select("th"), "th")
 
     def emit(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            found, sets = [], []
+            found, values = [], []
             at = np.flatnonzero(in_filter(texts, batch["th"].to_numpy()))
             for th, text in zip(batch["th"].take(pa.array(at)).to_pylist(), batch["t"].take(pa.array(at)).to_pylist()):
                 if th in seen:
@@ -194,11 +199,16 @@ def shingle_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataF
                 s = shingler(text)
                 if len(s):
                     found.append(class_of(s))
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
+                    values.append(value(s))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(values, pa.binary())], names=["cls", name])
 
-    found = docs.mapInArrow(emit, "cls bigint, shingles binary").join(wanted, "cls", "left_semi")
-    return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    found = docs.mapInArrow(emit, f"cls bigint, {name} binary").join(wanted, "cls", "left_semi")
+    return found.groupBy("cls").agg(F.first(name).alias(name))
+
+
+def shingle_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, shingles) of the classes in the pairs (a, b), one row per class."""
+    return per_class(docs, in_pairs(pairs), classes, np.ndarray.tobytes, "shingles")
 
 
 def may_link(overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -221,22 +231,26 @@ def bounded(pairs: DataFrame, classes: DataFrame, groups: int = GROUPS, kind: st
     return pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bound, "a bigint, b bigint")
 
 
+def fine_point(shingles: np.ndarray) -> bytes:
+    """Counts per one of ``FINE`` groups as bytes, which tell long texts apart; all at 255, which bounds nothing, where one does not fit."""
+    counts = np.bincount((shingles >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=FINE)
+    return (counts if counts.max() < 255 else np.full(FINE, 255)).astype(np.uint8).tobytes()
+
+
 def fine_points(sets: DataFrame) -> DataFrame:
-    """(cls, n, point) with ``FINE`` groups, which tell long texts apart; all at 255, which bounds nothing, where a count does not fit."""
+    """(cls, n, point) with fine points."""
 
     def count(batches):
         for batch in batches:
             each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["shingles"]]
-            points = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=FINE) for s in each]
-            points = [(p if p.max() < 255 else np.full(FINE, 255)).astype(np.uint8).tobytes() for p in points]
+            points = [fine_point(s) for s in each]
             yield pa.RecordBatch.from_arrays([batch["cls"], pa.array([len(s) for s in each], pa.int64()), pa.array(points, pa.binary())], names=["cls", "n", "point"])
 
     return sets.mapInArrow(count, "cls bigint, n bigint, point binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: 100 * intersection >= 75 * union. Sets are joined to pairs that a finer point leaves over."""
-    pairs = held(bounded(pairs, fine_points(sets), FINE, "u1"), "pairs")
+    """The pairs (a, b) that link: 100 * intersection >= 75 * union."""
     a = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
 
@@ -284,45 +298,77 @@ def tree_pairs(n: np.ndarray, points: np.ndarray, comp: np.ndarray, side: np.nda
                 yield order[p[keep]], order[q[keep]]
 
 
-def left_over(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in a group (s, cls, comp) that the group's tree allows.
+def mixed_groups(groups: DataFrame) -> DataFrame:
+    """(s, size) of the groups (s, cls, comp) that may hold pairs of different components; of groups with the same classes, one.
 
     Groups of two have no pair left: one of the two was the member that the other was compared with.
     """
-    mixed = groups.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2")
+    same = ["size", "least", "most", "mix"]
+    members = [F.count("*").alias("size"), F.min("cls").alias("least"), F.max("cls").alias("most"), F.bit_xor(F.xxhash64("cls")).alias("mix")]
+    mixed = groups.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *members).where("lo < hi and size > 2")
+    return mixed.groupBy(*same).agg(F.min("s").alias("s")).select("s", "size")
+
+
+BY = ("s", "t1", "t2")  # a group, or a pair of its tiles
+MARKS = [f"m{k}" for k in range(8)]  # of a class: its smallest group of each kind of groups
+MEMBER = "s bigint, t1 int, t2 int, tile int, cls bigint, comp bigint, n bigint, " + "".join(f"{m} bigint, " for m in MARKS)
+Pairs = Iterator[tuple[np.ndarray, np.ndarray]]
+
+
+def tiled(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (s, cls, comp) of groups that may hold pairs, once for each pair of tiles in which they stand, with n, marks and point."""
     tiles = F.ceil(F.col("size") / TILE).cast("int")
-    rows = groups.join(mixed.select("s", tiles.alias("tiles")), "s").join(classes.select("cls", "n", "point"), "cls")
+    rows = held(groups.join(mixed_groups(groups).select("s", tiles.alias("tiles")), "s"), "mixed")
+    kind = F.pmod(F.xxhash64("s"), F.lit(len(MARKS)))
+    marks = rows.groupBy("cls").agg(*[F.min(F.when(kind == k, F.col("s"))).alias(m) for k, m in enumerate(MARKS)])
+    marks = marks.select("cls", *[F.coalesce(m, F.lit((1 << 63) - 1)).alias(m) for m in MARKS])
+    rows = rows.join(marks.join(classes.select("cls", "n", "point"), "cls"), "cls")
     tile = F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")
     # Each tile meets itself and every other one; a pair of tiles is named by both.
     rows = rows.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.withColumn("t1", F.least("tile", "other")).withColumn("t2", F.greatest("tile", "other"))
-    by = ("s", "t1", "t2")
+    return rows.select(*BY, "tile", "cls", "comp", "n", *MARKS, "point")
+
+
+def meeting(rows: DataFrame, found: Callable[[pa.Table, Pairs], pa.Table], schema: str) -> DataFrame:
+    """found(rows of some whole groups, their pairs of row numbers that trees over the points allow), for all rows of tiled.
+
+    Near copies share many groups. Classes with a common mark meet in that group too, so groups after it leave their pair to
+    it; nothing comes before the first group that two classes share, so there they are paired.
+    """
 
     def join(batches):
         rest = None
         for batch in batches:
             now = pa.Table.from_batches([batch])
             now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-            key = [now[c].to_numpy() for c in by]
+            key = [now[c].to_numpy() for c in BY]
             new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
             cut = int(new[-1]) if len(new) else 0  # the last group may go on in the next batch
             if cut:
-                yield pairs_of(now.slice(0, cut), np.concatenate([[0], new]))
+                yield from found(now.slice(0, cut), pairs_of(now.slice(0, cut), np.concatenate([[0], new]))).to_batches()
             rest = now.slice(cut)
         if rest is not None and rest.num_rows:
-            yield pairs_of(rest, np.array([0, rest.num_rows]))
+            yield from found(rest, pairs_of(rest, np.array([0, rest.num_rows]))).to_batches()
+
+    def pairs_of(table: pa.Table, edges: np.ndarray) -> Pairs:
+        s, marks = table["s"].to_numpy(), np.stack([table[m].to_numpy() for m in MARKS], axis=1)
+        for i, j in allowed(table, edges):
+            for at in range(0, len(i), 8192):
+                p, q = i[at : at + 8192], j[at : at + 8192]
+                here = ~((marks[p] == marks[q]) & (marks[p] < s[p, None])).any(axis=1)
+                yield p[here], q[here]
 
-    def pairs_of(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
-        cls, comp, n, tile = (table[c].to_numpy() for c in ("cls", "comp", "n", "tile"))
+    def allowed(table: pa.Table, edges: np.ndarray) -> Pairs:
+        comp, n, tile = (table[c].to_numpy() for c in ("comp", "n", "tile"))
         points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u2").reshape(-1, GROUPS)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         small = np.zeros(table.num_rows, np.int64)  # number of the group, for groups of at most a leaf
         for g, (x, y) in enumerate(zip(edges[:-1], edges[1:]), 1):
             if y - x <= LEAF:
                 small[x:y] = g
                 continue
             for i, j in tree_pairs(n[x:y], points[x:y], comp[x:y], tile[x:y]):
-                a.append(cls[x:y][i]), b.append(cls[x:y][j])
+                yield i + x, j + x
         for step in range(1, LEAF):  # groups of one leaf: all at once, each row with the step-th row after it
             i = np.flatnonzero((small[:-step] > 0) & (small[:-step] == small[step:]) & (comp[:-step] != comp[step:]))
             if not (small[:-step] == small[step:])[small[:-step] > 0].any():
@@ -331,12 +377,41 @@ def left_over(groups: DataFrame, classes: DataFrame) -> DataFrame:
                 p, q = i[at : at + 8192], i[at : at + 8192] + step
                 ok = may_link(np.minimum(points[p], points[q]).sum(axis=1, dtype=np.int64), n[p], n[q])
                 ok |= (points[p, 0] == 65535) & (points[q, 0] == 65535)
-                a.append(cls[p[ok]]), b.append(cls[q[ok]])
+                yield p[ok], q[ok]
+
+    return rows.repartition(partitions(rows.sparkSession), *BY).sortWithinPartitions(*BY).mapInArrow(join, schema)
+
+
+def with_partner(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``tiled`` that the points allow a pair with another row of their group: at most as many as came in."""
+
+    def rows_of(table: pa.Table, pairs: Pairs) -> pa.Table:
+        used = np.zeros(table.num_rows, bool)
+        for i, j in pairs:
+            used[i] = used[j] = True
+        return table.filter(pa.array(used))
+
+    return meeting(tiled(groups, classes), rows_of, MEMBER + "point binary")
+
+
+def left_over(partners: DataFrame, fine: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components in a group that the points of the rows and the fine points (cls, fine) allow."""
+
+    def rows_of(table: pa.Table, pairs: Pairs) -> pa.Table:
+        cls, n = table["cls"].to_numpy(), table["n"].to_numpy()
+        points = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, FINE)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for p, q in pairs:
+            for at in range(0, len(p), 1024):
+                i, j = p[at : at + 1024], q[at : at + 1024]
+                ok = may_link(np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64), n[i], n[j])
+                ok |= (points[i, 0] == 255) & (points[j, 0] == 255)
+                a.append(cls[i[ok]]), b.append(cls[j[ok]])
         a, b = np.concatenate(a), np.concatenate(b)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table([pair[:, 0], pair[:, 1]], names=["a", "b"])
 
-    met = rows.select(*by, "tile", "cls", "comp", "n", "point").repartition(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
-    return met.mapInArrow(join, "a bigint, b bigint").distinct()
+    return meeting(partners.join(fine, "cls").select(*partners.columns, "fine"), rows_of, "a bigint, b bigint").distinct()
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -362,11 +437,14 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     lead = groups.withColumn("mask", mask).groupBy("s", "mask").agg(F.min(F.expr("cls ^ mask")).alias("m")).select("s", F.expr("m ^ mask").alias("b0"))
     stars = groups.join(lead, "s").where("cls <> b0").select(F.least("cls", "b0").alias("a"), F.greatest("cls", "b0").alias("b")).distinct()
     stars = held(bounded(stars, classes), "stars")
-    links = held(verified(stars, held(shingle_sets(rows, stars, classes), "sets")), "links")
+    sets = held(shingle_sets(rows, stars, classes), "sets")
+    links = held(verified(held(bounded(stars, fine_points(sets), FINE, "u1"), "pairs"), sets), "links")
     comps = components(links)
     grouped = groups.join(comps.withColumnRenamed("id", "cls"), "cls", "left").select("s", "cls", F.coalesce("component", "cls").alias("comp"))
-    rest = held(left_over(grouped, classes), "rest")
-    if not rest.isEmpty():
+    partners = held(with_partner(grouped, classes), "partners")
+    if not partners.isEmpty():
+        fine = per_class(rows, partners.select("cls").distinct(), classes, fine_point, "fine")
+        rest = held(left_over(partners, fine), "rest")
         more = verified(rest, held(shingle_sets(rows, rest, classes), "sets"))
         comps = components(links.union(held(more, "links")))
 

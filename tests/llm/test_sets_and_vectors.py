@@ -62,6 +62,50 @@ def test_jaccard(spark, monkeypatch, tile, frequent):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(want)
 
 
+def test_jaccard_finer_points_before_pairs(spark, monkeypatch):
+    """Texts with 0.7 in common link with nothing, and the pairs of such a group do not leave it."""
+    rng = random.Random(2)
+    common = [f"c{rng.random()}" for _ in range(294)]
+    rows = [(i, " ".join(common + [f"u{rng.random()}" for _ in range(62)])) for i in range(12)]
+    rows += [(20, rows[0][1] + " and one more"), (21, rows[5][1] + " and two more words")]
+    held, counts = jaccard.held, {}
+
+    def counted(df, label):
+        out = held(df, label)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "held", counted)
+    got = sorted(map(tuple, jaccard.similar(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()))
+    assert got == sorted(plain_components(rows))
+    assert counts.get("rest", [0]) == [0]
+
+
+def test_jaccard_pairs_leave_one_group(spark, monkeypatch):
+    """Classes that share many groups, no two with the same classes: each pair is found, from about one of them."""
+    rng = random.Random(3)
+    groups = [(s, c, c) for s in rng.sample(range(-(10**15), 10**15), 40) for c in rng.sample(range(40), 30)]
+    point = np.full(jaccard.GROUPS, 65535, "<u2").tobytes()
+    classes = spark.createDataFrame([(c, 100, bytearray(point)) for c in range(40)], "cls bigint, n bigint, point binary").cache()
+    fine = spark.createDataFrame([(c, bytearray(b"\xff" * jaccard.FINE)) for c in range(40)], "cls bigint, fine binary")
+    meeting, made = jaccard.meeting, []
+
+    def recorded(*args):
+        made.append(meeting(*args))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard, "meeting", recorded)
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    met = jaccard.with_partner(spark.createDataFrame(groups, "s bigint, cls bigint, comp bigint"), classes)
+    found = sorted(map(tuple, jaccard.left_over(met, fine).collect()))
+    members = {}
+    for s, c, _ in groups:
+        members.setdefault(s, set()).add(c)
+    assert found == sorted({(a, b) for m in members.values() for a in m for b in m if a < b})
+    assert met.count() <= made[0].count() <= 3 * len(groups)
+    assert made[1].count() <= 2 * len(found)
+
+
 def test_jaccard_empty(spark):
     assert jaccard.similar(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
