@@ -63,8 +63,8 @@ def store_lot_sales_job(state_path: str, opening: DataFrame, **options):
 def lot_events_job(wh_path: str, store_path: str, wh_opening: DataFrame, store_opening: DataFrame, **options):
     """Warehouse and store lots moved by the events of each batch; two state tables from one batch."""
     wh_step = lambda state, ev: (lots_after_wh_events(ev, state, store_opening.limit(0))[0], None)
-    store_step = lambda state, ev: (lots_after_wh_events(ev, wh_opening.limit(0), state)[1], None)
-    to_store = lambda ev: ev.where("event_type = 'wh_out'")
+    to_store = lambda ev: ev.where("event_type = 'wh_out'")  # nothing else reaches the store, so nothing else is dealt by lot
+    store_step = lambda state, ev: (lots_after_wh_events(to_store(ev), wh_opening.limit(0), state)[1], None)
     warehouse = keyed(wh_path, wh_opening.schema, LOT_KEY, same_keys(LOT_KEY), wh_step, wh_opening, app="lot_events", **options)
     store = keyed(store_path, store_opening.schema, LOT_KEY, same_keys(LOT_KEY, to_store), store_step, store_opening, app="lot_events", **options)
 

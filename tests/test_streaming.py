@@ -150,6 +150,24 @@ def test_lots(spark, tmp_path, n):
     assert rows(read_keyed(spark, f"{tmp_path}/store", store.schema, J.LOT_KEY)) == rows(b)
 
 
+def test_only_exits_are_dealt_for_store_lots(spark, monkeypatch, tmp_path):
+    lots = frame(spark, "shelf_id string, batch_code string, received_date date, expiry_date date, batch_quantity_store int, last_update_ts timestamp",
+                 ("S0", "B0", "1998-05-01", "1998-07-01", 5, "1998-05-01 00:00:00"))
+    events = frame(spark, WH + ", received_date date, expiry_date date", ("1", "wh_in", "S0", "B0", 4, "1998-06-01 12:00:00", 1, "1998-05-02", None),
+                   ("2", "wh_out", "S0", "B0", 3, "1998-06-01 12:01:00", 2, None, None), ("3", "wh_in", "S1", "B1", 2, "1998-06-01 12:02:00", 3, None, None))
+    real, seen = J.lots_after_wh_events, []
+
+    def recorded(ev, wh, store):
+        seen.append(rows(ev, "event_id"))
+        return real(ev, wh, store)
+
+    monkeypatch.setattr(J, "lots_after_wh_events", recorded)
+    J.lot_events_job(f"{tmp_path}/wh", f"{tmp_path}/store", lots.withColumnRenamed("batch_quantity_store", "batch_quantity_warehouse").withColumn("batch_quantity_store", F.lit(0)), lots)(events, 0)
+    assert seen == [[("1",), ("2",), ("3",)], [("2",)]]
+    got = read_keyed(spark, f"{tmp_path}/store", lots.schema, J.LOT_KEY)
+    assert rows(got, "shelf_id", "batch_code", "batch_quantity_store") == [("S0", "B0", 8)]
+
+
 def test_append_of_the_same_batch_replaces_it(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,)], "v int")
     for batch in (0, 1, 1):
