@@ -1,6 +1,7 @@
 """Tokens, languages, personal data, lines and language-model scores against plain Python on small rows."""
 import hashlib
 import math
+import os
 import re
 import struct
 import zlib
@@ -233,6 +234,46 @@ def test_suffix_tree_rare_words(spark):
     assert got[200] > got[201] + 3
 
 
+@pytest.mark.parametrize("heavy, chunk, together", [(0.25, 300, 50), (0.02, 100, 1 << 20), (100.0, 1 << 20, 200)])
+def test_suffix_tree_heavy_contexts(spark, monkeypatch, heavy, chunk, together):
+    """The same scores whichever contexts are heavy, however texts are cut, for the texts learned from, held out, or of another table."""
+    monkeypatch.setattr(suffixtree, "HEAVY", heavy)
+    monkeypatch.setattr(suffixtree, "CHUNK", chunk)
+    monkeypatch.setattr(suffixtree, "AT_ONCE", together)
+    monkeypatch.setattr(suffixtree, "HEADS", 64)
+    words = ["the", "of", "the", "and", "the", *(f"w{i}" for i in range(12))]
+    rows = [(i, " ".join(words[(i * 5 + j * j * (i % 3 + 1) + j // 7) % len(words)] for j in range(i % 45))) for i in range(70)]
+    rows += [(100 + i, "the of the and a copy of the text stands here") for i in range(12)] + [(200, None), (201, ""), (202, "only once"), (203, "new the of the w1 once")]
+    rows += [(5, rows[5][1]), (None, "the of no key")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("held_out", F.coalesce(F.col("doc_id") % 4 == 3, F.lit(False))).repartition(3)
+    path = str(suffixtree.held(df, "rows-of-test").inputFiles()[0]).rsplit("/", 1)[0]
+    df = spark.read.parquet(path)
+    trained = [t or "" for i, t in rows if i is None or i % 4 != 3]
+    want = Counter((i, round(x, 8)) for (i, _), x in zip(rows, plain_tree_scores(trained, [t or "" for _, t in rows])))
+    own = suffixtree.train(df, text="text", learn=~F.col("held_out"))
+    assert any(len(k) for k in own.heavy.keys) == (heavy < 1)
+    assert Counter((r.doc_id, round(r.score, 8)) for r in suffixtree.score(df, own, keep=("held_out",)).collect()) == want
+    other = suffixtree.train(df.where("not held_out").select(F.col("text").alias("t")))
+    assert Counter((r.doc_id, round(r.score, 8)) for r in suffixtree.score(df, other).collect()) == want
+
+
+def test_suffix_tree_writes_few_bytes(spark, monkeypatch):
+    """Hand-over tables hold no row per n-gram: what is written stays below the texts' own size."""
+    texts = [" ".join(f"w{(i * 31 + j * j * 7) % 3000}" for j in range(400)) for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(2)
+    written, held = [], suffixtree.held
+
+    def noted(rows, label):
+        out = held(rows, label)
+        written.extend(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(suffixtree, "held", noted)
+    model = suffixtree.train(df.select(F.col("text").alias("t")))
+    assert suffixtree.score(df, model).count() == len(texts)
+    assert 0 < sum(written) < sum(map(len, texts))
+
+
 def test_fold(spark):
     from stockwright.llm.tables import fold
     got = spark.createDataFrame([(12,), (None,)], "doc_id bigint").select(fold("doc_id", 10)).collect()
