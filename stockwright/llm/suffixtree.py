@@ -38,7 +38,7 @@ FLUSH = 400_000
 CHUNK = 1_000_000  # tokens; a longer text is a chunk of its own
 HEAVY = 0.25  # a context is heavy when it has this share of an average part's tokens
 AT_ONCE = 1_000_000  # tokens of a part that are counted at once, but for those of one context
-HEADS = 1 << 15  # words whose codes go by their count alone: those with at least one in so many tokens
+HEADS = 1 << 15  # a word with at least one in so many tokens gets one of the shortest codes
 TURN = np.uint64(0x9E3779B97F4A7C15)
 START, END = (xxhash.xxh64_intdigest(b) for b in (b" ", b"\n"))
 START_KEY = START - (START >> 63 << 64)  # as a signed number
@@ -519,19 +519,27 @@ def train(texts: DataFrame, depth: int = DEPTH, gain: float = GAIN, min_count: i
     return model
 
 
-def subtree(spread_out: list[np.ndarray], model_of: tuple, rules: tuple) -> np.ndarray:
+def first_of(near: np.ndarray) -> np.ndarray:
+    """The length of the shortest context that is not heavy, from the longest heavy one."""
+    return np.where(near > 0, (near - 1) % (DEPTH - 1) + 2, 1)
+
+
+def subtree(x: list[np.ndarray], word: np.ndarray, flags: np.ndarray, near: np.ndarray, gs: list[np.ndarray], model_of: tuple, rules: tuple) -> np.ndarray:
     """The probability of each token, from all tokens behind the same first context that is not heavy."""
-    x, word, flags, js, gs = spread_out
     depth, gain, min_count = rules
-    codes, tokens, smooth, kept, totals = model_of
+    codes, tokens, smooth, kept, totals, shorter = model_of
     learn, c = flags & 1, codes.count(word)
     p = (c + 0.1) / smooth
     less, above = c, np.full(len(c), tokens, np.int64)
-    first = np.ones(len(c), np.int64)
-    for m in range(depth - 1):
-        at = np.flatnonzero(js[m])
-        j = js[m][at] - 1
-        less[at], above[at], first[at] = gs[m][at], totals[m][j], m + 2
+    first, j = first_of(near), (near - 1) // (DEPTH - 1)
+    behind = []
+    for m in reversed(range(depth - 1)):
+        deeper = np.flatnonzero(first > m + 2)
+        j[deeper] = shorter[m + 1][j[deeper]]
+        at = np.flatnonzero(first > m + 1)
+        behind.append((m, at, j[at]))
+    for m, at, j in reversed(behind):
+        less[at], above[at] = gs[m][at], totals[m][j]
         p[at] = np.where(kept[m][j], (gs[m][at] + PRIOR * p[at]) / (totals[m][j] + PRIOR), p[at])
     group = np.zeros(len(c), np.int64)  # contexts by number
     at, below = np.arange(len(c)), np.zeros(len(c), np.int64)
@@ -629,6 +637,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         out = []
         index = np.flatnonzero(away)
         where = deal(x, first, index) % np.uint64(parts)
+        near = np.zeros(len(flat), np.int64)  # the longest heavy context, which stands for its words
+        for m in range(DEPTH - 1):
+            behind = np.flatnonzero(before[m] >= 0)
+            near[behind] = 1 + before[m][behind] * (DEPTH - 1) + m
+            x[m][behind] = NONE
         order = np.argsort(where.astype(np.uint16 if parts < 1 << 16 else np.uint32), kind="stable")
         index, edges = index[order], np.searchsorted(where[order], np.arange(parts + 1))
         flags = learn[row] + 2 * (number < asked)
@@ -636,7 +649,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             i = index[edges[part] : edges[part + 1]]
             i = i[np.argsort(first[i], kind="stable")]
             step = np.diff(row[i], prepend=0)
-            columns = [*(a[i] for a in x), word[i], step & 0xFFFFFFFF, flags[i], *(before[m][i] + 1 for m in range(DEPTH - 1)), *(gs[m][i] for m in range(DEPTH - 1))]
+            columns = [*(a[i] for a in x), word[i], step & 0xFFFFFFFF, flags[i], near[i], *(gs[m][i] for m in range(DEPTH - 1))]
             out.append((int(part), TOKENS, number, 0, 0.0, squeeze(*columns)))
         if number < asked:
             base = np.log10((c[flat] + 0.1) / smooth)
@@ -654,7 +667,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         return pa.Table.from_batches([rows_of(*out)] if out else [], schema=rows_of((0, 0, 0, 0, 0.0, b"")).schema)
 
     def part_scores(part: int, chunks: list[int], blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        width = 2 * DEPTH + 1 + DEPTH
+        width = 2 * DEPTH + 3
         size = sum(int(np.frombuffer(b, np.uint32, 1)[0]) for b in blobs)
         pieces = -(-size // AT_ONCE)
         ids, sums = [], []
@@ -663,27 +676,30 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             for i, b in enumerate(blobs):
                 columns = spread(b, width)
                 columns[DEPTH + 1] = (np.cumsum(columns[DEPTH + 1]) & 0xFFFFFFFF) | i << 32
+                near = columns[DEPTH + 3]
+                first = first_of(near)
+                behind = np.flatnonzero(near)
+                columns[0][behind] = near[behind] + (1 << 39)  # no word's code
+                for m in range(1, DEPTH - 1):
+                    columns[m][first > m + 1] = 1
                 if pieces > 1:
-                    first = np.ones(len(columns[0]), np.int64)
-                    for m in range(DEPTH - 1):
-                        first[columns[DEPTH + 3 + m] > 0] = m + 2
                     at = np.flatnonzero(deal(columns, first, np.arange(len(first))) // np.uint64(parts) % np.uint64(pieces) == piece)
                     columns = [a[at] for a in columns]
                 each.append(columns)
             columns = [np.concatenate(a) for a in zip(*each)]
             del each
             x, word, at, flags = columns[:DEPTH], *columns[DEPTH : DEPTH + 3]
-            p = subtree([x, word, flags, columns[DEPTH + 3 : 2 * DEPTH + 2], columns[2 * DEPTH + 2 :]], (codes, n_tokens, smooth, kept, totals), rules)
+            p = subtree(x, word, flags, columns[DEPTH + 3], columns[DEPTH + 4 :], (codes, n_tokens, smooth, kept, totals, heavy.above), rules)
             own = flags > 1
             found, to = np.unique(at[own], return_inverse=True)
             ids.append(found), sums.append(np.bincount(to, weights=np.log10(p[own]), minlength=len(found)))
         found, to = np.unique(np.concatenate(ids), return_inverse=True)
-        sums = np.bincount(to, weights=np.concatenate(sums), minlength=len(found))
+        sums = np.bincount(to, weights=np.concatenate(sums), minlength=len(found)).astype(np.float64)
         edges = np.searchsorted(found >> 32, np.arange(len(chunks) + 1))
         for i, chunk in enumerate(chunks):
             a, b = edges[i], edges[i + 1]
             if a < b:
-                yield rows_of((0, SUMS, chunk, part, 0.0, squeeze(np.diff(found[a:b] & 0xFFFFFFFF, prepend=0)) + sums[a:b].tobytes()))
+                yield rows_of((0, SUMS, chunk, part, 0.0, squeeze(np.diff(found[a:b] & 0xFFFFFFFF, prepend=0), sums[a:b].view(np.uint64))))
 
     def assemble(group: pa.Table) -> pa.Table:
         sums, head = {}, None
@@ -696,8 +712,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         n = about["n"].to_numpy()
         total = about["own"].to_numpy().copy()
         for part in sorted(sums):
-            at = np.cumsum(spread(sums[part], 1)[0])
-            total[at] += np.frombuffer(sums[part][-8 * len(at):], np.float64)
+            steps, own = spread(sums[part], 2)
+            total[np.cumsum(steps)] += own.view(np.float64)
         return pa.table([*(keys[c] for c in names), pa.array(n), about["known"], pa.array(np.full(len(n), n_tokens, np.int64)), about["base"], pa.array(total)],
                         names=[*names, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

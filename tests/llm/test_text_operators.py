@@ -257,6 +257,17 @@ def test_suffix_tree_heavy_contexts(spark, monkeypatch, heavy, chunk, together):
     assert Counter((r.doc_id, round(r.score, 8)) for r in suffixtree.score(df, other).collect()) == want
 
 
+@pytest.mark.parametrize("depth, least", [(1, 2), (2, 1), (3, 3)])
+def test_suffix_tree_rules(spark, monkeypatch, depth, least):
+    monkeypatch.setattr(suffixtree, "HEAVY", 0.1)
+    rows = [(i, " ".join(f"w{(i * j + j * j) % 11 if j % 5 else i}" for j in range(30))) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = suffixtree.train(df.where("doc_id < 30").select(F.col("text").alias("t")), depth=depth, min_count=least)
+    got = {r.doc_id: r.score for r in suffixtree.score(df, model).collect()}
+    for (i, _), x in zip(rows, plain_tree_scores([t for i, t in rows if i < 30], [t for _, t in rows], depth, least)):
+        assert math.isclose(got[i], x, rel_tol=1e-9), i
+
+
 def test_suffix_tree_writes_few_bytes(spark, monkeypatch):
     """Hand-over tables hold no row per n-gram: what is written stays below the texts' own size."""
     texts = [" ".join(f"w{(i * 31 + j * j * 7) % 3000}" for j in range(400)) for i in range(200)]
