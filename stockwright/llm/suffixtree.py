@@ -511,7 +511,10 @@ def by_part(do: Callable[[int, list[int], list[bytes]], Iterator[pa.RecordBatch]
 
 
 def train(texts: DataFrame, depth: int = DEPTH, gain: float = GAIN, min_count: int = MIN_COUNT, text: str = "t", learn: Column | None = None) -> Model:
-    """Learns from the rows, or from those where learn holds; these rows are then scored without being counted again."""
+    """Learns from the rows, or from those where learn holds; these rows are then scored without being counted again.
+
+    The rows are read more than once and must come in the same order each time, as they do from files.
+    """
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(texts.columns)]
     rows = texts.select(*columns, F.col(text).alias("t"), (F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))).alias("learn"))
     model = learned([rows], rows, depth, gain, min_count)
